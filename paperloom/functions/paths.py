@@ -60,6 +60,14 @@ def path_preview(path: Column) -> Column:
 
 
 def matches_any(path: Column, patterns: list[str]) -> Column:
-    """True where `path` contains one of the patterns (plain substrings)."""
-    hits = [F.contains(path, F.lit(p)) for p in patterns]
-    return F.coalesce(reduce(lambda a, b: a | b, hits, F.lit(False)), F.lit(False))
+    """True where `path` contains one of the patterns (plain substrings); never null."""
+    return F.coalesce(_contains_any(path, patterns), F.lit(False))
+
+
+def matches_none(path: Column, patterns: list[str]) -> Column:
+    """The opposite, in a form the Parquet reader accepts; a null path matches nothing."""
+    return path.isNull() | ~_contains_any(path, patterns)
+
+
+def _contains_any(path: Column, patterns: list[str]) -> Column:
+    return reduce(lambda a, b: a | b, [F.contains(path, F.lit(p)) for p in patterns], F.lit(False))

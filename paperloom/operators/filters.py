@@ -9,12 +9,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paperloom import constants as C
-from paperloom.functions.paths import matches_any
+from paperloom.functions.paths import matches_none
 
 
 def exclude_patterns(df: DataFrame, patterns: list[str]) -> DataFrame:
     """Drop rows whose path contains any of the patterns."""
-    return df.where(~matches_any(F.col("path"), patterns))
+    return df.where(matches_none(F.col("path"), patterns))
 
 
 def filter_extension(df: DataFrame, extension: str) -> DataFrame:

@@ -14,19 +14,25 @@ from paperloom import constants as C
 from paperloom.functions.paths import matches_any
 from paperloom.operators.archive import edge_files
 from paperloom.plans.staging import stage
-from paperloom.schema import ARCHIVE
+from paperloom.sources.archive import scan_shards
 from paperloom.sources.storage import AtomicFile, resolve
 
+MAX_REWRITE_TASKS = 100_000
+
 
 def removed_rows(
-    spark: SparkSession, root: str, patterns: list[str] = C.REPORT_EXCLUDES, edges_only: bool = False
+    spark: SparkSession,
+    root: str,
+    patterns: list[str] = C.REPORT_EXCLUDES,
+    edges_only: bool = False,
+    partitioned: bool = True,
 ) -> DataFrame:
     """Per shard file: rows before, kept and removed. Reads the path column only.
 
     `edges_only` looks at the first and last shard of each subset, which is fast and
     may overlook rows in between.
     """
-    rows = spark.read.schema(ARCHIVE).parquet(root)
+    rows = scan_shards(spark, root, partitioned)
     file = F.col("_metadata.file_path")
     hit = matches_any(F.col("path"), patterns)
     counts = rows.groupBy("source", file.alias("file")).agg(
@@ -75,6 +81,7 @@ def filter_archive(
     patterns: list[str] = C.REPORT_EXCLUDES,
     dry_run: bool = False,
     edges_only: bool = False,
+    partitioned: bool = True,
 ) -> DataFrame:
     """Rewrite the shards holding excluded rows without them; returns the counts per file.
 
@@ -83,13 +90,13 @@ def filter_archive(
     takes its place: no shuffle, a retried task finds the old or the new shard, never a
     half one, and doing it twice changes nothing.
     """
-    counts = stage(removed_rows(spark, root, patterns, edges_only))
+    counts = stage(removed_rows(spark, root, patterns, edges_only, partitioned))
     if dry_run:
         return counts
     decoded = F.url_decode(F.replace("file", F.lit("+"), F.lit("%2B")))
     affected = counts.where("rows_removed > 0").select(decoded.alias("uri"))
     n = affected.count()
     if n:
-        done = affected.repartition(n, "uri").mapInArrow(_rewriter(patterns), "uri string")
+        done = affected.repartition(min(n, MAX_REWRITE_TASKS), "uri").mapInArrow(_rewriter(patterns), "uri string")
         done.write.format("noop").mode("overwrite").save()
     return counts

@@ -9,11 +9,21 @@ from paperloom import constants as C
 from paperloom.plans.ordering import row_positions
 
 
-def _first_per_source(rows: DataFrame, order: list[str], n: int) -> DataFrame:
-    """First `n` rows of each source. Spark cuts every task's input to `n` rows per
-    source before the shuffle (window group limit), so a large source stays cheap."""
-    rank = F.row_number().over(Window.partitionBy("source").orderBy(*order))
-    return rows.withColumn("_rank", rank).where(F.col("_rank") <= n)
+def _first_per_source(rows: DataFrame, order: list, n: int) -> DataFrame:
+    """First `n` rows of each source by a total order, with their 1-based `_rank`.
+
+    Spark cuts every task's input to `n` rows per source before the shuffle (window
+    group limit), so a dominating source stays cheap. That holds up to a threshold;
+    above it positions come from a range-partitioned count.
+    """
+    threshold = int(rows.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
+    if n <= threshold:
+        window = Window.partitionBy("source").orderBy(*order)
+        ranked = rows.withColumn("_rank", F.row_number().over(window))
+    else:
+        ranked = row_positions(rows, ["source"], order, "_at")
+        ranked = ranked.withColumn("_rank", F.col("_at") + 1).drop("_at")
+    return ranked.where(F.col("_rank") <= n)
 
 
 def bounded_sample(

@@ -20,8 +20,8 @@ def tree_paths(
     skipped with everything below them; an entry without a name goes by its id. With
     `recursive=False` only files directly at the start are kept.
 
-    Only folders are joined level by level, each level a checkpoint, so no level is
-    computed twice and the loop is as long as the tree is deep. Files, the bulk of a
+    Only folders are joined level by level. They and every level are checkpoints, so
+    nothing is computed twice and the loop is as long as the tree is deep. Files, the bulk of a
     listing, are joined once at the end.
     """
     named = (
@@ -38,6 +38,7 @@ def tree_paths(
     folders = named.where(is_folder).select("id", "parent_id", "name")
     if root_id is not None:
         folders = folders.where(F.col("id") != root_id)
+    folders = stage(folders)
     level = stage(folders.where(at_start).select(F.col("id").alias("parent_id"), F.col("name").alias("folder")))
     levels = []
     while not level.isEmpty():

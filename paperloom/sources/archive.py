@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from paperloom import constants as C
 from paperloom.functions.content import chunk_count
-from paperloom.functions.paths import file_extension, file_type, matches_any
+from paperloom.functions.paths import file_extension, file_type, matches_none
 from paperloom.schema import ARCHIVE
 from paperloom.sources.content import attach_content, spread_by_bytes
 from paperloom.sources.listing import list_files
@@ -36,7 +36,7 @@ def plan_rows(
         raise ValueError(f"large must be 'chunk' or 'external', not {large!r}")
     extension = F.col("extension")
     kept = (
-        files.where(~matches_any(F.col("path"), exclude))
+        files.where(matches_none(F.col("path"), exclude))
         .withColumn("extension", file_extension(F.col("path")))
         .withColumn("file_type", file_type(extension))
     )
@@ -82,20 +82,34 @@ def archive_scan(
     return attach_content(spread).select(*ARCHIVE.fieldNames(), "read_error")
 
 
-def read_archive(spark: SparkSession, root: str) -> DataFrame:
-    """All subsets of an archive; `source` is the partition column."""
-    return spark.read.schema(ARCHIVE).parquet(root)
+def scan_shards(spark: SparkSession, root: str, partitioned: bool = True) -> DataFrame:
+    """The shard files of an archive, with the file metadata column at hand.
+
+    `source` is the partition column of `source=name` folders. Archives with plain
+    `name` folders (`partitioned=False`) keep it in their rows.
+    """
+    reader = spark.read.schema(ARCHIVE)
+    return reader.parquet(root) if partitioned else reader.parquet(root, recursiveFileLookup=True)
+
+
+def read_archive(spark: SparkSession, root: str, partitioned: bool = True) -> DataFrame:
+    """All subsets of an archive as archive rows."""
+    return scan_shards(spark, root, partitioned).select(ARCHIVE.fieldNames())
 
 
-def subset_scan(spark: SparkSession, root: str, source: str) -> DataFrame:
-    """One subset; only its folder is listed in the scan (partition pruning)."""
+def subset_scan(spark: SparkSession, root: str, source: str, partitioned: bool = True) -> DataFrame:
+    """One subset; only its folder is read."""
+    if not partitioned:
+        return spark.read.schema(ARCHIVE).parquet(f"{root}/{source}")
     return read_archive(spark, root).where(F.col("source") == source)
 
 
-def all_subsets_scan(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+def all_subsets_scan(
+    spark: SparkSession, root: str, partitioned: bool = True
+) -> dict[str, DataFrame]:
     """Every subset by name, each a lazy DataFrame."""
     names = [r.source for r in discover_subsets(spark, root).select("source").collect()]
-    return {name: subset_scan(spark, root, name) for name in sorted(names)}
+    return {name: subset_scan(spark, root, name, partitioned) for name in sorted(names)}
 
 
 def discover_subsets(spark: SparkSession, root: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
-from paperloom.sources.storage import read_pieces, read_range
+from paperloom.sources.storage import read_from, read_range
 
 TASK_BYTES = 256 << 20
 _BATCH_BYTES = 32 << 20
@@ -73,7 +73,7 @@ def _digester(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for root, path in zip(batch.column("root").to_pylist(), batch.column("path").to_pylist()):
             digest = hashlib.md5(usedforsecurity=False)
             try:
-                for piece in read_pieces(f"{root}/{path}"):
+                for piece in read_from(f"{root}/{path}"):
                     digest.update(piece)
                 digests.append(digest.hexdigest())
             except OSError:

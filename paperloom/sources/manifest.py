@@ -2,46 +2,98 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paperloom.schema import MANIFEST, MANIFEST_ENTRY
+from paperloom.sources.listing import list_files
+from paperloom.sources.storage import file_size, read_from
 
 # How an indented JSON array ends each of its objects. A JSON string never holds a
 # line break, so this text cannot occur inside an entry.
-_ENTRY_END = "\n  }"
+_ENTRY_END = b"\n  }"
+_SPLIT_BYTES = 64 << 20
+
+
+def _split_entries(uri: str, start: int, end: int) -> Iterator[tuple[int, str]]:
+    """(offset, text) of the entries beginning in [start, end)."""
+    at = max(0, start - len(_ENTRY_END))
+    begin = 0 if start == 0 else None
+    held = b""
+    for piece in read_from(uri, at):
+        held, pos = held + piece, 0
+        while (cut := held.find(_ENTRY_END, pos)) >= 0:
+            if begin is not None:
+                yield begin, held[pos:cut].lstrip(b" \n\r\t,[").decode() + "}"
+            pos = cut + len(_ENTRY_END)
+            begin = at + pos
+            if begin >= end:
+                return
+        if begin is None:
+            # Still before the first entry: keep only what may be the start of its mark.
+            pos = max(0, len(held) - len(_ENTRY_END) + 1)
+        held, at = held[pos:], at + pos
+
+
+def _splitter(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def batch(rows):
+        ords, texts = zip(*rows) if rows else ((), ())
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(ords), pa.int64()), pa.array(list(texts), pa.string())], ["ord", "text"]
+        )
+
+    for ranges in batches:
+        rows = []
+        for uri, start, end in zip(*(ranges.column(c).to_pylist() for c in ("uri", "start", "end"))):
+            for row in _split_entries(uri, start, end):
+                rows.append(row)
+                if len(rows) >= 10_000:
+                    yield batch(rows)
+                    rows = []
+        yield batch(rows)
 
 
-def manifest_scan(spark: SparkSession, path: str, indented: bool = True) -> DataFrame:
-    """A JSON array of entries -> rows (ord, id, path, md5, size) in array order.
+def _wholes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for ranges in batches:
+        for uri in ranges.column("uri").to_pylist():
+            text = b"".join(read_from(uri, 0)).decode()
+            yield pa.RecordBatch.from_arrays([pa.array([0]), pa.array([text])], ["ord", "text"])
 
-    An array indented by two spaces is split at entry ends, so one large file is read
-    by many tasks; `ord` is then the byte offset of the split plus the position within
-    it (increasing, with gaps). Any other layout (`indented=False`) is parsed per file
-    and suits small files; large manifests belong in JSON Lines (`manifest_lines`).
+
+def manifest_scan(
+    spark: SparkSession, path: str, indented: bool = True, split_bytes: int = _SPLIT_BYTES
+) -> DataFrame:
+    """A JSON array of entries, or a folder of them -> rows (ord, id, path, md5, size).
+
+    Spark's own readers skip names starting with a dot, the usual name of a manifest.
+    An array indented by two spaces is read in splits of whole entries, so one large
+    file is shared by many tasks; `ord` is then the byte offset of the entry in its file
+    (increasing, with gaps). Any other layout (`indented=False`) is parsed per file and
+    suits small files; large manifests belong in JSON Lines (`manifest_lines`).
     """
-    if not indented:
-        entries = F.from_json("value", f"array<{MANIFEST_ENTRY.simpleString()}>")
-        return (
-            spark.read.text(path, wholetext=True)
-            .select(F.posexplode(entries).alias("ord", "e"))
-            .select(F.col("ord").cast("bigint").alias("ord"), "e.*")
+    size = file_size(path)
+    if size is None:
+        files = list_files(spark, {"": path}).select(
+            F.concat_ws("/", "root", "path").alias("uri"), F.col("file_size").alias("size")
         )
-    by_split = Window.partitionBy("file", "start").orderBy("at")
-    body = F.regexp_replace("value", r"^[\s,\[]+", "")
+    else:
+        files = spark.createDataFrame([(path, size)], "uri string, size bigint")
+    if not indented:
+        entries = F.from_json("text", f"array<{MANIFEST_ENTRY.simpleString()}>")
+        texts = files.select("uri").mapInArrow(_wholes, "ord bigint, text string")
+        exploded = texts.select(F.posexplode(entries).alias("ord", "e"))
+        return exploded.select(F.col("ord").cast("bigint").alias("ord"), "e.*")
+    start = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("size"), F.lit(split_bytes).cast("bigint")))
+    ranges = files.select("uri", start.alias("start")).select(
+        "uri", "start", (F.col("start") + split_bytes).alias("end")
+    )
     return (
-        spark.read.text(path, lineSep=_ENTRY_END)
-        .select(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("start"),
-            F.monotonically_increasing_id().alias("at"),
-            body.alias("body"),
-        )
-        .where(F.col("body").startswith("{"))
-        .select(
-            (F.col("start") + F.row_number().over(by_split) - 1).alias("ord"),
-            F.from_json(F.concat("body", F.lit("}")), MANIFEST_ENTRY).alias("e"),
-        )
+        ranges.repartition("uri", "start")
+        .mapInArrow(_splitter, "ord bigint, text string")
+        .select("ord", F.from_json("text", MANIFEST_ENTRY).alias("e"))
         .select("ord", "e.*")
     )
 

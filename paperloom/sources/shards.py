@@ -8,13 +8,10 @@ enter a shuffle.
 from __future__ import annotations
 
 import json
-from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 from urllib.parse import quote
 
-import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
@@ -27,6 +24,7 @@ from paperloom.plans.packing import assign_shards
 from paperloom.plans.staging import stage
 from paperloom.schema import ARCHIVE
 from paperloom.sources.archive import LOCATION
+from paperloom.sources.content import TASK_BYTES
 from paperloom.sources.storage import AtomicFile, read_range
 
 FORMAT = "paperloom_shards"
@@ -34,6 +32,7 @@ ROW_GROUP_BYTES = 64 << 20
 FAILURES_KEPT = 10
 MAX_WRITE_TASKS = 100_000
 MAX_KNOWN_SHARDS = 500_000
+PAGE = 256
 
 _KEYS = ["source", "path", "chunk_index"]
 
@@ -85,8 +84,9 @@ class _Shard:
 
 
 class ShardWriter(DataSourceArrowWriter):
-    def __init__(self, out: str):
+    def __init__(self, out: str, partitioned: bool):
         self.out = out
+        self.partitioned = partitioned
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         done = Written(0, 0, 0, [])
@@ -105,8 +105,7 @@ class ShardWriter(DataSourceArrowWriter):
                 if key != current:
                     if shard:
                         shard.publish()
-                    folder = f"source={quote(row['source'], safe=' ')}"
-                    shard = _Shard(f"{self.out}/{folder}/{row['shard_file']}")
+                    shard = _Shard(f"{self.out}/{self._folder(row)}/{row['shard_file']}")
                     current = key
                     done.shards += 1
                 shard.add({name: row[name] for name in _SHARD_SCHEMA.names})
@@ -115,6 +114,9 @@ class ShardWriter(DataSourceArrowWriter):
             shard.publish()
         return done
 
+    def _folder(self, row: dict) -> str:
+        return f"source={quote(row['source'], safe=' ')}" if self.partitioned else row["source"]
+
     @staticmethod
     def _read(row: dict) -> bytes | None:
         if row["nbytes"] is None:
@@ -143,7 +145,8 @@ class ShardSink(DataSource):
         return FORMAT
 
     def writer(self, schema, overwrite: bool) -> ShardWriter:
-        return ShardWriter(self.options["path"].rstrip("/"))
+        partitioned = self.options.get("partitioned", "true").lower() == "true"
+        return ShardWriter(self.options["path"].rstrip("/"), partitioned)
 
 
 def row_bytes(rows: DataFrame) -> DataFrame:
@@ -162,45 +165,62 @@ def row_bytes(rows: DataFrame) -> DataFrame:
     return whole.unionByName(chunks)
 
 
-def _shard_by_key(bounds: list):
-    """A column function giving (shard, shard_total) by the first key of each shard.
+def _looked_up(rows: DataFrame, starts: DataFrame) -> DataFrame:
+    """Add shard and shard_total by comparing keys with the first key of each shard.
 
-    Shards are contiguous in (source, path, chunk_index), so a row belongs to the last
-    shard that starts at or before it. Only key columns reach Python.
+    Shards are contiguous in (path, chunk_index) within a source, so a row belongs to
+    the last shard starting at or before it. The starts are broadcast in two levels,
+    pages of PAGE starts and the first start of every page, which keeps the comparisons
+    per row few and the rows, content included, where they are.
     """
-    bounds = sorted(bounds)
-    keys = [(b.source, b.path, b.chunk_index) for b in bounds]
-    shards = np.array([(b.shard, b.shard_total) for b in bounds], dtype=np.int32)
+    first = F.struct("path", "chunk_index")
+    paged = starts.withColumn("page", F.floor(F.col("shard") / PAGE).cast("int"))
+    pages = paged.groupBy("source", "page").agg(
+        F.collect_list("first").alias("page_starts"), F.min("first").alias("page_start")
+    )
+    directory = starts.groupBy("source").agg(F.max("shard_total").alias("shard_total")).join(
+        pages.groupBy("source").agg(F.collect_list("page_start").alias("directory")), "source"
+    )
 
-    @F.pandas_udf("shard int, shard_total int")
-    def lookup(source: pd.Series, path: pd.Series, chunk_index: pd.Series) -> pd.DataFrame:
-        at = [bisect_right(keys, key) - 1 for key in zip(source, path, chunk_index)]
-        return pd.DataFrame(shards[at], columns=["shard", "shard_total"])
+    def reached(column: str):
+        return F.size(F.filter(column, lambda start: start <= first)) - 1
 
-    return lookup
+    return (
+        rows.join(F.broadcast(directory), "source")
+        .withColumn("page", reached("directory"))
+        .join(F.broadcast(pages.drop("page_start")), ["source", "page"])
+        .withColumn("shard", F.col("page") * PAGE + reached("page_starts"))
+        .select(*rows.columns, "shard", "shard_total")
+    )
 
 
 def with_shards(rows: DataFrame, plan: DataFrame) -> tuple[DataFrame, int]:
-    """Rows with shard and shard_total, and the number of shards.
+    """Rows with shard and shard_total, and how many tasks should write them.
 
-    The list of shard starts is small (one key per shard) and its size is checked; up
-    to MAX_KNOWN_SHARDS the rows look themselves up in it, so content is not moved.
-    Beyond that the plan is joined by key.
+    Up to MAX_KNOWN_SHARDS shards their starts are small enough to broadcast, so rows
+    look themselves up; beyond that the plan is joined by key.
     """
-    starts = plan.groupBy("source", "shard").agg(
-        F.min(F.struct("path", "chunk_index")).alias("first"),
-        F.first("shard_total").alias("shard_total"),
-    ).select("source", "first.path", "first.chunk_index", "shard", "shard_total")
-    bounds = starts.limit(MAX_KNOWN_SHARDS + 1).collect()
-    if len(bounds) <= MAX_KNOWN_SHARDS:
-        found = _shard_by_key(bounds)("source", "path", "chunk_index")
-        return rows.withColumn("_at", found).select(*rows.columns, "_at.*"), len(bounds)
-    joined = rows.join(plan.select(*_KEYS, "shard", "shard_total"), _KEYS)
-    return joined, starts.count()
+    starts = stage(
+        plan.groupBy("source", "shard").agg(
+            F.min(F.struct("path", "chunk_index")).alias("first"),
+            F.first("shard_total").alias("shard_total"),
+            F.sum("nbytes").alias("bytes"),
+        )
+    )
+    shards, total = starts.agg(F.count("*"), F.coalesce(F.sum("bytes"), F.lit(0))).first()
+    if shards <= MAX_KNOWN_SHARDS:
+        placed = _looked_up(rows, starts)
+    else:
+        placed = rows.join(plan.select(*_KEYS, "shard", "shard_total"), _KEYS)
+    wanted = max(rows.sparkSession.sparkContext.defaultParallelism, total // TASK_BYTES)
+    return placed, max(1, min(shards, wanted, MAX_WRITE_TASKS))
 
 
 def archive_write(
-    rows: DataFrame, out: str, max_shard_bytes: int = C.MAX_SHARD_BYTES
+    rows: DataFrame,
+    out: str,
+    max_shard_bytes: int = C.MAX_SHARD_BYTES,
+    partitioned: bool = True,
 ) -> DataFrame:
     """Write archive rows as `{source}-00000-of-00003.parquet` shards below a new folder.
 
@@ -208,19 +228,23 @@ def archive_write(
     nbytes, shard, shard_total, shard_file). Rows are ordered by (path, chunk_index).
     Content moves once, to the task writing its shard, or not at all when the rows
     carry locations: then that task reads the files.
+
+    Subset folders are named `source=name`, which lets Spark prune them, or just `name`
+    with `partitioned=False`.
     """
     plan = stage(assign_shards(row_bytes(rows), max_shard_bytes))
     located = all(name in rows.columns for name in LOCATION)
     payload = [c for c in ARCHIVE.fieldNames() if c != "content"]
     payload += LOCATION if located else ["content"]
-    placed, shards = with_shards(rows.select(payload), plan)
+    placed, tasks = with_shards(rows.select(payload), plan)
     rows.sparkSession.dataSource.register(ShardSink)
     (
-        placed.repartition(max(1, min(shards, MAX_WRITE_TASKS)), "source", "shard")
+        placed.repartition(tasks, "source", "shard")
         .sortWithinPartitions("source", "shard", "path", "chunk_index")
         .withColumn("shard_file", shard_name(F.col("source"), F.col("shard"), F.col("shard_total")))
         .drop("shard", "shard_total")
         .write.format(FORMAT)
+        .option("partitioned", partitioned)
         .mode("append")
         .save(out)
     )

@@ -63,14 +63,24 @@ def read_range(uri: str, offset: int, length: int) -> bytes:
         return handle.read(length)
 
 
-def read_pieces(uri: str, piece_bytes: int = 8 << 20) -> Iterator[bytes]:
-    """The whole file in pieces, so that memory does not grow with its size."""
+def read_from(uri: str, offset: int = 0, piece_bytes: int = 8 << 20) -> Iterator[bytes]:
+    """A file from `offset` on in pieces, so that memory does not grow with its size."""
     fs, path = resolve(uri)
-    with fs.open_input_stream(path) as handle:
+    with fs.open_input_file(path) as handle:
+        handle.seek(offset)
         while piece := handle.read(piece_bytes):
             yield piece
 
 
+def file_size(uri: str) -> int | None:
+    """Size of a file; null for a folder."""
+    fs, path = resolve(uri)
+    info = fs.get_file_info(path)
+    if info.type == pafs.FileType.NotFound:
+        raise FileNotFoundError(uri)
+    return info.size if info.is_file else None
+
+
 class AtomicFile:
     """Write under a hidden temporary name; appear under the final name on success.
 
