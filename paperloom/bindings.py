@@ -110,16 +110,15 @@ archive AS (
 
 
 def large_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    named = files(spark, sf_dir).withColumn("file_id", F.concat(F.lit("doc-"), "doc_id"))
-    return large_files_build(named, MAX_FILE)
+    return large_files_build(files(spark, sf_dir), MAX_FILE)
 
 
 LARGE_SQL = (
     FILES_SQL
     + f""",
 large AS (
-  SELECT 'doc-' || doc_id AS file_id, source, path, file_size, extension, file_type,
-    'large_files/' || regexp_extract(path, '([^/]*)$', 1) AS repo_path,
+  SELECT md5(source || '/' || path) AS file_id, source, path, file_size, extension, file_type,
+    'large_files/' || source || '/' || path AS repo_path,
     false AS content_available
   FROM files WHERE file_size > {MAX_FILE})"""
 )

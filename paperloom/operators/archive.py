@@ -26,10 +26,15 @@ def content_chunks(
 
 
 def large_files_build(files: DataFrame, max_bytes: int = C.MAX_FILE_BYTES) -> DataFrame:
-    """The side table of files too large to embed."""
-    name = F.element_at(F.split("path", "/"), -1)
+    """The side table of files too large to embed.
+
+    `repo_path` keeps source and path, so that files of one name do not collide, and
+    `file_id` is derived from them, so that it is stable.
+    """
+    name = F.concat_ws("/", "source", "path")
     return files.where(F.col("file_size") > max_bytes).select(
-        "file_id", "source", "path", "file_size", "extension", "file_type",
+        F.md5(name).alias("file_id"),
+        "source", "path", "file_size", "extension", "file_type",
         F.concat(F.lit(C.LARGE_PREFIX), name).alias("repo_path"),
         F.lit(False).alias("content_available"),
     )

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from paperloom import constants as C
+from paperloom.plans.joins import small_side
 from paperloom.plans.ordering import row_positions
+from paperloom.plans.staging import stage
 
 
 def _first_per_source(rows: DataFrame, order: list, n: int) -> DataFrame:
@@ -40,24 +42,31 @@ def bounded_sample(
 
 
 def sample_stats(
-    rows: DataFrame, n: int = C.SAMPLE_ROWS, max_bytes: int = C.SAMPLE_MAX_BYTES
+    rows: DataFrame,
+    n: int = C.SAMPLE_ROWS,
+    max_bytes: int = C.SAMPLE_MAX_BYTES,
+    sample: DataFrame | None = None,
 ) -> DataFrame:
     """Per source: rows sampled, rows skipped for their size before the sample was full,
-    and rows looked at.
+    and rows looked at. `sample` is the result of bounded_sample, if at hand.
 
-    The end of a full sample is one key per source; rows are counted against it.
+    The end of a full sample is one key per source; the large rows are compared with it
+    where they are and only counts are shuffled.
     """
+    keys = ["source", "path", "chunk_index", "file_size"]
     at = F.struct("path", "chunk_index")
-    sampled = bounded_sample(rows.select("source", "path", "chunk_index", "file_size"), n, max_bytes)
-    ends = sampled.groupBy("source").agg(
-        F.count("*").alias("sampled"), F.max(at).alias("last")
+    if sample is None:
+        sample = bounded_sample(rows.select(keys), n, max_bytes)
+    ends = stage(
+        sample.groupBy("source").agg(F.count("*").alias("sampled"), F.max(at).alias("last"))
     )
     # The n-th hit ends the scan; a sample that never fills scans everything.
+    skipped = F.col("sampled").isNull() | (F.col("sampled") < n) | (F.col("at") < F.col("last"))
     large = rows.where((F.col("file_size") > max_bytes) & (F.col("source") != C.LARGE_SUBSET))
     skips = (
         large.select("source", at.alias("at"))
-        .join(ends, "source", "left")
-        .where("sampled is null or sampled < {0} or at < last".format(int(n)))
+        .join(small_side(ends), "source", "left")
+        .where(skipped)
         .groupBy("source")
         .agg(F.count("*").alias("skipped"))
     )

@@ -12,6 +12,7 @@ from paperloom import constants as C
 from paperloom.functions.content import signature_matches
 from paperloom.functions.paths import matches_any
 from paperloom.operators.sampling import bounded_sample, sample_stats, top_values
+from paperloom.plans.staging import stage
 from paperloom.schema import ARCHIVE_UNCHUNKED, LARGE_FILES
 
 CHECKS = ["subset", "check", "severity", "detail", "n"]
@@ -121,7 +122,7 @@ def chunk_completeness(rows: DataFrame) -> DataFrame:
 def _check(df: DataFrame, check: str, severity, detail, n: str, subset: str = "source") -> DataFrame:
     severity = F.lit(severity) if isinstance(severity, str) else severity
     return df.select(
-        F.col(subset).alias("subset"),
+        F.col(subset).cast("string").alias("subset"),
         F.lit(check).alias("check"),
         severity.alias("severity"),
         detail.cast("string").alias("detail"),
@@ -142,11 +143,11 @@ def validate_archive(
     """All checks as one long table (subset, check, severity, detail, n).
 
     Errors and warnings appear only where something was found; `info` rows describe the
-    sample. `validation_verdict` turns the table into a result. Only the content probe
-    reads content.
+    sample. `validation_verdict` turns the table into a result. The sample and its
+    counts are staged, as several checks read them; only the content probe reads content.
     """
     meta = rows.drop("content")
-    sample = bounded_sample(meta, sample_rows, max_bytes)
+    sample = stage(bounded_sample(meta, sample_rows, max_bytes))
     large_sample = large.withColumn("source", F.lit(C.LARGE_SUBSET))
     one = F.lit(1)
     none = F.lit(None)
@@ -154,9 +155,11 @@ def validate_archive(
     schema = schema_diff(rows, expected_schema).unionAll(
         schema_diff(large_sample, LARGE_FILES)
     ).withColumn("n", one)
-    stats = sample_stats(meta, sample_rows, max_bytes)
+    stats = stage(sample_stats(meta, sample_rows, max_bytes, sample))
     rules = large_file_rules(large_sample)
+    empty = meta.agg(F.count("*").alias("rows")).where("rows = 0").select(none.alias("source"), one.alias("n"))
     checks = [
+        _check(empty, "no_subsets", "error", none, "n"),
         _check(missing_subsets(expected_subsets, rows).withColumn("n", one), "missing_subset", "warning", none, "n"),
         _check(schema, "schema", F.col("severity"), F.concat_ws(" ", "kind", "column"), "n", "subset"),
         _check(stats.where("sampled = 0"), "no_data", "error", none, "checked"),

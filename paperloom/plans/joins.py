@@ -1,0 +1,18 @@
+"""Joins with small tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+MAX_BROADCAST_ROWS = 100_000
+
+
+def small_side(staged: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """`staged` with a broadcast hint if it has at most `max_rows` rows; as it is otherwise.
+
+    Counting needs the table to be staged. Beyond the bound adaptive execution chooses
+    the join and splits skewed keys.
+    """
+    counted = staged.limit(max_rows + 1).count()
+    return F.broadcast(staged) if counted <= max_rows else staged

@@ -18,8 +18,8 @@ JOINED_SQL = (
     + f""",
 joined AS (
   SELECT p.*, l.file_id, l.repo_path FROM published p LEFT JOIN (
-    SELECT 'doc-' || doc_id AS file_id, source, path,
-      'large_files/' || regexp_extract(path, '([^/]*)$', 1) AS repo_path
+    SELECT md5(source || '/' || path) AS file_id, source, path,
+      'large_files/' || source || '/' || path AS repo_path
     FROM files WHERE file_size > {B.MAX_FILE}) l
   ON p.source = l.source AND p.path = l.path)"""
 )

@@ -15,7 +15,8 @@ from paperloom.registry.manifests import FIRSTS_SQL, STATS_SQL
 from paperloom.registry.projections import ARCHIVE_DIGESTS
 from paperloom.registry.summaries import SHARDS_SQL
 from paperloom.sources import archive, manifest
-from paperloom.sources.export import file_export
+from paperloom.sources.content import files_on_disk, load_content
+from paperloom.sources.export import file_export, large_files_publish
 from paperloom.sources.listing import list_files
 from paperloom.sources.shards import archive_write
 
@@ -170,18 +171,43 @@ def export(spark, sf):
 )
 def file_verify(spark, sf):
     """Chunked rows exported, listed and digested: the bytes must come back whole."""
-    from paperloom.sources.content import spread_by_bytes, with_file_md5
-
     out = scratch_path(spark, "export")
     file_export(B.archive(spark, sf), out, scratch_path(spark, "receipts"))
-    listed = spread_by_bytes(list_files(spark, {"": out}), "file_size", ["path"])
-    return with_file_md5(listed).select(
+    return files_on_disk(spark, {"": out}).select(
         F.split_part("path", F.lit("/"), F.lit(1)).alias("source"),
         F.regexp_replace("path", "^[^/]*/", "").alias("path"),
         "file_size", "md5",
     )
 
 
+@query(
+    "content_load",
+    f"""WITH {B.FILES_SQL}, sizes AS (SELECT *, CASE WHEN file_size > {B.MAX_FILE}
+      THEN (file_size + {B.CHUNK - 1}) // {B.CHUNK} ELSE 1 END AS chunks FROM files)
+    SELECT source, path, location, chunk_index, CASE WHEN location = 'embedded' THEN md5
+      ELSE md5(unhex(substr(hex(encode(text)), chunk_index * {2 * B.CHUNK} + 1, {2 * B.CHUNK})))
+      END AS content_md5
+    FROM (SELECT *, CASE WHEN chunks = 1 THEN 'embedded' ELSE 'external' END AS location,
+      CAST(unnest(range(chunks)) AS INT) AS chunk_index FROM sizes) WHERE {_NOT_EXCLUDED}""",
+)
+def content_load(spark, sf):
+    """Large files published outside the archive and read back next to embedded ones."""
+    tree = _file_tree(spark, sf)
+    repo = scratch_path(spark, "repo")
+    listed = list_files(spark, tree)
+    rows = archive.plan_rows(listed, large="external", max_bytes=B.MAX_FILE)
+    archive_write(rows, repo, B.SHARD)
+    side = O.large_files_build(rows, B.MAX_FILE)
+    archive.large_files_write(side, repo)
+    large_files_publish(listed, side, repo, scratch_path(spark, "receipts"))
+    loaded = load_content(
+        archive.read_archive(spark, repo), archive.large_files_scan(spark, repo), repo, B.CHUNK
+    )
+    return loaded.select(
+        "source", "path", "location", "chunk_index", F.md5("content").alias("content_md5")
+    )
+
+
 @query("manifest_scan", f"WITH {B.MANIFEST_SQL} SELECT id, path, md5, size FROM manifest")
 def manifest_scan(spark, sf):
     out = scratch_path(spark, "manifest")

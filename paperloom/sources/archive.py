@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from paperloom import constants as C
 from paperloom.functions.content import chunk_count
 from paperloom.functions.paths import file_extension, file_type, matches_none
-from paperloom.schema import ARCHIVE
+from paperloom.schema import ARCHIVE, LARGE_FILES
 from paperloom.sources.content import attach_content, spread_by_bytes
 from paperloom.sources.listing import list_files
 
@@ -86,10 +86,14 @@ def scan_shards(spark: SparkSession, root: str, partitioned: bool = True) -> Dat
     """The shard files of an archive, with the file metadata column at hand.
 
     `source` is the partition column of `source=name` folders. Archives with plain
-    `name` folders (`partitioned=False`) keep it in their rows.
+    `name` folders (`partitioned=False`) keep it in their rows. The side table of large
+    files next to the subsets is left out.
     """
     reader = spark.read.schema(ARCHIVE)
-    return reader.parquet(root) if partitioned else reader.parquet(root, recursiveFileLookup=True)
+    if partitioned:
+        return reader.option("basePath", root).parquet(f"{root}/source=*")
+    in_side_table = F.contains("_metadata.file_path", F.lit(f"/{C.LARGE_SUBSET}/"))
+    return reader.parquet(root, recursiveFileLookup=True).where(~in_side_table)
 
 
 def read_archive(spark: SparkSession, root: str, partitioned: bool = True) -> DataFrame:
@@ -104,12 +108,26 @@ def subset_scan(spark: SparkSession, root: str, source: str, partitioned: bool =
     return read_archive(spark, root).where(F.col("source") == source)
 
 
+def large_files_write(large: DataFrame, root: str) -> None:
+    """Write the side table next to the subsets of an archive."""
+    large.write.parquet(f"{root}/{C.LARGE_SUBSET}")
+
+
+def large_files_scan(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.schema(LARGE_FILES).parquet(f"{root}/{C.LARGE_SUBSET}")
+
+
 def all_subsets_scan(
     spark: SparkSession, root: str, partitioned: bool = True
 ) -> dict[str, DataFrame]:
-    """Every subset by name, each a lazy DataFrame."""
+    """Every subset by name, the side table included, each a lazy DataFrame."""
     names = [r.source for r in discover_subsets(spark, root).select("source").collect()]
-    return {name: subset_scan(spark, root, name, partitioned) for name in sorted(names)}
+    return {
+        name: large_files_scan(spark, root)
+        if name == C.LARGE_SUBSET
+        else subset_scan(spark, root, name, partitioned)
+        for name in sorted(names)
+    }
 
 
 def discover_subsets(spark: SparkSession, root: str) -> DataFrame:

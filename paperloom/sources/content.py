@@ -6,10 +6,13 @@ import hashlib
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
+from paperloom.functions.content import content_location
+from paperloom.operators.archive import large_file_join
+from paperloom.sources.listing import list_files
 from paperloom.sources.storage import read_from, read_range
 
 TASK_BYTES = 256 << 20
@@ -67,6 +70,37 @@ def attach_content(located: DataFrame) -> DataFrame:
     return located.mapInArrow(_reader, out)
 
 
+def load_content(
+    rows: DataFrame, large: DataFrame, repo_root: str, chunk_bytes: int = 64 << 20
+) -> DataFrame:
+    """The bytes of archive rows wherever they are kept: embedded, or below `repo_root`.
+
+    Returns (source, path, chunk_index, location, content, read_error). External files
+    are read in chunks by the tasks; restrict `rows` first to read only what is needed.
+    """
+    joined = large_file_join(rows, large).withColumn(
+        "location", content_location(F.col("content_available"), F.col("repo_path"))
+    )
+    shown = ["source", "path", "chunk_index", "location", "content", "read_error"]
+    lost = F.when(F.col("location") == "unavailable", F.lit("content not available"))
+    kept = joined.where("location <> 'external'").withColumn("read_error", lost)
+    start = F.col("chunk_index").cast("bigint") * F.lit(chunk_bytes)
+    chunks = F.greatest(F.ceil(F.col("file_size") / F.lit(chunk_bytes)).cast("int"), F.lit(1))
+    located = (
+        joined.where("location = 'external'")
+        .withColumn("chunk_index", F.explode(F.sequence(F.lit(0), chunks - 1)))
+        .select(
+            "source", F.col("path").alias("archive_path"), "chunk_index", "location",
+            F.lit(repo_root.rstrip("/")).alias("root"),
+            F.col("repo_path").alias("path"),
+            start.alias("offset"),
+            F.least(F.lit(chunk_bytes), F.col("file_size") - start).alias("nbytes"),
+        )
+    )
+    read = attach_content(located).withColumn("path", F.col("archive_path"))
+    return kept.select(shown).unionAll(read.select(shown))
+
+
 def _digester(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         digests = []
@@ -86,3 +120,9 @@ def with_file_md5(files: DataFrame) -> DataFrame:
     """Add the md5 of each whole file; bytes are digested where read and never kept."""
     out = StructType([*files.schema.fields, StructField("md5", StringType())])
     return files.mapInArrow(_digester, out)
+
+
+def files_on_disk(spark: SparkSession, roots: dict[str, str]) -> DataFrame:
+    """Files below each root with the md5 of their bytes, as verify_manifest expects them."""
+    listed = list_files(spark, roots)
+    return with_file_md5(spread_by_bytes(listed, "file_size", ["source", "path"]))

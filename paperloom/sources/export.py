@@ -8,7 +8,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paperloom.sources.storage import AtomicFile
+from paperloom.sources.content import spread_by_bytes
+from paperloom.sources.storage import AtomicFile, read_from
 
 _RECEIPT = "source string, path string, file_path string, written bigint"
 
@@ -70,3 +71,36 @@ def file_export(rows: DataFrame, out: str, receipts: str) -> DataFrame:
     done = [part.mapInArrow(export, _RECEIPT) for part in (whole, chunked)]
     done[0].unionAll(done[1]).write.mode("overwrite").parquet(receipts)
     return rows.sparkSession.read.schema(_RECEIPT).parquet(receipts)
+
+
+def _copier(out: str):
+    def copy(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            written = []
+            for root, path, repo_path in zip(
+                *(batch.column(c).to_pylist() for c in ("root", "path", "repo_path"))
+            ):
+                target, size = AtomicFile(f"{out}/{repo_path}"), 0
+                for piece in read_from(f"{root}/{path}"):
+                    target.write(piece)
+                    size += len(piece)
+                target.publish()
+                written.append(size)
+            columns = [*batch.select(["source", "path", "repo_path"]).columns, pa.array(written, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["source", "path", "repo_path", "written"])
+
+    return copy
+
+
+def large_files_publish(files: DataFrame, large: DataFrame, out: str, receipts: str) -> DataFrame:
+    """Copy the listed files named by a side table to `out/repo_path`, piece by piece.
+
+    Returns the receipts (source, path, repo_path, written).
+    """
+    schema = "source string, path string, repo_path string, written bigint"
+    chosen = files.join(large.select("source", "path", "repo_path"), ["source", "path"])
+    spread = spread_by_bytes(chosen, "file_size", ["source", "path"])
+    spread.select("source", "root", "path", "repo_path").mapInArrow(
+        _copier(out.rstrip("/")), schema
+    ).write.mode("overwrite").parquet(receipts)
+    return files.sparkSession.read.schema(schema).parquet(receipts)

@@ -13,7 +13,7 @@ from paperloom.operators.manifest import verify_manifest
 from paperloom.operators.validation import chunk_completeness
 from paperloom.schema import ARCHIVE
 from paperloom.sources import archive
-from paperloom.sources.content import with_file_md5
+from paperloom.sources.content import files_on_disk
 from paperloom.sources.export import file_export
 from paperloom.sources.listing import list_files
 from paperloom.sources.shards import archive_write
@@ -177,7 +177,7 @@ def test_export_refuses_unsafe_paths(spark, tmp_path, path):
 
 def test_verify_files_on_disk(spark, tree):
     root, contents = tree
-    actual = with_file_md5(list_files(spark, {"s": str(root)}))
+    actual = files_on_disk(spark, {"s": str(root)})
     rows = [(i, n, n, hashlib.md5(d).hexdigest(), len(d)) for i, (n, d) in enumerate(contents.items())]
     rows.append((99, "lost", "lost", None, None))
     wanted = spark.createDataFrame(rows, "ord bigint, id string, path string, md5 string, size bigint")

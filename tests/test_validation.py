@@ -50,6 +50,11 @@ def test_every_kind_of_finding(spark):
     assert (verdict.success, verdict.errors, verdict.warnings) == (False, 3, 3)
 
 
+def test_an_empty_archive_fails(spark):
+    found, verdict = run(spark, [], [], expected=())
+    assert found == {(None, "no_subsets", "error", None, 1)} and not verdict.success
+
+
 def test_schema_differences(spark):
     df = spark.createDataFrame([row("a")], ARCHIVE).drop("content").withColumn("file_size", F.lit("1"))
     found = {(r.subset, r.column, r.kind, r.severity) for r in V.schema_diff(df, ARCHIVE_UNCHUNKED).collect()}
