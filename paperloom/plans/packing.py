@@ -25,8 +25,8 @@ from paperloom.functions.paths import shard_name
 from paperloom.plans.ordering import running_total
 from paperloom.plans.staging import stage
 
-BLOCK_SHARDS = 16
-FAN_IN = 64
+BLOCK_SHARDS = 8
+FAN_IN = 16
 
 _ANY = np.iinfo(np.int64).max
 _UNCHANGED = -1

@@ -14,7 +14,7 @@ from urllib.parse import quote
 
 import pyarrow as pa
 import pyarrow.parquet as pq
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
@@ -62,7 +62,15 @@ class _Shard:
 
     def __init__(self, uri: str):
         self.file = AtomicFile(uri)
-        self.parquet = pq.ParquetWriter(self.file.stream, _SHARD_SCHEMA, compression="snappy")
+        # File bytes are distinct and large: a dictionary or min/max of them helps no one.
+        described = [name for name in _SHARD_SCHEMA.names if name != "content"]
+        self.parquet = pq.ParquetWriter(
+            self.file.stream,
+            _SHARD_SCHEMA,
+            compression="snappy",
+            use_dictionary=["source", "file_type", "extension"],
+            write_statistics=described,
+        )
         self.rows: list[dict] = []
         self.held = 0
 
@@ -178,11 +186,16 @@ def _looked_up(rows: DataFrame, starts: DataFrame) -> DataFrame:
     pages = paged.groupBy("source", "page").agg(
         F.collect_list("first").alias("page_starts"), F.min("first").alias("page_start")
     )
-    directory = starts.groupBy("source").agg(F.max("shard_total").alias("shard_total")).join(
+    # One row per source, of at most MAX_KNOWN_SHARDS sources.
+    earlier = Window.orderBy("source").rowsBetween(Window.unboundedPreceding, -1)
+    totals = starts.groupBy("source").agg(F.max("shard_total").alias("shard_total")).withColumn(
+        "first_id", F.coalesce(F.sum("shard_total").over(earlier), F.lit(0))
+    )
+    directory = totals.join(
         pages.groupBy("source").agg(F.collect_list("page_start").alias("directory")), "source"
     )
 
-    def reached(column: str):
+    def reached(column: str) -> Column:
         return F.size(F.filter(column, lambda start: start <= first)) - 1
 
     return (
@@ -190,15 +203,16 @@ def _looked_up(rows: DataFrame, starts: DataFrame) -> DataFrame:
         .withColumn("page", reached("directory"))
         .join(F.broadcast(pages.drop("page_start")), ["source", "page"])
         .withColumn("shard", F.col("page") * PAGE + reached("page_starts"))
-        .select(*rows.columns, "shard", "shard_total")
+        .select(*rows.columns, "shard", "shard_total", (F.col("first_id") + F.col("shard")).alias("id"))
     )
 
 
-def with_shards(rows: DataFrame, plan: DataFrame) -> tuple[DataFrame, int]:
-    """Rows with shard and shard_total, and how many tasks should write them.
+def by_shard(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """Rows with shard and shard_total, partitioned so that a shard is in one task.
 
     Up to MAX_KNOWN_SHARDS shards their starts are small enough to broadcast, so rows
-    look themselves up; beyond that the plan is joined by key.
+    look themselves up and shards are dealt out evenly; beyond that the plan is joined
+    by key and shards are hashed to tasks.
     """
     starts = stage(
         plan.groupBy("source", "shard").agg(
@@ -208,12 +222,13 @@ def with_shards(rows: DataFrame, plan: DataFrame) -> tuple[DataFrame, int]:
         )
     )
     shards, total = starts.agg(F.count("*"), F.coalesce(F.sum("bytes"), F.lit(0))).first()
+    wanted = max(rows.sparkSession.sparkContext.defaultParallelism, total // TASK_BYTES)
+    tasks = max(1, min(shards, wanted, MAX_WRITE_TASKS))
     if shards <= MAX_KNOWN_SHARDS:
         placed = _looked_up(rows, starts)
-    else:
-        placed = rows.join(plan.select(*_KEYS, "shard", "shard_total"), _KEYS)
-    wanted = max(rows.sparkSession.sparkContext.defaultParallelism, total // TASK_BYTES)
-    return placed, max(1, min(shards, wanted, MAX_WRITE_TASKS))
+        return placed.repartitionById(tasks, (F.col("id") % tasks).cast("int")).drop("id")
+    joined = rows.join(plan.select(*_KEYS, "shard", "shard_total"), _KEYS)
+    return joined.repartition(tasks, "source", "shard")
 
 
 def archive_write(
@@ -236,10 +251,9 @@ def archive_write(
     located = all(name in rows.columns for name in LOCATION)
     payload = [c for c in ARCHIVE.fieldNames() if c != "content"]
     payload += LOCATION if located else ["content"]
-    placed, tasks = with_shards(rows.select(payload), plan)
     rows.sparkSession.dataSource.register(ShardSink)
     (
-        placed.repartition(tasks, "source", "shard")
+        by_shard(rows.select(payload), plan)
         .sortWithinPartitions("source", "shard", "path", "chunk_index")
         .withColumn("shard_file", shard_name(F.col("source"), F.col("shard"), F.col("shard_total")))
         .drop("shard", "shard_total")

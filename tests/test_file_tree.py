@@ -158,11 +158,11 @@ def test_more_shards_than_can_be_broadcast(spark, tree, tmp_path, monkeypatch):
     root, _ = tree
     rows = archive.plan_rows(list_files(spark, {"s": str(root)}), max_bytes=LIMIT, chunk_bytes=CHUNK)
     plan = archive_write(rows, str(tmp_path / "a"), SHARD)
-    known = shards.with_shards(rows, plan)[0].select("path", "chunk_index", "shard", "shard_total")
+    known = shards.by_shard(rows, plan).select("path", "chunk_index", "shard", "shard_total")
     monkeypatch.setattr(shards, "PAGE", 2)
-    paged = shards.with_shards(rows, plan)[0].select("path", "chunk_index", "shard", "shard_total")
+    paged = shards.by_shard(rows, plan).select("path", "chunk_index", "shard", "shard_total")
     monkeypatch.setattr(shards, "MAX_KNOWN_SHARDS", 0)
-    joined = shards.with_shards(rows, plan)[0].select("path", "chunk_index", "shard", "shard_total")
+    joined = shards.by_shard(rows, plan).select("path", "chunk_index", "shard", "shard_total")
     want = sorted(plan.select("path", "chunk_index", "shard", "shard_total").collect())
     assert sorted(known.collect()) == sorted(paged.collect()) == sorted(joined.collect()) == want
 

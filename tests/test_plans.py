@@ -9,7 +9,7 @@ from paperloom import bindings as B
 from paperloom.operators import archive as A
 from paperloom.operators import filters, manifest, rewrite, sampling, validation
 from paperloom.sources import archive
-from paperloom.sources.shards import archive_write, row_bytes, with_shards
+from paperloom.sources.shards import archive_write, row_bytes, by_shard
 
 SF = "/root/testdata/sf0.001"
 
@@ -62,7 +62,7 @@ def test_sizes_come_from_metadata(written):
 
 def test_content_is_shuffled_once(written):
     rows, plan, _ = written
-    text = explained(with_shards(rows, plan)[0].repartition(4, "source", "shard"))
+    text = explained(by_shard(rows, plan))
     carrying = [part for part in re.split(r"\n\n+", text)
                 if re.match(r"\(\d+\) Exchange", part) and re.search(r"\bcontent#", part)]
     assert len(carrying) == 1
