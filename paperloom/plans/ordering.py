@@ -21,11 +21,12 @@ def running_total(
 ) -> DataFrame:
     """Add `name`: the sum of `value` over all earlier rows of the same group.
 
-    `order` must be unique within the group, and group columns must not be null.
+    `order` must be unique within the group. A null in a group column fails the job.
     """
     keys = [*group, PART]
     parts = stage(
         df.withColumn("_value", value)
+        .withColumns({g: _not_null(g) for g in group})
         .repartitionByRange(*group, *order)
         .withColumn(PART, F.spark_partition_id())
     )
@@ -46,6 +47,10 @@ def running_total(
     )
 
 
+def _not_null(name: str) -> Column:
+    return F.coalesce(F.col(name), F.raise_error(F.lit(f"{name} must not be null")))
+
+
 def row_positions(df: DataFrame, group: list[str], order: list[str], name: str) -> DataFrame:
     """Add `name`: the 0-based position of each row within its group."""
     return running_total(df, group, order, F.lit(1).cast("bigint"), name)

@@ -92,7 +92,7 @@ def all_subsets_scan(spark, sf):
 
 @query("discover_subsets", f"WITH RECURSIVE {SHARDS_SQL} SELECT source, shards FROM shards")
 def discover_subsets(spark, sf):
-    return archive.discover_subsets(spark, _written(spark, sf))
+    return archive.discover_subsets(spark, _written(spark, sf)).select("source", "shards")
 
 
 @query(

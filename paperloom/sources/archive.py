@@ -131,7 +131,7 @@ def all_subsets_scan(
 
 
 def discover_subsets(spark: SparkSession, root: str) -> DataFrame:
-    """Subset folders holding at least one Parquet shard, with their shard counts."""
+    """Subset folders holding at least one Parquet file: (source, pattern, shards)."""
     folder = F.split_part("path", F.lit("/"), F.lit(1))
     name = F.split_part("path", F.lit("/"), F.lit(2))
     partition_value = F.url_decode(F.regexp_replace(folder, "^source=", ""))
@@ -140,6 +140,6 @@ def discover_subsets(spark: SparkSession, root: str) -> DataFrame:
         list_files(spark, {"": root})
         .where(F.size(F.split("path", "/")) == 2)
         .where(name.endswith(".parquet") & ~name.startswith("."))
-        .groupBy(source.alias("source"))
+        .groupBy(source.alias("source"), F.concat("root", F.lit("/"), folder, F.lit("/*.parquet")).alias("pattern"))
         .agg(F.count("*").alias("shards"))
     )

@@ -152,6 +152,14 @@ def test_single_shard_is_named_in_full(spark, tmp_path):
     assert [p.name for p in (tmp_path / "out").rglob("*.parquet")] == ["s-00000-of-00001.parquet"]
 
 
+def test_an_empty_folder_is_an_archive_without_shards(spark, tmp_path):
+    (tmp_path / "in" / "sub").mkdir(parents=True)
+    listed = list_files(spark, {"s": str(tmp_path / "in")})
+    assert archive_write(archive.plan_rows(listed), str(tmp_path / "out")).isEmpty()
+    assert '"shards": 0' in (tmp_path / "out" / "_SUCCESS").read_text()
+    assert archive.discover_subsets(spark, str(tmp_path / "out")).isEmpty()
+
+
 def test_more_shards_than_can_be_broadcast(spark, tree, tmp_path, monkeypatch):
     from paperloom.sources import shards
 

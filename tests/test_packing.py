@@ -2,7 +2,10 @@
 
 import random
 
+import pandas as pd
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from paperloom.plans import packing
 from paperloom.plans.ordering import row_positions, running_total
@@ -64,6 +67,56 @@ def test_shards_equal_a_plain_walk(spark, monkeypatch, block_shards, fan_in):
     assert got == greedy(rows, LIMIT)
 
 
+def in_blocks(sizes, limit, block_bytes, fan_in):
+    """Closing positions of one source, found the distributed way but without Spark."""
+    rows, before = [], 0
+    for size in sizes:
+        rows.append((before // block_bytes, before, before + size))
+        before += size
+    df = pd.DataFrame(rows, columns=["block", "before", "end"]).assign(source="s")
+    steps = packing._block_steps(limit)
+    blocks = pd.concat([steps(g) for _, g in df.groupby("block")], ignore_index=True)
+    levels = [blocks]
+    while levels[-1]["block"].max() >= fan_in:
+        level = levels[-1].assign(parent=levels[-1]["block"] // fan_in)
+        levels.append(pd.concat([packing._compose(g) for _, g in level.groupby("parent")], ignore_index=True))
+    entries = {0: (0, 0)}
+    for level in reversed(levels):
+        level = level.assign(parent=level["block"] // fan_in)
+        found = {}
+        for parent, g in level.groupby("parent"):
+            opened, closed = entries[parent]
+            down = packing._descend(g.assign(opened=opened, closed=closed))
+            found.update({r.block: (r.opened, r.closed) for r in down.itertuples()})
+        entries = found
+    closes = []
+    for block, (opened, closed) in sorted(entries.items()):
+        assert closed == len(closes)
+        here = blocks[(blocks["block"] == block) & (blocks["upto"] >= opened)]
+        closes += here.sort_values("upto").iloc[0]["closes"]
+    return [sum(c <= b for c in closes) for _, b, _ in rows]
+
+
+@settings(max_examples=300, deadline=None)
+@given(
+    sizes=st.lists(st.one_of(st.integers(0, 40), st.sampled_from([0, 1, 99, 100, 101, 700])), min_size=1, max_size=120),
+    limit=st.sampled_from([1, 2, 30, 100]),
+    block=st.integers(1, 5),
+    fan_in=st.integers(2, 5),
+)
+def test_block_walk_equals_a_plain_walk(sizes, limit, block, fan_in):
+    rows = [("s", f"{i:06d}", 0, size) for i, size in enumerate(sizes)]
+    want = greedy(rows, limit)
+    got = in_blocks(sizes, limit, limit * block, fan_in)
+    assert got == [want[r[:3]][0] for r in rows]
+
+
+def test_null_sources_are_refused(spark):
+    df = spark.createDataFrame([(None, "p", 0, 1)], "source string, path string, chunk_index int, nbytes bigint")
+    with pytest.raises(Exception, match="source must not be null"):
+        packing.assign_shards(df, 10)
+
+
 def test_limit_must_be_positive(spark):
     df = spark.createDataFrame([("a", "p", 0, 1)], "source string, path string, chunk_index int, nbytes bigint")
     with pytest.raises(ValueError):
