@@ -14,10 +14,19 @@ from paperloom import constants as C
 from paperloom.functions.paths import matches_any
 from paperloom.operators.archive import edge_files
 from paperloom.plans.staging import stage
+from paperloom.schema import ARCHIVE
 from paperloom.sources.archive import scan_shards
+from paperloom.sources.content import spread_by_bytes
+from paperloom.sources.listing import list_files
 from paperloom.sources.storage import AtomicFile, resolve
 
-MAX_REWRITE_TASKS = 100_000
+
+def _edge_shards(spark: SparkSession, root: str) -> list[str]:
+    """The first and last shard file of each subset: two names per subset."""
+    shards = list_files(spark, {"": root}).where(F.col("path").endswith(".parquet"))
+    folder = F.split_part("path", F.lit("/"), F.lit(1))
+    edges = edge_files(shards.select(folder.alias("source"), F.col("path").alias("file")))
+    return [f"{root}/{r.file}" for r in edges.where(F.col("source") != C.LARGE_SUBSET).collect()]
 
 
 def removed_rows(
@@ -27,22 +36,23 @@ def removed_rows(
     edges_only: bool = False,
     partitioned: bool = True,
 ) -> DataFrame:
-    """Per shard file: rows before, kept and removed. Reads the path column only.
+    """Per shard file: its size, and rows before, kept and removed. Reads paths only.
 
-    `edges_only` looks at the first and last shard of each subset, which is fast and
+    `edges_only` opens only the first and last shard of each subset, which is fast and
     may overlook rows in between.
     """
-    rows = scan_shards(spark, root, partitioned)
+    if edges_only:
+        rows = spark.read.schema(ARCHIVE).option("basePath", root).parquet(*_edge_shards(spark, root))
+    else:
+        rows = scan_shards(spark, root, partitioned)
     file = F.col("_metadata.file_path")
     hit = matches_any(F.col("path"), patterns)
-    counts = rows.groupBy("source", file.alias("file")).agg(
+    return rows.groupBy("source", file.alias("file")).agg(
+        F.max("_metadata.file_size").alias("file_bytes"),
         F.count("*").alias("rows_before"),
         F.count_if(~hit).alias("rows_kept"),
         F.count_if(hit).alias("rows_removed"),
     )
-    if edges_only:
-        counts = counts.join(edge_files(counts), ["source", "file"], "left_semi")
-    return counts
 
 
 def removal_totals(counts: DataFrame) -> DataFrame:
@@ -94,9 +104,8 @@ def filter_archive(
     if dry_run:
         return counts
     decoded = F.url_decode(F.replace("file", F.lit("+"), F.lit("%2B")))
-    affected = counts.where("rows_removed > 0").select(decoded.alias("uri"))
-    n = affected.count()
-    if n:
-        done = affected.repartition(min(n, MAX_REWRITE_TASKS), "uri").mapInArrow(_rewriter(patterns), "uri string")
-        done.write.format("noop").mode("overwrite").save()
+    affected = counts.where("rows_removed > 0").select(decoded.alias("uri"), "file_bytes")
+    spread = spread_by_bytes(affected, "file_bytes", ["uri"]).select("uri")
+    done = spread.mapInArrow(_rewriter(patterns), "uri string")
+    done.write.format("noop").mode("overwrite").save()
     return counts

@@ -122,6 +122,8 @@ def _block_entries(steps: DataFrame, top_block: int) -> DataFrame:
     zero = F.lit(0).cast("bigint")
     entries = levels[-1].select("source", zero.alias("parent")).distinct()
     entries = entries.select("*", zero.alias("opened"), zero.alias("closed"))
+    if top_block == 0:
+        return entries.withColumnRenamed("parent", "block")
     for level in reversed(levels):
         entries = (
             level.select("*", parent)

@@ -117,7 +117,7 @@ counts AS (
 @query("removed_rows", f"{_PER_FILE} SELECT * FROM counts")
 def removed_rows(spark, sf):
     counts = rewrite.removed_rows(spark, _written(spark, sf))
-    return counts.withColumn("file", F.element_at(F.split("file", "/"), -1))
+    return counts.drop("file_bytes").withColumn("file", F.element_at(F.split("file", "/"), -1))
 
 
 @query(
@@ -128,7 +128,7 @@ def removed_rows(spark, sf):
 )
 def removed_rows_edges(spark, sf):
     counts = rewrite.removed_rows(spark, _written(spark, sf), edges_only=True)
-    return counts.withColumn("file", F.element_at(F.split("file", "/"), -1))
+    return counts.drop("file_bytes").withColumn("file", F.element_at(F.split("file", "/"), -1))
 
 
 @query(

@@ -215,6 +215,19 @@ def test_filter_in_place(spark, tree, tmp_path, partitioned):
     assert rewrite.removal_totals(again).first().total_removed == 0
 
 
+@pytest.mark.parametrize("partitioned", [True, False])
+def test_edges_only_opens_first_and_last_shards(spark, tree, tmp_path, partitioned):
+    root, _ = tree
+    out = str(tmp_path / "archive")
+    rows = archive.plan_rows(list_files(spark, {"s 1": str(root), "t": str(root)}), max_bytes=LIMIT, chunk_bytes=CHUNK)
+    plan = archive_write(rows, out, SHARD, partitioned)
+    ends = {(r.source, r.shard_file) for r in plan.where("shard in (0, shard_total - 1)").collect()}
+    counts = rewrite.removed_rows(spark, out, edges_only=True, partitioned=partitioned)
+    assert len(counts.inputFiles()) == 4
+    assert {(r.source, r.file.split("/")[-1].replace("%20", " ")) for r in counts.collect()} == ends
+    assert rewrite.removed_rows(spark, out, partitioned=partitioned).count() > 4
+
+
 def test_filter_edges_only(spark, tmp_path):
     from paperloom.operators.archive import edge_files
 
