@@ -15,6 +15,9 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 import __spark_entry__ as entry  # noqa: E402
 
 
+SQL_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN"}
+
+
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for file in Path(sf_dir).glob("*.parquet"):
@@ -47,13 +50,9 @@ def differences(spark: SparkSession, con, name: str, sf_dir: str) -> list[str]:
     if got != want:
         odd = [(g, w) for g, w in zip(got, want) if g != w][:3]
         found.append(f"values differ: {odd}")
-    sample = dict(zip(sorted(relation.columns), zip(*want))) if want else {}
-    kinds = {c: {type(v) for v in vs if v is not None} for c, vs in sample.items()}
-    mine = dict(zip(sorted(df.columns), zip(*got))) if got else {}
-    for c, ks in kinds.items():
-        other = {type(v) for v in mine.get(c, ()) if v is not None}
-        if ks != other:
-            found.append(f"type of {c}: {other} != {ks}")
+    mine = {c: SQL_TYPES.get(t, t) for c, t in df.dtypes}
+    theirs = {c: str(t) for c, t in zip(relation.columns, relation.types)}
+    found += [f"type of {c}: {mine[c]} != {theirs.get(c)}" for c in mine if mine[c] != theirs.get(c)]
     return found
 
 
