@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paperloom.llm import rules
+from paperloom.llm import minhash, rules
 from paperloom.llm.staging import staged, table
 
 
@@ -16,8 +16,14 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return rules.keep_good(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of every group of near duplicates."""
+    return minhash.keep_one(docs)
+
+
 STAGES = [
     ("quality rules", quality),
+    ("near duplicates", near_dedup),
 ]
 ORACLE_SQL: str | None = None
 

@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from paperloom.llm import rules
+from paperloom.llm import minhash, rules
 from paperloom.llm.staging import table
 
 
@@ -15,7 +14,12 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *[f"rules.{x}" for x in names])
 
 
+def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), n=4, percent=80)
+
+
 QUERIES = {
+    "op10_minhash_near_dedup": op10_minhash_near_dedup,
     "op4_quality_rules": op4_quality_rules,
 }
 ORACLE_SQL: dict[str, str] = {}
