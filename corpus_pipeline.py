@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paperloom.llm import minhash, rules
+from paperloom.llm import decontaminate, minhash, rules
 from paperloom.llm.staging import staged, table
 
 
@@ -21,9 +21,15 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return minhash.keep_one(docs)
 
 
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without benchmark passages."""
+    return decontaminate.keep_clean(docs, table(spark, sf_dir, "benchmark"))
+
+
 STAGES = [
     ("quality rules", quality),
     ("near duplicates", near_dedup),
+    ("decontamination", decontamination),
 ]
 ORACLE_SQL: str | None = None
 

@@ -7,6 +7,9 @@ reach that join; results do not change.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 import numpy as np
 import pandas as pd
 from pyspark import Broadcast
@@ -37,25 +40,28 @@ def test(words: np.ndarray, bits: np.ndarray) -> np.ndarray:
     return (words[low >> 6] >> (low & 63)) & 1 == 1
 
 
-def _maybe(keys: DataFrame, key: str):
-    shared = bitmap(keys.select(key).where(F.col(key).isNotNull()), F.xxhash64(key))
+def _maybe(keys: DataFrame, on: list[str]):
+    shared = bitmap(keys, F.xxhash64(*on))
 
     @F.pandas_udf("boolean")
     def maybe(hashed: pd.Series) -> pd.Series:
         return pd.Series(test(shared.value, hashed.to_numpy(np.int64)))
 
-    return maybe
+    return maybe(F.xxhash64(*on))
+
+
+def _join(df: DataFrame, keys: DataFrame, on: list[str], how: str) -> DataFrame:
+    """Join where null equals null."""
+    right = keys.select([F.col(c).alias(f"_k_{c}") for c in on]).distinct()
+    return df.join(right, reduce(and_, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in on]), how)
 
 
-def only(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    """Rows of `df` whose key is among `keys`: only rows that pass the bitmap are shuffled."""
-    maybe = _maybe(keys, key)
-    return df.where(maybe(F.xxhash64(key))).join(keys.select(key).distinct(), key, "left_semi")
+def only(df: DataFrame, keys: DataFrame, *on: str) -> DataFrame:
+    """Rows of `df` whose `on` is among `keys`: only rows that pass the bitmap are shuffled."""
+    return _join(df.where(_maybe(keys, [*on])), keys, [*on], "left_semi")
 
 
-def without(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    """Rows of `df` whose key is not among `keys` (a null key is not)."""
-    maybe = _maybe(keys, key)
-    hit = maybe(F.xxhash64(key))
-    doubtful = df.where(hit).join(keys.select(key).where(F.col(key).isNotNull()).distinct(), key, "left_anti")
-    return df.where(~hit).unionByName(doubtful)
+def without(df: DataFrame, keys: DataFrame, *on: str) -> DataFrame:
+    """Rows of `df` whose `on` is not among `keys`."""
+    hit = _maybe(keys, [*on])
+    return df.where(~hit).unionByName(_join(df.where(hit), keys, [*on], "left_anti"))

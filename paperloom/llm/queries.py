@@ -3,11 +3,20 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from paperloom.llm import minhash, rules
+from paperloom.llm import decontaminate, minhash, rules
 from paperloom.llm.staging import table
 
 
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    names = F.array_sort(F.transform(F.coalesce("items", F.array()), lambda x: x.cast("string")))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size(names).cast("long").alias("n_items"),
+        F.sha2(F.array_join(names, ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = rules.judge(table(spark, sf_dir, "documents"), keep_columns=["doc_id"])
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
@@ -20,6 +29,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
+    "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_quality_rules": op4_quality_rules,
 }
 ORACLE_SQL: dict[str, str] = {}
