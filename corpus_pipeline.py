@@ -6,8 +6,9 @@ Every stage takes what its predecessor kept, as a table read back from Parquet.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from paperloom.llm import decontaminate, minhash, rules
+from paperloom.llm import decontaminate, minhash, pii, rules
 from paperloom.llm.staging import staged, table
 
 
@@ -26,10 +27,17 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return decontaminate.keep_clean(docs, table(spark, sf_dir, "benchmark"))
 
 
+def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with surrogates in place of personal data."""
+    replaced = pii.replace_personal_data(docs, into="_pii").drop("_pii")
+    return replaced.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
 STAGES = [
     ("quality rules", quality),
     ("near duplicates", near_dedup),
     ("decontamination", decontamination),
+    ("personal data", private),
 ]
 ORACLE_SQL: str | None = None
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.llm import decontaminate, minhash, rules
+from paperloom.llm import decontaminate, minhash, pii, rules
 from paperloom.llm.staging import table
 
 
@@ -23,6 +23,13 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *[f"rules.{x}" for x in names])
 
 
+def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.replace_personal_data(docs).select(
+        "doc_id", "text", F.array_join(F.transform(F.array_sort(F.map_entries("pii")), lambda e: F.concat_ws(
+            ":", e["key"], e["value"].cast("string"))), ",").alias("entities"))
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), n=4, percent=80)
 
@@ -31,5 +38,6 @@ QUERIES = {
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_quality_rules": op4_quality_rules,
+    "op8_pii_surrogates": op8_pii_surrogates,
 }
 ORACLE_SQL: dict[str, str] = {}
