@@ -102,27 +102,91 @@ def sketched(docs: DataFrame, n: int, id_col: str = "doc_id", text_col: str = "t
         _sketcher(n), SIGNATURE)
 
 
-def _verifier(n: int, percent: int):
+def _counter(n: int):
     def full(text: str) -> np.ndarray:
         return next(shingles(w.hashes, n) for w in words(pa.array([text]), SPACED))
 
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cached = lru_cache(64)(full)  # a center comes with many members
         for batch in batches:
-            linked = []
+            rows = []
             for left, right in zip(batch.column("text_a"), batch.column("text_b")):
                 x, y = cached(left.as_py()), cached(right.as_py())
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                linked.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
-    return verify
+                rows.append((len(x), len(y), len(np.intersect1d(x, y, assume_unique=True))))
+            sizes = np.array(rows, np.int64).reshape(-1, 3)
+            yield pa.record_batch([batch.column("a"), batch.column("b"), *map(pa.array, sizes.T)], ["a", "b", "size_a", "size_b", "both"])
+    return count
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets are similar enough."""
+def _compared(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """Compare the full shingle sets of the pairs (a, b): sizes, size of the intersection,
+    and whether they are similar enough to be linked."""
     b_side = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
     a_side = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-    return pairs.join(b_side, "b").join(a_side, "a").mapInArrow(_verifier(n, percent), "a long, b long")
+    counted = pairs.join(b_side, "b").join(a_side, "a").mapInArrow(
+        _counter(n), "a long, b long, size_a long, size_b long, both long")
+    return counted.withColumn("linked", F.expr(f"100 * both >= {percent} * (size_a + size_b - both)"))
+
+
+def _shingler(n: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for w in words(batch.column(1), SPACED):
+                sets = [shingles(w.hashes[w.first[d]:w.first[d + 1]], n) for d in range(len(w.rows))]
+                ids = batch.column(0).slice(w.rows.start, len(w.rows)).to_numpy()
+                member = np.repeat(ids, [len(s) for s in sets])
+                hashes = np.concatenate(sets).view(np.int64)
+                for k in range(0, len(hashes), 100_000):
+                    yield pa.record_batch([pa.array(member[k:k + 100_000]), pa.array(hashes[k:k + 100_000])], ["member", "shingle"])
+    return run
+
+
+def _alone(members: DataFrame, texts: DataFrame, n: int) -> DataFrame:
+    """(member, size, alone): shingles of each member, and those that no other member has."""
+    ids = members.select(F.col("member").alias("doc_id")).distinct()
+    each = texts.join(ids, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(_shingler(n), "member long, shingle long")
+    each = staged(each, "shingles")
+    alone = (each.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("member").alias("member"))
+             .where("n = 1").groupBy("member").agg(F.count(F.lit(1)).alias("alone")))
+    sizes = each.groupBy("member").agg(F.count(F.lit(1)).alias("size")).join(alone, "member", "left")
+    return staged(sizes.select("member", "size", F.coalesce("alone", F.lit(0)).alias("alone")), "sizes")
+
+
+def _rest(shared: DataFrame, links: DataFrame, done: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """Links between components that meet in a band, as far as no link in `links` makes
+    them needless.
+
+    A pair is compared unless a bound rules it out. Every member is compared with a pivot
+    of its band's largest component, the one with fewest shingles of its own. Shingles that only
+    one of the pair has are at least those that nobody else has, and the differences of what they
+    add to the pivot and of what they lack of it. If this is too much for a link, there is none.
+    """
+    part = components(links)
+    grouped = staged(shared.join(part.select(F.col("node").alias("member"), "root"), "member", "left")
+                     .select("band", "member", F.coalesce("root", "member").alias("part")), "parts")
+    sizes = grouped.groupBy("band", "part").agg(F.count(F.lit(1)).alias("members"))
+    largest = (sizes.groupBy("band").agg(F.count(F.lit(1)).alias("parts"), F.max_by("part", F.struct("members", "part")).alias("main"))
+               .where("parts > 1").select("band", "main"))
+    mixed = staged(grouped.join(largest, "band"), "mixed")
+    mixed = mixed.join(_alone(mixed, texts, n), "member")
+    pivots = mixed.groupBy(F.col("part").alias("main")).agg(F.min_by("member", F.struct("alone", "member")).alias("pivot"))
+    mixed = staged(mixed.join(pivots, "main").where("member <> pivot"), "mixed")
+    around = mixed.select(F.col("pivot").alias("a"), F.col("member").alias("b")).distinct()
+    around = staged(_compared(around, texts, n, percent), "pivots")
+    known = around.select(F.col("a").alias("pivot"), F.col("b").alias("member"), "linked",
+                          (F.col("size_b") - F.col("both")).alias("added"), (F.col("size_a") - F.col("both")).alias("lacking"))
+    mixed = staged(mixed.join(known, ["pivot", "member"]).select(
+        "band", "member", F.when(F.col("linked"), F.col("main")).otherwise(F.col("part")).alias("part"), "main",
+        "size", "alone", (F.col("added") - F.col("alone")).alias("added"), "lacking"), "bounded")
+    outside = mixed.where("part <> main").drop("main").select("band", *[
+        F.col(c).alias(f"x_{c}") for c in ("member", "part", "size", "alone", "added", "lacking")])
+    least = "x_alone + alone + abs(x_added - added) + abs(x_lacking - lacking)"
+    pairs = (outside.join(mixed, "band").where("part <> x_part and (part = main or x_member < member)")
+             .where(f"{100 + percent} * ({least}) <= {100 - percent} * (size + x_size)")
+             .select(F.least("x_member", "member").alias("a"), F.greatest("x_member", "member").alias("b")).distinct()
+             .join(done, ["a", "b"], "left_anti"))
+    more = _compared(staged(pairs, "pairs"), texts, n, percent).where("linked").select("a", "b")
+    return around.where("linked").select("a", "b").unionByName(more)
 
 
 def near_duplicates(
@@ -138,8 +202,8 @@ def near_duplicates(
     Equal sets are one class with one representative, so copies make no pairs. In a band,
     all representatives are first compared with the smallest. Only where a band still holds
     several components afterwards are members outside its largest component compared with
-    the others: between them all candidates are either confirmed, refused, or already
-    connected. Components are exact for the candidates.
+    the others, unless a bound rules a link out: between them all candidates are either
+    confirmed, refused, or already connected. Components are exact for the candidates.
 
     Null and empty texts have no shingles and are linked with nothing. Rows with the same id
     are one document: they share a component, which all their texts contribute to. A row
@@ -162,20 +226,8 @@ def near_duplicates(
     ids = shared.select(F.col("member").alias("doc_id")).distinct()
     named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     texts = staged(bits.only(named, ids, "doc_id"), "texts")
-    links = staged(_confirmed(star, texts, n, percent), "links")
-
-    part = components(links)
-    grouped = staged(shared.join(part.select(F.col("node").alias("member"), "root"), "member", "left")
-                     .select("band", "member", F.coalesce("root", "member").alias("part")), "parts")
-    sizes = grouped.groupBy("band", "part").agg(F.count(F.lit(1)).alias("size"))
-    largest = (sizes.groupBy("band").agg(F.count(F.lit(1)).alias("parts"), F.max_by("part", F.struct("size", "part")).alias("main"))
-               .where("parts > 1"))
-    mixed = staged(grouped.join(largest, "band"), "mixed")
-    outside = mixed.where("part <> main").select("band", F.col("member").alias("x"), F.col("part").alias("x_part"))
-    crossed = (outside.join(mixed, "band").where("part <> x_part and (part = main or x < member)")
-               .select(F.least("x", "member").alias("a"), F.greatest("x", "member").alias("b")).distinct()
-               .join(star, ["a", "b"], "left_anti"))
-    more = _confirmed(staged(crossed, "pairs"), texts, n, percent)
+    links = staged(_compared(star, texts, n, percent).where("linked").select("a", "b"), "links")
+    more = _rest(shared, links, star, texts, n, percent)
 
     roots = components(links.unionAll(more).unionAll(copies))
     joined = sets.select("doc_id", "n_shingles").join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left")
