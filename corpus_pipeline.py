@@ -5,10 +5,11 @@ Every stage takes what its predecessor kept, as a table read back from Parquet.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.llm import decontaminate, minhash, pii, rules
+from paperloom.llm import decontaminate, minhash, packing, pii, rules
 from paperloom.llm.staging import staged, table
 
 
@@ -33,11 +34,17 @@ def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return replaced.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents, with their places in sequences of 2048 tokens."""
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
 STAGES = [
     ("quality rules", quality),
     ("near duplicates", near_dedup),
     ("decontamination", decontamination),
     ("personal data", private),
+    ("packing", packed),
 ]
 ORACLE_SQL: str | None = None
 

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.llm import decontaminate, minhash, pii, rules
+from paperloom.llm import decontaminate, minhash, packing, pii, rules
 from paperloom.llm.staging import table
 
 
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     names = F.array_sort(F.transform(F.coalesce("items", F.array()), lambda x: x.cast("string")))
@@ -35,6 +40,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_best_fit_packing": op1_best_fit_packing,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_quality_rules": op4_quality_rules,
