@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.llm import decontaminate, minhash, packing, pii, rules
+from paperloom.llm import decontaminate, minhash, packing, pii, rules, secrets
 from paperloom.llm.staging import table
 
 
@@ -35,12 +35,24 @@ def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
             ":", e["key"], e["value"].cast("string"))), ",").alias("entities"))
 
 
+def _count(kind: str):
+    return F.size(F.filter("spans", lambda s: s["kind"] == kind))
+
+
+def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = secrets.KINDS[:3]
+    counts = [_count(kind).cast("long").alias(f"n_{kind}") for kind in base]
+    return secrets.scan(table(spark, sf_dir, "documents")).select(
+        "doc_id", *counts, F.sha2(secrets.joined("spans", base), 256).alias("base_sha256"), secrets.joined("spans").alias("spans"))
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), n=4, percent=80)
 
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op9_secret_scans": op9_secret_scans,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_quality_rules": op4_quality_rules,
