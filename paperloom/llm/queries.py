@@ -6,14 +6,30 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.llm import decontaminate, minhash, packing, pii, rules, secrets, warc
+from paperloom.llm import counts, decontaminate, minhash, packing, pii, rules, secrets, warc
 from paperloom.llm.staging import staged, table
+from paperloom.plans.staging import scratch_path
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals after all documents came, every tenth was recounted with another tokenizer,
+    every tenth went, and the first batch was sent twice."""
+    docs = table(spark, sf_dir, "documents")
+    first = counts.count_tokens(docs, "byte_bpe_50k", public_tokenizers.path("byte_bpe_50k.json"))
+    first = staged(first, "counts")
+    second = counts.count_tokens(docs.where("doc_id % 10 = 3"), "word_bpe_49k", public_tokenizers.path("word_bpe_49k.json"))
+    rollup = counts.Rollup(spark, scratch_path(spark, "rollup"))
+    rollup.commit("come", counts.inserted(first))
+    rollup.commit("recounted", counts.revised(first.where("doc_id % 10 = 3"), second))
+    rollup.commit("gone", counts.deleted(first.where("doc_id % 10 = 7")))
+    rollup.commit("come", counts.inserted(first))
+    return rollup.totals()
+
+
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     names = F.array_sort(F.transform(F.coalesce("items", F.array()), lambda x: x.cast("string")))
@@ -64,6 +80,7 @@ QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op9_secret_scans": op9_secret_scans,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
+    "op2_token_counts": op2_token_counts,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_quality_rules": op4_quality_rules,
     "op7_warc_fixity": op7_warc_fixity,
