@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.llm import counts, decontaminate, minhash, packing, pii, rules, secrets, warc
+from paperloom.llm import classifier, counts, decontaminate, minhash, packing, pii, rules, secrets, warc
 from paperloom.llm.staging import staged, table
 from paperloom.plans.staging import scratch_path
 
@@ -44,6 +44,14 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *[f"rules.{x}" for x in names])
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    vectors, net = classifier.fit(docs, labels.where(~held_out))
+    return classifier.score(docs, vectors, net).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op7_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Audit of a replica with a changed byte in some records and a lost end of some archives."""
     ours = staged(warc.records(table(spark, sf_dir, "pages")), "replica")
@@ -83,6 +91,7 @@ QUERIES = {
     "op2_token_counts": op2_token_counts,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_quality_rules": op4_quality_rules,
+    "op6_quality_classifier": op6_quality_classifier,
     "op7_warc_fixity": op7_warc_fixity,
     "op8_pii_surrogates": op8_pii_surrogates,
 }
