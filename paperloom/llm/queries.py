@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.llm import classifier, counts, decontaminate, minhash, packing, pii, rules, secrets, warc
+from paperloom.llm import classifier, counts, decontaminate, lm, minhash, packing, pii, rules, secrets, warc
 from paperloom.llm.staging import staged, table
 from paperloom.plans.staging import scratch_path
 
@@ -44,6 +44,15 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *[f"rules.{x}" for x in names])
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2, F.lit(False))
+    model = lm.fit(docs.where(~held_out))
+    return lm.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.totals.n).cast("long").alias("train_tokens"),
+        "base_score", "score")
+
+
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
@@ -91,6 +100,7 @@ QUERIES = {
     "op2_token_counts": op2_token_counts,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_quality_rules": op4_quality_rules,
+    "op5_lm_scoring": op5_lm_scoring,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_warc_fixity": op7_warc_fixity,
     "op8_pii_surrogates": op8_pii_surrogates,
