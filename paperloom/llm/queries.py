@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.llm import classifier, counts, decontaminate, lm, minhash, packing, pii, rules, secrets, warc
+from paperloom.llm import classifier, counts, decontaminate, lm, minhash, packing, pii, rules, secret_scan, warc
 from paperloom.llm.staging import staged, table
 from paperloom.plans.staging import scratch_path
 
@@ -83,10 +83,10 @@ def _count(kind: str):
 
 
 def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = secrets.KINDS[:3]
+    base = secret_scan.KINDS[:3]
     counts = [_count(kind).cast("long").alias(f"n_{kind}") for kind in base]
-    return secrets.scan(table(spark, sf_dir, "documents")).select(
-        "doc_id", *counts, F.sha2(secrets.joined("spans", base), 256).alias("base_sha256"), secrets.joined("spans").alias("spans"))
+    return secret_scan.scan(table(spark, sf_dir, "documents")).select(
+        "doc_id", *counts, F.sha2(secret_scan.joined("spans", base), 256).alias("base_sha256"), secret_scan.joined("spans").alias("spans"))
 
 
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
