@@ -28,6 +28,7 @@ REGISTERS = BANDS * ROWS
 STEP = 0x9E3779B97F4A7C15
 GOLDEN = U(STEP)
 EMPTY = U(2**64 - 1)
+SPREAD = 64
 
 SIGNATURE = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>"
 
@@ -102,29 +103,38 @@ def sketched(docs: DataFrame, n: int, id_col: str = "doc_id", text_col: str = "t
         _sketcher(n), SIGNATURE)
 
 
-def _counter(n: int):
+def _counter(n: int, with_lacks: bool):
     def full(text: str) -> np.ndarray:
         return next(shingles(w.hashes, n) for w in words(pa.array([text]), SPACED))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cached = lru_cache(64)(full)  # a center comes with many members
         for batch in batches:
-            rows = []
+            rows, lacks = [], [] if with_lacks else None
             for left, right in zip(batch.column("text_a"), batch.column("text_b")):
                 x, y = cached(left.as_py()), cached(right.as_py())
-                rows.append((len(x), len(y), len(np.intersect1d(x, y, assume_unique=True))))
+                both = np.intersect1d(x, y, assume_unique=True)
+                rows.append((len(x), len(y), len(both)))
+                if lacks is not None:
+                    missing = np.setdiff1d(x, both, assume_unique=True)
+                    lacks.append(np.minimum(np.bincount((missing % U(SPREAD)).astype(np.int64), minlength=SPREAD), 127))
             sizes = np.array(rows, np.int64).reshape(-1, 3)
-            yield pa.record_batch([batch.column("a"), batch.column("b"), *map(pa.array, sizes.T)], ["a", "b", "size_a", "size_b", "both"])
+            columns = {"a": batch.column("a"), "b": batch.column("b"), **dict(zip(["size_a", "size_b", "both"], map(pa.array, sizes.T)))}
+            if lacks is not None:
+                flat = np.array(lacks, np.int8).reshape(-1)
+                columns["lacks"] = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, SPREAD, dtype=np.int32)), pa.array(flat))
+            yield pa.record_batch(list(columns.values()), list(columns))
     return count
 
 
-def _compared(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+def _compared(pairs: DataFrame, texts: DataFrame, n: int, percent: int, with_lacks: bool = False) -> DataFrame:
     """Compare the full shingle sets of the pairs (a, b): sizes, size of the intersection,
-    and whether they are similar enough to be linked."""
+    and whether they are similar enough to be linked; `lacks` counts the shingles of a that
+    b lacks, spread over SPREAD buckets by hash (127 at most)."""
     b_side = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
     a_side = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     counted = pairs.join(b_side, "b").join(a_side, "a").mapInArrow(
-        _counter(n), "a long, b long, size_a long, size_b long, both long")
+        _counter(n, with_lacks), "a long, b long, size_a long, size_b long, both long" + ", lacks array<tinyint>" * with_lacks)
     return counted.withColumn("linked", F.expr(f"100 * both >= {percent} * (size_a + size_b - both)"))
 
 
@@ -159,7 +169,8 @@ def _rest(shared: DataFrame, links: DataFrame, done: DataFrame, texts: DataFrame
     A pair is compared unless a bound rules it out. Every member is compared with a pivot
     of its band's largest component, the one with fewest shingles of its own. Shingles that only
     one of the pair has are at least those that nobody else has, and the differences of what they
-    add to the pivot and of what they lack of it. If this is too much for a link, there is none.
+    add to the pivot and of what they lack of it, bucket by bucket. If this is too much for a
+    link, there is none.
     """
     part = components(links)
     grouped = staged(shared.join(part.select(F.col("node").alias("member"), "root"), "member", "left")
@@ -172,17 +183,20 @@ def _rest(shared: DataFrame, links: DataFrame, done: DataFrame, texts: DataFrame
     pivots = mixed.groupBy(F.col("part").alias("main")).agg(F.min_by("member", F.struct("alone", "member")).alias("pivot"))
     mixed = staged(mixed.join(pivots, "main").where("member <> pivot"), "mixed")
     around = mixed.select(F.col("pivot").alias("a"), F.col("member").alias("b")).distinct()
-    around = staged(_compared(around, texts, n, percent), "pivots")
-    known = around.select(F.col("a").alias("pivot"), F.col("b").alias("member"), "linked",
+    around = staged(_compared(around, texts, n, percent, True), "pivots")
+    known = around.select(F.col("a").alias("pivot"), F.col("b").alias("member"), "linked", "lacks",
                           (F.col("size_b") - F.col("both")).alias("added"), (F.col("size_a") - F.col("both")).alias("lacking"))
     mixed = staged(mixed.join(known, ["pivot", "member"]).select(
         "band", "member", F.when(F.col("linked"), F.col("main")).otherwise(F.col("part")).alias("part"), "main",
-        "size", "alone", (F.col("added") - F.col("alone")).alias("added"), "lacking"), "bounded")
+        "size", "alone", (F.col("added") - F.col("alone")).alias("added"), "lacking", "lacks"), "bounded")
     outside = mixed.where("part <> main").drop("main").select("band", *[
-        F.col(c).alias(f"x_{c}") for c in ("member", "part", "size", "alone", "added", "lacking")])
-    least = "x_alone + alone + abs(x_added - added) + abs(x_lacking - lacking)"
+        F.col(c).alias(f"x_{c}") for c in ("member", "part", "size", "alone", "added", "lacking", "lacks")])
+    least = "x_alone + alone + abs(x_added - added) + "
+    quick = least + "abs(x_lacking - lacking)"
+    exact = least + "aggregate(zip_with(x_lacks, lacks, (p, q) -> abs(int(p) - int(q))), 0L, (sum, d) -> sum + d)"
+    enough = f"{100 + percent} * ({{}}) <= {100 - percent} * (size + x_size)"
     pairs = (outside.join(mixed, "band").where("part <> x_part and (part = main or x_member < member)")
-             .where(f"{100 + percent} * ({least}) <= {100 - percent} * (size + x_size)")
+             .where(enough.format(quick)).where(enough.format(exact))
              .select(F.least("x_member", "member").alias("a"), F.greatest("x_member", "member").alias("b")).distinct()
              .join(done, ["a", "b"], "left_anti"))
     more = _compared(staged(pairs, "pairs"), texts, n, percent).where("linked").select("a", "b")
