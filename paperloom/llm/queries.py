@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paperloom.llm import classifier, counts, decontaminate, lm, minhash, packing, pii, rules, secret_scan, warc
+from paperloom.llm.oracle import ORACLE_SQL
 from paperloom.llm.staging import staged, table
 from paperloom.plans.staging import scratch_path
 
@@ -105,30 +106,3 @@ QUERIES = {
     "op7_warc_fixity": op7_warc_fixity,
     "op8_pii_surrogates": op8_pii_surrogates,
 }
-
-ORACLE_SQL = {
-    "op7_warc_fixity": r"""
-with page as (
-  select page_id as id, coalesce(url, '') as url, coalesce(html, '') as body,
-    greatest(1, ceil(count(*) over () / 1000))::bigint as archives from pages
-), named as (
-  select *, md5(coalesce(id::varchar, '') || '|' || url) as name, coalesce(((id % archives) + archives) % archives, 0) as archive from page
-), ours as (
-  select archive, id, 'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10)
-    || 'WARC-Record-ID: <urn:uuid:' || name[1:8] || '-' || name[9:12] || '-' || name[13:16] || '-' || name[17:20] || '-' || name[21:32] || '>' || chr(13) || chr(10)
-    || 'WARC-Target-URI: ' || url || chr(13) || chr(10) || 'WARC-Date: 1970-01-01T00:00:00Z' || chr(13) || chr(10)
-    || 'Content-Type: text/html' || chr(13) || chr(10) || 'Content-Length: ' || strlen(body) || chr(13) || chr(10) || chr(13) || chr(10) || body as record
-  from named
-), located as (
-  select *, row_number() over o - 1 as ordinal, sum(strlen(record) + 4) over o as stop, count(*) over (partition by archive) as n
-  from ours window o as (partition by archive order by id, record)
-), replica as (
-  select *, archive % 3 = 1 and ordinal >= n - 2 as lost,
-    case when id % 101 = 7 then record[1:length(record) - 1] || '~' else record end as other from located
-)
-select archive, ordinal, case when lost then 'missing' else 'changed' end as fault,
-  (stop - strlen(record) - 4)::bigint as start, stop::bigint as stop, sha256(record) as expected,
-  case when lost then null else sha256(other) end as found
-from replica where lost or other <> record
-""",
-}
