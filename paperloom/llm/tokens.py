@@ -26,32 +26,62 @@ class Encoder:
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.bytes = None
+        if self.tokenizer.normalizer is None and isinstance(self.tokenizer.pre_tokenizer, ByteLevel):
+            vocabulary = self.tokenizer.get_vocab()  # a character of a token stands for a byte
+            self.bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+            self.bytes[list(vocabulary.values())] = [len(t) for t in vocabulary]
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
+    def _encode_joined(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces that begin with white space and end without: encoded as one text,
+        and told apart by the number of bytes that each token stands for. Should the borders
+        not meet, each piece is encoded by itself."""
+        text = "".join(pieces)
+        ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+        at = np.cumsum(list(map(len, pieces)) if text.isascii() else [len(p.encode()) for p in pieces])
+        upto = np.cumsum(self.bytes[ids])
+        ends = np.minimum(np.searchsorted(upto, at), len(upto) - 1)
+        if not (upto[ends] == at).all():
+            return self._encode(pieces)
+        raw, stops = ids.tobytes(), (4 * ends + 4).tolist()
+        return [raw[a:b] for a, b in zip([0, *stops], stops)]
+
+    def _learn(self, new: set[str], edges: set[str]) -> dict[str, bytes]:
+        """Encode pieces and remember them; returns those too long to be remembered. `edges`
+        may begin without white space, or end with it, and are encoded by themselves."""
+        single = list(new) if self.bytes is None else list(new & edges)
+        joined = [] if self.bytes is None else list(new - edges)
+        found = dict(zip(single, self._encode(single))) if single else {}
+        if joined:
+            found.update(zip(joined, self._encode_joined(joined)))
+        long = {p: found.pop(p) for p in [p for p in found if len(p) > LONGEST]}
+        self.known.update(found)
+        return long
+
     def __call__(self, text: str | None) -> np.ndarray:
         if not text:
             return np.empty(0, np.uint32)
         if any(s in text for s in self.special):  # found before the text is cut into words
             return np.frombuffer(self._encode([text])[0], np.uint32)
         pieces = PIECE.findall(text)
-        known, once = self.known, {}
-        new = []
-        for p in dict.fromkeys(pieces):
-            if p not in known:
-                if (ids := self.older.get(p)) is not None:
-                    known[p] = ids
-                else:
-                    new.append(p)
-        for p, ids in zip(new, self._encode(new)):
-            (known if len(p) <= LONGEST else once)[p] = ids
+        new, once = set(pieces).difference(self.known), {}
+        if new and self.older:
+            back = {p: self.older[p] for p in new if p in self.older}
+            self.known.update(back)
+            new -= back.keys()
+        if new:
+            once = self._learn(new, {pieces[0], pieces[-1]})
+        known = self.known
         if once:
             out = b"".join([once[p] if p in once else known[p] for p in pieces])
         else:
