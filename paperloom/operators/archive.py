@@ -100,7 +100,7 @@ def count_by_source(rows: DataFrame) -> DataFrame:
 
 def archive_summary(rows: DataFrame, plan: DataFrame) -> DataFrame:
     """Per source: files, bytes, files in several chunks, and shards of a shard plan."""
-    firsts = rows.where("chunk_index = 0")
+    firsts = rows.where("chunk_index = 0 or chunk_index is null")
     files = firsts.groupBy("source").agg(
         F.count("*").alias("files"),
         F.sum("file_size").alias("bytes"),

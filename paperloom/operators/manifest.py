@@ -13,13 +13,19 @@ def manifest_project(listed: DataFrame) -> DataFrame:
     return listed.select("id", "path", "md5", F.col("size").try_cast("bigint").alias("size"))
 
 
+def _keys(*tables: DataFrame) -> list[str]:
+    """What names a file: its path, within its source if all tables know it."""
+    return ["source", "path"] if all("source" in t.columns for t in tables) else ["path"]
+
+
 def dedupe_manifest(manifest: DataFrame) -> DataFrame:
-    """Keep the first of each (path, md5) in `ord`; rows without md5 are all kept.
+    """Keep the first of each (path, md5) in `ord`; rows without md5 are all kept. Rows
+    of several folders carry `source`, which is then part of the key.
 
     An aggregate, not a window: copies are combined before the shuffle, so a pair
     repeated in a third of all rows costs one row per map task. A null path groups.
     """
-    keys = ["path", "md5"]
+    keys = [*_keys(manifest), "md5"]
     rest = [c for c in manifest.columns if c not in (*keys, "ord")]
     first = (
         manifest.where("md5 is not null")
@@ -126,18 +132,21 @@ def _status(expected_size: Column, check_md5: bool) -> Column:
 
 
 def _with_actual(manifest: DataFrame, actual: DataFrame) -> DataFrame:
-    """Left join with the files on disk (path is unique there).
+    """Left join with the files on disk, where a path is unique in its source.
+
+    Both sides are joined by source and path if both have a source, else by path alone.
 
     A path repeated in a large part of the manifest is a skewed left side, which
     adaptive execution splits since the right side has one row per path.
     """
+    keys = _keys(manifest, actual)
     found = actual.select(
-        "path",
+        *keys,
         F.col("file_size").alias("actual_size"),
         F.col("md5").alias("actual_md5"),
         F.lit(True).alias("present"),
     )
-    return manifest.join(found, "path", "left")
+    return manifest.join(found, keys, "left")
 
 
 def verify_manifest(manifest: DataFrame, actual: DataFrame, check_md5: bool = True) -> DataFrame:
@@ -176,6 +185,6 @@ def fetch_plan(
     if overwrite:
         return wanted
     if not verify:
-        return wanted.join(actual.select("path"), "path", "left_anti")
+        return wanted.join(actual.select(keys := _keys(wanted, actual)), keys, "left_anti")
     status = _status(F.col("size"), check_md5=True)
     return _with_actual(wanted, actual).where(status != "ok").select(*manifest.columns)

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from paperloom import constants as C
-from paperloom.plans.joins import small_side
 from paperloom.plans.ordering import row_positions
 from paperloom.plans.staging import stage
 
@@ -16,15 +15,17 @@ def _first_per_source(rows: DataFrame, order: list, n: int) -> DataFrame:
 
     Spark cuts every task's input to `n` rows per source before the shuffle (window
     group limit), so a dominating source stays cheap. That holds up to a threshold;
-    above it positions come from a range-partitioned count.
+    above it positions come from a range-partitioned count. Either way a null source is
+    a group of its own and ranks are bigint.
     """
     threshold = int(rows.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
     if n <= threshold:
         window = Window.partitionBy("source").orderBy(*order)
-        ranked = rows.withColumn("_rank", F.row_number().over(window))
+        ranked = rows.withColumn("_rank", F.row_number().over(window).cast("bigint"))
     else:
-        ranked = row_positions(rows, ["source"], order, "_at")
-        ranked = ranked.withColumn("_rank", F.col("_at") + 1).drop("_at")
+        named = rows.withColumn("_group", F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")))
+        ranked = row_positions(named, ["_group"], order, "_at")
+        ranked = ranked.withColumn("_rank", F.col("_at") + 1).drop("_at", "_group")
     return ranked.where(F.col("_rank") <= n)
 
 
@@ -65,7 +66,7 @@ def sample_stats(
     large = rows.where((F.col("file_size") > max_bytes) & (F.col("source") != C.LARGE_SUBSET))
     skips = (
         large.select("source", at.alias("at"))
-        .join(small_side(ends), "source", "left")
+        .join(ends, "source", "left")
         .where(skipped)
         .groupBy("source")
         .agg(F.count("*").alias("skipped"))

@@ -39,9 +39,13 @@ def schema_diff(rows: DataFrame, expected: StructType, subset: str = "source") -
     )
 
 
-def missing_subsets(expected: DataFrame, rows: DataFrame) -> DataFrame:
-    """Names in `expected(source)` with no row in the archive."""
-    present = rows.groupBy("source").agg(F.count("*").alias("_n"))
+def missing_subsets(expected: DataFrame, rows: DataFrame, large: DataFrame | None = None) -> DataFrame:
+    """Names in `expected(source)` with no row in the archive. The side table, if given,
+    is a subset of its own."""
+    names = rows.select("source")
+    if large is not None:
+        names = names.unionAll(large.limit(1).select(F.lit(C.LARGE_SUBSET)))
+    present = names.groupBy("source").agg(F.count("*").alias("_n"))
     return expected.select("source").distinct().join(present, "source", "left_anti")
 
 
@@ -81,7 +85,8 @@ def content_probe(rows: DataFrame) -> DataFrame:
     known = F.col("extension").isin(list(C.SIGNATURES))
     usable = signature_matches(F.col("extension"), F.col("content"))
     return (
-        rows.where(known & F.col("content_available") & (F.col("chunk_index") == 0))
+        rows.where(known & F.col("content_available"))
+        .where("chunk_index = 0 or chunk_index is null")
         .where(F.octet_length("content") > 0)
         .groupBy("source", "extension")
         .agg(F.count("*").alias("tested"), F.count_if(~usable).alias("unusable"))
@@ -92,10 +97,12 @@ def chunk_completeness(rows: DataFrame) -> DataFrame:
     """Per file: are its chunk indexes exactly 0..n-1, and do the bytes add up?
 
     Chunks are counted and summed where they are; their bytes are never brought
-    together.
+    together. A row without chunk columns is a whole file.
     """
+    whole = {"chunk_index": F.coalesce("chunk_index", F.lit(0)), "total_chunks": F.coalesce("total_chunks", F.lit(1))}
     return (
-        rows.groupBy("source", "path", "chunk_index")
+        rows.withColumns(whole)
+        .groupBy("source", "path", "chunk_index")
         .agg(
             F.count("*").alias("copies"),
             F.max("total_chunks").alias("total_chunks"),
@@ -108,12 +115,13 @@ def chunk_completeness(rows: DataFrame) -> DataFrame:
             F.max("total_chunks").cast("bigint").alias("total_chunks"),
             F.max("file_size").alias("file_size"),
             F.sum("bytes").alias("bytes"),
-            (
+            F.coalesce(
                 (F.count("*") == F.max("total_chunks"))
                 & (F.max("copies") == 1)
                 & (F.min("chunk_index") == 0)
                 & (F.max("chunk_index") == F.max("total_chunks") - 1)
-                & (F.sum("bytes") == F.max("file_size"))
+                & (F.sum("bytes") == F.max("file_size")),
+                F.lit(False),
             ).alias("complete"),
         )
     )
@@ -160,7 +168,7 @@ def validate_archive(
     empty = meta.agg(F.count("*").alias("rows")).where("rows = 0").select(none.alias("source"), one.alias("n"))
     checks = [
         _check(empty, "no_subsets", "error", none, "n"),
-        _check(missing_subsets(expected_subsets, rows).withColumn("n", one), "missing_subset", "warning", none, "n"),
+        _check(missing_subsets(expected_subsets, rows, large).withColumn("n", one), "missing_subset", "warning", none, "n"),
         _check(schema, "schema", F.col("severity"), F.concat_ws(" ", "kind", "column"), "n", "subset"),
         _check(stats.where("sampled = 0"), "no_data", "error", none, "checked"),
         _check(rules.where("invalid_repo_path > 0"), "repo_path", "error", none, "invalid_repo_path"),

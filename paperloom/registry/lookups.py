@@ -46,21 +46,26 @@ def content_resolve(spark, sf):
 
 @query(
     "source_priority_resolve",
-    """WITH existing AS (SELECT DISTINCT lang AS root, source AS name FROM documents WHERE n_chars > 14000),
-    roots AS (SELECT DISTINCT lang AS root, CASE lang WHEN 'fr' THEN 1 ELSE 2 END AS priority FROM documents)
+    """WITH existing AS (SELECT lang AS root, 'n' || doc_id AS name FROM documents
+      UNION SELECT source, 'n' || doc_id FROM documents WHERE doc_id % 3 = 0),
+    roots AS (SELECT DISTINCT lang AS root, CASE lang WHEN 'fr' THEN 1 ELSE 3 END AS priority FROM documents
+      UNION SELECT DISTINCT source, 2 FROM documents)
     SELECT name, root, priority FROM (
       SELECT *, row_number() OVER (PARTITION BY name ORDER BY priority, root) AS rn
-      FROM existing JOIN roots USING (root) WHERE name IN (SELECT source FROM documents))
+      FROM existing JOIN roots USING (root))
     WHERE rn = 1""",
 )
 def source_priority_resolve(spark, sf):
     documents = B.table(spark, sf, "documents")
-    existing = documents.where("n_chars > 14000").select(
-        F.col("lang").alias("root"), F.col("source").alias("name")
+    name = F.concat(F.lit("n"), F.col("doc_id").cast("string")).alias("name")
+    existing = documents.select(F.col("lang").alias("root"), name).unionAll(
+        documents.where("doc_id % 3 = 0").select(F.col("source").alias("root"), name)
     ).distinct()
-    priority = F.when(F.col("lang") == "fr", 1).otherwise(2)
-    roots = documents.select(F.col("lang").alias("root"), priority.alias("priority")).distinct()
-    included = documents.select(F.col("source").alias("name"))
+    priority = F.when(F.col("lang") == "fr", 1).otherwise(3)
+    roots = documents.select(F.col("lang").alias("root"), priority.alias("priority")).unionAll(
+        documents.select(F.col("source").alias("root"), F.lit(2).alias("priority"))
+    ).distinct()
+    included = documents.select(name)
     return O.source_priority_resolve(included, existing, roots)
 
 

@@ -26,11 +26,13 @@ def plan_rows(
     large: str = "chunk",
     max_bytes: int = C.MAX_FILE_BYTES,
     chunk_bytes: int = C.CHUNK_BYTES,
+    row_bytes: int | None = None,
 ) -> DataFrame:
     """Metadata of the archive rows of listed files: no byte is read yet.
 
     A file above `max_bytes` becomes several chunk rows (`large="chunk"`) or one row
-    without content (`large="external"`), whose bytes stay outside the archive.
+    without content (`large="external"`), whose bytes stay outside the archive. Content
+    above `row_bytes` (default `max_bytes`) is cut into chunks as well.
     """
     if large not in ("chunk", "external"):
         raise ValueError(f"large must be 'chunk' or 'external', not {large!r}")
@@ -41,29 +43,21 @@ def plan_rows(
         .withColumn("file_type", file_type(extension))
     )
     size = F.col("file_size")
-    if large == "external":
-        return kept.select(
-            "path", "source", "file_type", "file_size", "extension",
-            (size <= max_bytes).alias("content_available"),
-            F.lit(0).alias("chunk_index"),
-            F.lit(1).alias("total_chunks"),
-            "root",
-            F.lit(0).cast("bigint").alias("offset"),
-            F.when(size <= max_bytes, size).alias("nbytes"),
-        )
+    outside = (size > max_bytes) if large == "external" else F.lit(False)
+    chunks = F.when(outside, 1).otherwise(chunk_count(size, min(row_bytes or max_bytes, max_bytes), chunk_bytes))
     start = F.col("chunk_index").cast("bigint") * F.lit(chunk_bytes)
     length = F.when(F.col("total_chunks") == 1, size).otherwise(
         F.least(F.lit(chunk_bytes), size - start)
     )
     return (
-        kept.withColumn("total_chunks", chunk_count(size, max_bytes, chunk_bytes))
+        kept.withColumn("total_chunks", chunks)
         .withColumn("chunk_index", F.explode(F.sequence(F.lit(0), F.col("total_chunks") - 1)))
         .select(
             "path", "source", "file_type", "file_size", "extension",
-            F.lit(True).alias("content_available"),
+            (~outside).alias("content_available"),
             "chunk_index", "total_chunks", "root",
             start.alias("offset"),
-            length.cast("bigint").alias("nbytes"),
+            F.when(~outside, length).cast("bigint").alias("nbytes"),
         )
     )
 
@@ -73,13 +67,21 @@ def archive_scan(
     roots: dict[str, str],
     exclude: list[str] = C.CONVERT_EXCLUDES,
     large: str = "chunk",
-    max_bytes: int = SCAN_ROW_BYTES,
+    max_bytes: int = C.MAX_FILE_BYTES,
     chunk_bytes: int = SCAN_ROW_BYTES,
+    row_bytes: int = SCAN_ROW_BYTES,
 ) -> DataFrame:
-    """File trees -> archive rows with content, plus `read_error` (null when read)."""
-    rows = plan_rows(list_files(spark, roots), exclude, large, max_bytes, chunk_bytes)
+    """File trees -> archive rows with content, plus `read_error` (null when read).
+
+    `max_bytes` decides which files are external, as everywhere; `row_bytes` only how
+    content is cut. A row whose bytes could not be read is not available.
+    """
+    rows = plan_rows(list_files(spark, roots), exclude, large, max_bytes, chunk_bytes, row_bytes)
     spread = spread_by_bytes(rows, "nbytes", ["source", "path", "chunk_index"])
-    return attach_content(spread).select(*ARCHIVE.fieldNames(), "read_error")
+    read = attach_content(spread).withColumn(
+        "content_available", F.col("content_available") & F.col("read_error").isNull()
+    )
+    return read.select(*ARCHIVE.fieldNames(), "read_error")
 
 
 def scan_shards(spark: SparkSession, root: str, partitioned: bool = True) -> DataFrame:

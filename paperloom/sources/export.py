@@ -26,9 +26,12 @@ def safe_path(path: Column) -> Column:
 def _exporter(out: str):
     def export(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, file, written, done = None, None, 0, []
+        expected = total = 0
 
         def close():
             if file:
+                if expected != total:
+                    raise ValueError(f"{'/'.join(current)}: chunk {expected} of {total} is missing")
                 file.publish()
                 done.append((*current, file.path, written))
 
@@ -37,8 +40,11 @@ def _exporter(out: str):
                 key = (row["source"], row["path"])
                 if key != current:
                     close()
-                    current, written = key, 0
+                    current, written, expected, total = key, 0, 0, row["total_chunks"]
                     file = AtomicFile(f"{out}/{row['source']}/{row['path']}")
+                if row["chunk_index"] != expected:
+                    raise ValueError(f"{'/'.join(key)}: chunk {expected} of {total} is missing or repeated")
+                expected += 1
                 file.write(row["content"])
                 written += len(row["content"])
         close()
@@ -56,13 +62,17 @@ def file_export(rows: DataFrame, out: str, receipts: str) -> DataFrame:
 
     Chunks of one file are appended in order by one task; files of a single row stay
     where they are and are not shuffled. Absolute paths and `..` segments fail the job
-    before anything is written outside `out`. The receipts (source, path, file_path,
+    before anything is written outside `out`, as do missing or repeated chunks and
+    available rows without content. Rows without chunk columns are whole files. The receipts (source, path, file_path,
     written) are a Parquet table at `receipts`, so files are written exactly once.
     """
     checked = F.when(safe_path(F.col("path")) & safe_path(F.col("source")), F.col("path"))
     unsafe = F.raise_error(F.concat(F.lit("unsafe path: "), F.col("source"), F.lit("/"), F.col("path")))
-    stored = rows.where("content_available and content is not null").select(
-        "source", F.coalesce(checked, unsafe).alias("path"), "chunk_index", "total_chunks", "content"
+    lost = F.raise_error(F.concat(F.lit("available without content: "), F.col("source"), F.lit("/"), F.col("path")))
+    stored = rows.where("content_available").select(
+        "source", F.coalesce(checked, unsafe).alias("path"),
+        F.coalesce("chunk_index", F.lit(0)).alias("chunk_index"), F.coalesce("total_chunks", F.lit(1)).alias("total_chunks"),
+        F.coalesce("content", lost.cast("binary")).alias("content"),
     )
     order = ["source", "path", "chunk_index"]
     chunked = stored.where("total_chunks > 1").repartition("source", "path").sortWithinPartitions(*order)

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from paperloom.plans.staging import stage
 from paperloom.schema import MANIFEST, MANIFEST_ENTRY
 from paperloom.sources.listing import list_files
 from paperloom.sources.storage import file_size, read_from
@@ -36,6 +39,8 @@ def _split_entries(uri: str, start: int, end: int) -> Iterator[tuple[int, str]]:
             # Still before the first entry: keep only what may be the start of its mark.
             pos = max(0, len(held) - len(_ENTRY_END) + 1)
         held, at = held[pos:], at + pos
+    if begin is not None and held.strip(b" \n\r\t,[]"):
+        raise ValueError(f"{uri}: text that is no entry at {begin}")
 
 
 def _splitter(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -56,23 +61,45 @@ def _splitter(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch(rows)
 
 
+def _is_indented(head: bytes) -> bool:
+    """Does a file begin like an array indented by two spaces?"""
+    return re.match(rb"\s*\[\r?\n  \{\r?\n", head) is not None
+
+
+def _layouts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Add `indented` to files, from their first bytes."""
+    for files in batches:
+        heads = (next(iter(read_from(uri, 0, 4096)), b"") for uri in files.column("uri").to_pylist())
+        flags = pa.array([_is_indented(head) for head in heads], pa.bool_())
+        yield pa.RecordBatch.from_arrays([*files.columns, flags], [*files.schema.names, "indented"])
+
+
+def _as_array(text: str) -> str:
+    """JSON Lines as one array; an array as it is."""
+    if text.lstrip().startswith("["):
+        return text
+    return "[" + ",".join(line for line in text.splitlines() if line.strip()) + "]"
+
+
 def _wholes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for ranges in batches:
         for uri in ranges.column("uri").to_pylist():
-            text = b"".join(read_from(uri, 0)).decode()
+            text = _as_array(b"".join(read_from(uri, 0)).decode())
+            json.loads(text)  # text that is no JSON fails instead of giving no rows
             yield pa.RecordBatch.from_arrays([pa.array([0]), pa.array([text])], ["ord", "text"])
 
 
 def manifest_scan(
-    spark: SparkSession, path: str, indented: bool = True, split_bytes: int = _SPLIT_BYTES
+    spark: SparkSession, path: str, indented: bool | None = None, split_bytes: int = _SPLIT_BYTES
 ) -> DataFrame:
     """A JSON array of entries, or a folder of them -> rows (ord, id, path, md5, size).
 
     Spark's own readers skip names starting with a dot, the usual name of a manifest.
     An array indented by two spaces is read in splits of whole entries, so one large
     file is shared by many tasks; `ord` is then the byte offset of the entry in its file
-    (increasing, with gaps). Any other layout (`indented=False`) is parsed per file and
-    suits small files; large manifests belong in JSON Lines (`manifest_lines`).
+    (increasing, with gaps). Any other layout, and JSON Lines, is parsed per file and
+    suits small files; large ones belong in JSON Lines (`manifest_lines`). The layout is
+    told from the first bytes of each file unless `indented` says it.
     """
     size = file_size(path)
     if size is None:
@@ -81,11 +108,23 @@ def manifest_scan(
         )
     else:
         files = spark.createDataFrame([(path, size)], "uri string, size bigint")
-    if not indented:
-        entries = F.from_json("text", f"array<{MANIFEST_ENTRY.simpleString()}>")
-        texts = files.select("uri").mapInArrow(_wholes, "ord bigint, text string")
-        exploded = texts.select(F.posexplode(entries).alias("ord", "e"))
-        return exploded.select(F.col("ord").cast("bigint").alias("ord"), "e.*")
+    if indented is None:
+        schema = "uri string, size bigint, indented boolean"
+        files = stage(files.select("uri", "size").mapInArrow(_layouts, schema))
+        return _split(files.where("indented"), split_bytes).unionByName(_parsed(files.where("not indented")))
+    return _split(files, split_bytes) if indented else _parsed(files)
+
+
+def _parsed(files: DataFrame) -> DataFrame:
+    """Entries of small files, each parsed as a whole."""
+    entries = F.from_json("text", f"array<{MANIFEST_ENTRY.simpleString()}>")
+    texts = files.select("uri").mapInArrow(_wholes, "ord bigint, text string")
+    exploded = texts.select(F.posexplode(entries).alias("ord", "e"))
+    return exploded.select(F.col("ord").cast("bigint").alias("ord"), "e.*")
+
+
+def _split(files: DataFrame, split_bytes: int) -> DataFrame:
+    """Entries of indented arrays, in splits."""
     start = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("size"), F.lit(split_bytes).cast("bigint")))
     ranges = files.select("uri", start.alias("start")).select(
         "uri", "start", (F.col("start") + split_bytes).alias("end")

@@ -8,13 +8,14 @@ enter a shuffle.
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 from urllib.parse import quote
 
 import pyarrow as pa
 import pyarrow.parquet as pq
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
@@ -25,14 +26,13 @@ from paperloom.plans.staging import stage
 from paperloom.schema import ARCHIVE
 from paperloom.sources.archive import LOCATION
 from paperloom.sources.content import TASK_BYTES
-from paperloom.sources.storage import AtomicFile, read_range
+from paperloom.sources.storage import AtomicFile, is_empty, read_range
 
 FORMAT = "paperloom_shards"
 ROW_GROUP_BYTES = 64 << 20
-FAILURES_KEPT = 10
-MAX_WRITE_TASKS = 100_000
 MAX_KNOWN_SHARDS = 500_000
 PAGE = 256
+FAILURES = "_failures"
 
 _KEYS = ["source", "path", "chunk_index"]
 
@@ -54,7 +54,6 @@ class Written(WriterCommitMessage):
     shards: int
     rows: int
     failed: int
-    failures: list[str]
 
 
 class _Shard:
@@ -92,22 +91,26 @@ class _Shard:
 
 
 class ShardWriter(DataSourceArrowWriter):
-    def __init__(self, out: str, partitioned: bool):
+    def __init__(self, out: str, partitioned: bool, skip_unread: bool):
         self.out = out
         self.partitioned = partitioned
+        self.skip_unread = skip_unread
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
-        done = Written(0, 0, 0, [])
-        current, shard = None, None
+        done = Written(0, 0, 0)
+        current, shard, failures = None, None, None
         for batch in iterator:
             for row in batch.to_pylist():
                 if "content" not in row:
                     try:
                         row["content"] = self._read(row)
                     except OSError as exc:
+                        if not self.skip_unread:
+                            raise
+                        failed = {k: row[k] for k in _KEYS} | {"error": str(exc)}
+                        failures = failures or AtomicFile(f"{self.out}/{FAILURES}/{uuid.uuid4().hex}.json")
+                        failures.write(json.dumps(failed).encode() + b"\n")
                         done.failed += 1
-                        if done.failed <= FAILURES_KEPT:
-                            done.failures.append(f"{row['source']}/{row['path']}: {exc}")
                         continue
                 key = (row["source"], row["shard_file"])
                 if key != current:
@@ -120,6 +123,8 @@ class ShardWriter(DataSourceArrowWriter):
                 done.rows += 1
         if shard:
             shard.publish()
+        if failures:
+            failures.publish()
         return done
 
     def _folder(self, row: dict) -> str:
@@ -137,7 +142,6 @@ class ShardWriter(DataSourceArrowWriter):
             "shards": sum(m.shards for m in written),
             "rows": sum(m.rows for m in written),
             "failed_rows": sum(m.failed for m in written),
-            "failures": [f for m in written for f in m.failures][:FAILURES_KEPT],
         }
         marker = AtomicFile(f"{self.out}/_SUCCESS")
         marker.write(json.dumps(summary).encode())
@@ -154,7 +158,8 @@ class ShardSink(DataSource):
 
     def writer(self, schema, overwrite: bool) -> ShardWriter:
         partitioned = self.options.get("partitioned", "true").lower() == "true"
-        return ShardWriter(self.options["path"].rstrip("/"), partitioned)
+        skip = self.options.get("on_error", "fail") == "skip"
+        return ShardWriter(self.options["path"].rstrip("/"), partitioned, skip)
 
 
 def row_bytes(rows: DataFrame) -> DataFrame:
@@ -166,7 +171,8 @@ def row_bytes(rows: DataFrame) -> DataFrame:
     if "nbytes" in rows.columns:
         return rows.select(*_KEYS, F.coalesce("nbytes", F.lit(0)).alias("nbytes"))
     stored = F.when(F.col("content_available"), F.col("file_size")).otherwise(0)
-    whole = rows.where("total_chunks = 1").select(*_KEYS, stored.alias("nbytes"))
+    keys = [*_KEYS[:2], F.coalesce("chunk_index", F.lit(0)).alias("chunk_index")]
+    whole = rows.where("total_chunks = 1 or total_chunks is null").select(*keys, stored.alias("nbytes"))
     chunks = rows.where("total_chunks > 1").select(
         *_KEYS, F.octet_length("content").cast("bigint").alias("nbytes")
     )
@@ -223,7 +229,7 @@ def by_shard(rows: DataFrame, plan: DataFrame) -> DataFrame:
     )
     shards, total = starts.agg(F.count("*"), F.coalesce(F.sum("bytes"), F.lit(0))).first()
     wanted = max(rows.sparkSession.sparkContext.defaultParallelism, total // TASK_BYTES)
-    tasks = max(1, min(shards, wanted, MAX_WRITE_TASKS))
+    tasks = max(1, min(shards, wanted))
     if shards <= MAX_KNOWN_SHARDS:
         placed = _looked_up(rows, starts)
         return placed.repartitionById(tasks, (F.col("id") % tasks).cast("int")).drop("id")
@@ -236,6 +242,7 @@ def archive_write(
     out: str,
     max_shard_bytes: int = C.MAX_SHARD_BYTES,
     partitioned: bool = True,
+    on_error: str = "fail",
 ) -> DataFrame:
     """Write archive rows as `{source}-00000-of-00003.parquet` shards below a new folder.
 
@@ -246,20 +253,38 @@ def archive_write(
 
     Subset folders are named `source=name`, which lets Spark prune them, or just `name`
     with `partitioned=False`.
+
+    The folder must not hold anything yet. A file that cannot be read fails the job;
+    with `on_error="skip"` its rows go to `read_failures` instead. Rows without chunk
+    columns are written as whole files.
     """
+    if on_error not in ("fail", "skip"):
+        raise ValueError(f"on_error must be 'fail' or 'skip', not {on_error!r}")
+    if not is_empty(out):
+        raise FileExistsError(f"{out} is not empty")
     plan = stage(assign_shards(row_bytes(rows), max_shard_bytes))
     located = all(name in rows.columns for name in LOCATION)
+    whole = {"chunk_index": F.coalesce("chunk_index", F.lit(0)), "total_chunks": F.coalesce("total_chunks", F.lit(1))}
     payload = [c for c in ARCHIVE.fieldNames() if c != "content"]
     payload += LOCATION if located else ["content"]
     rows.sparkSession.dataSource.register(ShardSink)
     (
-        by_shard(rows.select(payload), plan)
+        by_shard(rows.withColumns(whole).select(payload), plan)
         .sortWithinPartitions("source", "shard", "path", "chunk_index")
         .withColumn("shard_file", shard_name(F.col("source"), F.col("shard"), F.col("shard_total")))
         .drop("shard", "shard_total")
         .write.format(FORMAT)
         .option("partitioned", partitioned)
+        .option("on_error", on_error)
         .mode("append")
         .save(out)
     )
     return plan
+
+
+def read_failures(spark: SparkSession, out: str) -> DataFrame:
+    """(source, path, chunk_index, error) of the rows that archive_write skipped."""
+    schema = "source string, path string, chunk_index int, error string"
+    if is_empty(f"{out}/{FAILURES}"):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).json(f"{out}/{FAILURES}")

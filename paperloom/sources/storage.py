@@ -43,6 +43,19 @@ def list_dir(uri: str) -> Iterator[Entry]:
     return (entry for entry in found if not entry.name.startswith(_TEMPORARY))
 
 
+def is_empty(uri: str) -> bool:
+    """Is there nothing at `uri`, or only an empty folder?"""
+    try:
+        return next(iter(list_dir(uri)), None) is None
+    except (FileNotFoundError, NotADirectoryError):
+        return not _exists(uri)
+
+
+def _exists(uri: str) -> bool:
+    fs, path = resolve(uri)
+    return fs.get_file_info(path).type != pafs.FileType.NotFound
+
+
 def _local_entries(path: str) -> Iterator[Entry]:
     with os.scandir(path) as entries:
         for e in entries:
@@ -60,7 +73,10 @@ def read_range(uri: str, offset: int, length: int) -> bytes:
     fs, path = resolve(uri)
     with fs.open_input_file(path) as handle:
         handle.seek(offset)
-        return handle.read(length)
+        found = handle.read(length)
+    if len(found) != length:
+        raise OSError(f"{uri}: {len(found)} of {length} bytes at {offset}")
+    return found
 
 
 def read_from(uri: str, offset: int = 0, piece_bytes: int = 8 << 20) -> Iterator[bytes]:

@@ -11,7 +11,6 @@ from paperloom.operators.archive import (
     train_eval_split,
 )
 from paperloom.operators.filters import row_predicate
-from paperloom.plans.joins import small_side
 from paperloom.schema import ARCHIVE, LARGE_FILES
 from paperloom.sources import archive
 from paperloom.sources.content import load_content
@@ -92,12 +91,3 @@ def test_splits_and_predicates(spark, repo):
     by_column = row_predicate(rows, F.col("file_size") > 1000)
     by_function = row_predicate(rows, lambda batch: batch["file_size"] > 1000, ["file_size"])
     assert sorted(by_column.collect()) == sorted(by_function.collect()) and by_column.count() == 4
-
-
-def test_small_side_is_checked(spark):
-    df = spark.range(10)
-
-    def hinted(side):
-        return "broadcast" in side._jdf.queryExecution().logical().toString().lower()
-
-    assert hinted(small_side(df, 10)) and not hinted(small_side(df, 9))

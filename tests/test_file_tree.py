@@ -16,7 +16,7 @@ from paperloom.sources import archive
 from paperloom.sources.content import files_on_disk
 from paperloom.sources.export import file_export
 from paperloom.sources.listing import list_files
-from paperloom.sources.shards import archive_write
+from paperloom.sources.shards import archive_write, read_failures
 
 LIMIT, CHUNK, SHARD = 100, 40, 120
 
@@ -103,8 +103,14 @@ def test_unreadable_file_costs_only_itself(spark, tree):
     read = archive.attach_content(rows).collect()
     assert {r.path for r in read if r.read_error} == {"a.JPG"}
     out = str(root.parent / "out")
-    archive_write(rows, out, SHARD)
+    with pytest.raises(Exception, match="a.JPG"):
+        archive_write(rows, out + "-fails", SHARD)
+    assert not (Path(out + "-fails") / "_SUCCESS").exists()
+    archive_write(rows, out, SHARD, on_error="skip")
     assert '"failed_rows": 1' in (Path(out) / "_SUCCESS").read_text()
+    assert [(r.source, r.path) for r in read_failures(spark, out).collect()] == [("s", "a.JPG")]
+    with pytest.raises(FileExistsError):
+        archive_write(rows, out, SHARD, on_error="skip")
     written = {r.path for r in archive.read_archive(spark, out).select("path").distinct().collect()}
     assert written == set(kept(contents)) - {"a.JPG"}
 
@@ -233,3 +239,29 @@ def test_filter_edges_only(spark, tmp_path):
 
     files = spark.createDataFrame([("s", f"s-{i}") for i in (3, 1, 2)] + [("t", "t-1")], "source string, file string")
     assert sorted(map(tuple, edge_files(files).collect())) == [("s", "s-1"), ("s", "s-3"), ("t", "t-1")]
+
+
+def test_external_limit_is_apart_from_the_row_size(spark, tmp_path):
+    (tmp_path / "t").mkdir()
+    for name, size in (("small", 5), ("middle", 25), ("large", 45)):
+        (tmp_path / "t" / name).write_bytes(b"x" * size)
+    rows = archive.archive_scan(spark, {"s": str(tmp_path / "t")}, large="external", max_bytes=40, chunk_bytes=10, row_bytes=10).collect()
+    found = {}
+    for r in rows:
+        found.setdefault(r.path, []).append((r.content_available, r.chunk_index, r.total_chunks, len(r.content or b"")))
+    assert found["small"] == [(True, 0, 1, 5)] and found["large"] == [(False, 0, 1, 0)]
+    assert sorted(found["middle"]) == [(True, 0, 3, 10), (True, 1, 3, 10), (True, 2, 3, 5)]
+
+
+def test_rows_without_chunk_columns_are_whole_files(spark, tmp_path):
+    rows = spark.createDataFrame(
+        [(f"{i}.txt", "s", "text", 3, ".txt", bytearray(b"abc"), True, None, None) for i in range(5)],
+        "path string, source string, file_type string, file_size bigint, extension string, content binary, "
+        "content_available boolean, chunk_index int, total_chunks int")
+    archive_write(rows, str(tmp_path / "a"))
+    back = archive.read_archive(spark, str(tmp_path / "a"))
+    assert {(r.path, r.chunk_index, r.total_chunks) for r in back.collect()} == {(f"{i}.txt", 0, 1) for i in range(5)}
+    assert file_export(rows, str(tmp_path / "e"), str(tmp_path / "r")).count() == 5
+    cut = rows.withColumns({"chunk_index": F.when(F.col("path") == "0.txt", 1), "total_chunks": F.when(F.col("path") == "0.txt", 2)})
+    with pytest.raises(Exception, match="0.txt"):
+        file_export(cut, str(tmp_path / "f"), str(tmp_path / "q"))

@@ -156,3 +156,25 @@ def test_report(spark, tmp_path):
     assert stats.entries_before == 400
     sample = spark.read.json(str(tmp_path / "r" / "conflicts_sample"))
     assert sample.select("path").distinct().count() <= 20 and {"path", "md5"} <= set(sample.columns)
+
+
+@pytest.mark.parametrize("indent", [None, 2, 4, "lines"])
+def test_every_layout_gives_the_same_rows(spark, tmp_path, indent):
+    entries = [{"id": str(i), "path": f"a/{i} }}\u00e9", "md5": None if i else "x", "size": i} for i in range(3)]
+    text = "\n".join(map(json.dumps, entries)) if indent == "lines" else json.dumps(entries, indent=indent)
+    (tmp_path / "m.json").write_text(text)
+    rows = S.manifest_scan(spark, str(tmp_path / "m.json")).orderBy("ord").collect()
+    assert [(r.id, r.path, r.md5, r.size) for r in rows] == [tuple(e.values()) for e in entries]
+
+
+def test_text_that_is_no_manifest_fails(spark, tmp_path):
+    (tmp_path / "m.json").write_text('[\n  {\n    "id": "1"\n  }, {"id": "2"}]')
+    with pytest.raises(Exception, match="no entry"):
+        S.manifest_scan(spark, str(tmp_path / "m.json")).collect()
+
+
+def test_equal_paths_of_two_sources_stay_apart(spark):
+    manifest = spark.createDataFrame([(0, "1", "p", "m", 1, "a"), (1, "2", "p", "m", 1, "b")], "ord bigint, id string, path string, md5 string, size bigint, source string")
+    actual = spark.createDataFrame([("a", "p", 1, "m"), ("b", "p", 2, "m"), ("c", "p", 1, "m")], "source string, path string, file_size bigint, md5 string")
+    assert sorted((r.source, r.status) for r in M.verify_manifest(manifest, actual).collect()) == [("a", "ok"), ("b", "size_mismatch")]
+    assert M.dedupe_manifest(manifest).count() == 2 and [r.id for r in M.fetch_plan(manifest, actual).collect()] == ["2"]
