@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from paperloom.llm.staging import staged
@@ -169,6 +169,14 @@ def _fences(sketches: DataFrame, groups: list[str]) -> DataFrame:
         F.max("total").alias("documents"), F.map_from_entries(F.collect_list(fence)).alias("fences"))
 
 
+def _literal(row: Row | None) -> Column:
+    """The fences of a row as a constant map."""
+    if row is None:
+        return F.lit(None).cast("map<string,struct<low:bigint,high:bigint>>")
+    return F.create_map(*[x for m, (low, high) in sorted(row["fences"].items()) for x in (
+        F.lit(m), F.struct(F.lit(low).cast("long").alias("low"), F.lit(high).cast("long").alias("high")))])
+
+
 def thresholds(measured: DataFrame, into: str = "rules", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
     """Fences of every (lang, source) among the documents that pass the base rules.
 
@@ -180,9 +188,8 @@ def thresholds(measured: DataFrame, into: str = "rules", lang_col: str = "lang",
     own = _fences(by_source, ["_lang", "_source"])
     lang = _fences(by_source, ["_lang"]).select(
         F.col("_lang").alias("_l"), F.col("documents").alias("_dl"), F.col("fences").alias("_fl"))
-    every = _fences(by_source.withColumn("_all", F.lit(1)), ["_all"]).select("_all", F.col("fences").alias("_fa"))
-    joined = own.join(lang, F.col("_lang").eqNullSafe(F.col("_l")), "left")
-    joined = joined.withColumn("_all", F.lit(1)).join(every, "_all", "left")
+    every = _fences(by_source.withColumn("_all", F.lit(1)), ["_all"]).first()  # four pairs of numbers
+    joined = own.join(lang, F.col("_lang").eqNullSafe(F.col("_l")), "left").withColumn("_fa", _literal(every))
     chosen = (F.when(F.col("documents") >= LEAST_DOCUMENTS, F.col("fences"))
               .when(F.col("_dl") >= LEAST_DOCUMENTS, F.col("_fl")).otherwise(F.col("_fa")))
     return joined.select(F.col("_lang").alias("_t_lang"), F.col("_source").alias("_t_source"), chosen.alias("_fences"))
