@@ -11,7 +11,7 @@ from functools import reduce
 from operator import and_
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,9 +43,9 @@ def test(words: np.ndarray, bits: np.ndarray) -> np.ndarray:
 def _maybe(keys: DataFrame, on: list[str]):
     shared = bitmap(keys, F.xxhash64(*on))
 
-    @F.pandas_udf("boolean")
-    def maybe(hashed: pd.Series) -> pd.Series:
-        return pd.Series(test(shared.value, hashed.to_numpy(np.int64)))
+    @F.arrow_udf("boolean")
+    def maybe(hashed: pa.Array) -> pa.Array:
+        return pa.array(test(shared.value, hashed.to_numpy()))
 
     return maybe(F.xxhash64(*on))
 

@@ -22,10 +22,10 @@ TOTALS = "source string, lang string, version string, documents long, tokens lon
 
 def _counter(path: str):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path)
-        for batch in batches:
-            tokens = pa.array([len(encode(t.as_py())) for t in batch.column(3)], pa.int64())
-            yield pa.record_batch([*batch.columns[:3], tokens], ["doc_id", "source", "lang", "tokens"])
+        with encoder(path) as encode:
+            for batch in batches:
+                tokens = pa.array([len(encode(t.as_py())) for t in batch.column(3)], pa.int64())
+                yield pa.record_batch([*batch.columns[:3], tokens], ["doc_id", "source", "lang", "tokens"])
     return count
 
 

@@ -85,20 +85,22 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray,
 
 
 def _pieces(path: str, capacity: int, end: int, with_ids: bool):
+    names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"][:5 + with_ids]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path)
-        for batch in batches:
-            rows, out = [], []
-            for row, text in enumerate(batch.column(1)):
-                ids = np.append(encode(text.as_py()), np.uint32(end)).astype("<u4")
-                for k, (start, n) in enumerate(cut(len(ids), capacity)):
-                    part = ids[start:start + n]
-                    rows.append(row)
-                    out.append((k, start, n, zlib.crc32(part.tobytes()), *([part.astype(np.int32)] if with_ids else [])))
-                if len(out) >= 5_000 or row == len(batch) - 1:
-                    yield pa.record_batch([batch.column(0).take(pa.array(rows, pa.int64())).cast(pa.int64()), *map(pa.array, zip(*out))],
-                                          ["doc_id", "piece", "start", "length", "ids_crc32", "ids"][:len(out[0]) + 1])
-                    rows, out = [], []
+        with encoder(path) as encode:
+            for batch in batches:
+                rows, out = [], []
+                for row, text in enumerate(batch.column(1)):
+                    ids = np.append(encode(text.as_py()), np.uint32(end)).astype("<u4", copy=False)
+                    for k, (start, n) in enumerate(cut(len(ids), capacity)):
+                        part = ids[start:start + n]
+                        rows.append(row)
+                        out.append((k, start, n, zlib.crc32(part), *([part.astype(np.int32)] if with_ids else [])))
+                    if len(out) >= 5_000 or row == len(batch) - 1:
+                        owners = batch.column(0).take(pa.array(rows, pa.int64())).cast(pa.int64())
+                        yield pa.record_batch([owners, *map(pa.array, zip(*out))], names)
+                        rows, out = [], []
     return run
 
 

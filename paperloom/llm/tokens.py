@@ -8,7 +8,10 @@ of a corpus repeat. Ids are those of the whole text.
 from __future__ import annotations
 
 import re
+import threading
 from array import array
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 import numpy as np
@@ -19,6 +22,8 @@ PIECE = re.compile(r"[^\S\x1c-\x1f]*[\S\x1c-\x1f]+|[^\S\x1c-\x1f]+")
 #: A worker remembers this many pieces, and as many older ones. Longer pieces are not kept.
 REMEMBERED = 400_000
 LONGEST = 64
+#: Seconds after which a worker that has gone over to other work forgets its pieces.
+IDLE = 10
 
 
 class Encoder:
@@ -33,11 +38,15 @@ class Encoder:
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.bytes = None
+        self.timer: threading.Timer | None = None
         if self.tokenizer.normalizer is None and isinstance(self.tokenizer.pre_tokenizer, ByteLevel):
             vocabulary = self.tokenizer.get_vocab()  # a character of a token stands for a byte
             self.bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
             self.bytes[list(vocabulary.values())] = [len(t) for t in vocabulary]
 
+    def forget(self) -> None:
+        self.known, self.older = {}, {}
+
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
@@ -92,6 +101,21 @@ class Encoder:
 
 
 @cache
-def encoder(path: str) -> Encoder:
-    """The encoder of this worker process; it remembers pieces from task to task."""
+def _of_this_worker(path: str) -> Encoder:
     return Encoder(path)
+
+
+@contextmanager
+def encoder(path: str) -> Iterator[Encoder]:
+    """The encoder of this worker process. It remembers pieces from task to task, but gives
+    the memory back when no task has used it for IDLE seconds: workers outlive a stage."""
+    found = _of_this_worker(path)
+    if found.timer is not None:
+        found.timer.cancel()
+        found.timer.join()
+    try:
+        yield found
+    finally:
+        found.timer = threading.Timer(IDLE, found.forget)
+        found.timer.daemon = True
+        found.timer.start()

@@ -58,7 +58,7 @@ def test_empty_table(spark):
 
 
 def test_sketch_of_sources_adds_up_and_quartiles_are_close(spark):
-    rows = spark.createDataFrame([(i, " ".join("x" * (1 + (i * k) % 17) for k in range(1, 80)), "en", f"s{i % 4}", 0, 0) for i in range(200)], SCHEMA)
+    rows = spark.createDataFrame([(i, " ".join(chr(0x4E00 + k) + "x" * ((i * k) % 17) for k in range(1, 80)), "en", f"s{i % 4}", 0, 0) for i in range(200)], SCHEMA)
     measured = rules.measure(rows)
     one, many = (rules._fences(rules.sketch(measured.withColumn("all", F.lit(1)), keys), ["all"]).first()
                  for keys in (["all"], ["all", "source"]))
