@@ -18,6 +18,7 @@ from paperloom.schema import ARCHIVE
 from paperloom.sources.archive import scan_shards
 from paperloom.sources.content import spread_by_bytes
 from paperloom.sources.listing import list_files
+from paperloom.sources.shards import shard_writer
 from paperloom.sources.storage import AtomicFile, resolve
 
 
@@ -71,7 +72,7 @@ def _rewriter(patterns: list[str]):
                 with fs.open_input_file(path) as handle:
                     shard = pq.ParquetFile(handle)
                     target = AtomicFile(uri)
-                    with pq.ParquetWriter(target.stream, shard.schema_arrow, compression="snappy") as out:
+                    with shard_writer(target.stream, shard.schema_arrow) as out:
                         for group in range(shard.num_row_groups):
                             table = shard.read_row_group(group)
                             for pattern in patterns:

@@ -48,14 +48,14 @@ def conflict_md5s(spark, sf):
     return O.conflict_md5s(B.manifest(spark, sf))
 
 
-@query(
-    "conflict_sample",
-    f"""WITH {FIRSTS_SQL},
+CONFLICT_SAMPLE_SQL = f"""WITH {FIRSTS_SQL},
     sample AS (SELECT path, first_ord FROM conflicts ORDER BY first_ord LIMIT 20)
     SELECT s.first_ord AS path_ord, m.path, m.md5, min(m.ord) AS first_ord
     FROM manifest m JOIN sample s ON m.path = s.path
-    WHERE m.md5 IS NOT NULL GROUP BY s.first_ord, m.path, m.md5""",
-)
+    WHERE m.md5 IS NOT NULL GROUP BY s.first_ord, m.path, m.md5"""
+
+
+@query("conflict_sample", CONFLICT_SAMPLE_SQL)
 def conflict_sample(spark, sf):
     return O.conflict_sample(B.manifest(spark, sf))
 

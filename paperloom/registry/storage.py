@@ -11,7 +11,7 @@ from paperloom.operators import rewrite
 from paperloom.operators.manifest import conflict_sample, dedupe_stats
 from paperloom.plans.staging import scratch_path
 from paperloom.registry import query
-from paperloom.registry.manifests import FIRSTS_SQL, STATS_SQL
+from paperloom.registry.manifests import CONFLICT_SAMPLE_SQL, FIRSTS_SQL, STATS_SQL
 from paperloom.registry.projections import ARCHIVE_DIGESTS
 from paperloom.registry.summaries import SHARDS_SQL
 from paperloom.sources import archive, manifest
@@ -229,3 +229,13 @@ def report_write(spark, sf):
     stats = dedupe_stats(rows)
     manifest.report_write(stats, conflict_sample(rows), out)
     return spark.read.schema(stats.schema).json(f"{out}/stats")
+
+
+@query("report_conflicts", CONFLICT_SAMPLE_SQL)
+def report_conflicts(spark, sf):
+    """The conflict half of a report, read back."""
+    out = scratch_path(spark, "report")
+    rows = B.manifest(spark, sf)
+    conflicts = conflict_sample(rows)
+    manifest.report_write(dedupe_stats(rows), conflicts, out)
+    return spark.read.schema(conflicts.schema).json(f"{out}/conflicts_sample")

@@ -56,20 +56,24 @@ class Written(WriterCommitMessage):
     failed: int
 
 
+def shard_writer(stream, schema: pa.Schema) -> pq.ParquetWriter:
+    """A Parquet writer with the settings of shards. File bytes are distinct and large: a
+    dictionary or min/max of them helps no one."""
+    return pq.ParquetWriter(
+        stream,
+        schema,
+        compression="snappy",
+        use_dictionary=[n for n in ("source", "file_type", "extension") if n in schema.names],
+        write_statistics=[n for n in schema.names if n != "content"],
+    )
+
+
 class _Shard:
     """One open shard file; holds at most one row group of bytes."""
 
     def __init__(self, uri: str):
         self.file = AtomicFile(uri)
-        # File bytes are distinct and large: a dictionary or min/max of them helps no one.
-        described = [name for name in _SHARD_SCHEMA.names if name != "content"]
-        self.parquet = pq.ParquetWriter(
-            self.file.stream,
-            _SHARD_SCHEMA,
-            compression="snappy",
-            use_dictionary=["source", "file_type", "extension"],
-            write_statistics=described,
-        )
+        self.parquet = shard_writer(self.file.stream, _SHARD_SCHEMA)
         self.rows: list[dict] = []
         self.held = 0
 
