@@ -21,11 +21,11 @@ from pyspark.sql import functions as F
 from paperloom.llm.staging import staged
 from paperloom.llm.words import BYTES, SPACED, U, Words, mix, powers, words
 
-#: Labelled rows that the network and the word vectors are fitted on: the bound of the
-#: sample, taken by a hash of the id. All others are only scored.
+#: Labelled rows that the network is fitted on: the bound of the sample, taken by a hash of
+#: the id. All others are only scored. Word vectors come from all rows, labelled or not.
 SAMPLE = 20_000
 #: Words share so many vectors by hash.
-BUCKETS = 1 << 15
+BUCKETS = 1 << 17
 SIZE = 48
 #: Non-zero places of a random vector, and terms on either side that make a context.
 PLACES = 4
@@ -42,7 +42,7 @@ SHAPE = np.array([0x30 if 0x30 <= b <= 0x39 else 0x41 if 0x41 <= b <= 0x5A else
 def random_vectors() -> np.ndarray:
     """The fixed random vector of every bucket: PLACES times plus or minus one."""
     bits = mix(np.arange(1, BUCKETS * PLACES + 1, dtype=np.uint64)).reshape(BUCKETS, PLACES)
-    out = np.zeros((BUCKETS, SIZE), np.int16)
+    out = np.zeros((BUCKETS, SIZE), np.int8)
     for k in range(PLACES):
         sign = np.where(bits[:, k] >> U(63), 1, -1)
         np.add.at(out, (np.arange(BUCKETS), (bits[:, k] % U(SIZE)).astype(np.int64)), sign)
@@ -72,25 +72,41 @@ def _terms(w: Words) -> tuple[np.ndarray, np.ndarray]:
             (_shape_hashes(w) % U(shapes)).astype(np.int64) + BUCKETS - shapes)
 
 
+def _grouped(terms: np.ndarray) -> np.ndarray:
+    """Order of the terms by bucket: two radix sorts of 16 bits each."""
+    order = np.argsort((terms & 0xFFFF).astype(np.uint16), kind="stable")
+    return order[np.argsort((terms >> 16).astype(np.uint16)[order], kind="stable")]
+
+
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums of the random vectors around each bucket, one row per bucket and batch."""
-    random = random_vectors()
+    """Sums of the random vectors around each bucket, one row per bucket and task.
+
+    Texts lie CONTEXT zero vectors apart, so none is the context of another. A sum around
+    one term is at most 2 * CONTEXT * PLACES, which a byte holds.
+    """
+    random = np.concatenate([random_vectors(), np.zeros((1, SIZE), np.int8)])
+    total = np.zeros((BUCKETS, SIZE), np.int64)
     for batch in batches:
-        total = np.zeros((BUCKETS, SIZE), np.int64)
         for w in words(batch.column(0), SPACED, lower=False):
-            text = np.repeat(np.arange(len(w.rows)), np.diff(w.first))
+            n = len(w.starts)
+            if not n:
+                continue
+            at = np.arange(n) + CONTEXT * np.repeat(np.arange(1, len(w.rows) + 1), np.diff(w.first))
             for terms in _terms(w):
-                around = np.zeros((len(terms), SIZE), np.int32)
+                padded = np.full(n + CONTEXT * (len(w.rows) + 1), BUCKETS, np.int64)
+                padded[at] = terms
+                own = random[padded]
+                around = np.zeros_like(own)
                 for step in range(1, CONTEXT + 1):
-                    same = (text[step:] == text[:-step])[:, None]
-                    around[step:] += random[terms[:-step]] * same
-                    around[:-step] += random[terms[step:]] * same
-                order = np.argsort(terms, kind="stable")
-                if len(order):
-                    used, at = np.unique(terms[order], return_index=True)
-                    total[used] += np.add.reduceat(around[order], at, axis=0)
-        used = np.flatnonzero(total.any(axis=1))
-        yield pa.record_batch([pa.array(used.astype(np.int64)), *map(pa.array, total[used].T)], ["bucket", *_columns()])
+                    around[step:] += own[:-step]
+                    around[:-step] += own[step:]
+                order = _grouped(terms)
+                used, first = np.unique(terms[order], return_index=True)
+                total[used] += np.add.reduceat(around[at[order]], first, axis=0, dtype=np.int32)
+    used = np.flatnonzero(total.any(axis=1))
+    for k in range(0, len(used), 10_000):
+        part = used[k:k + 10_000]
+        yield pa.record_batch([pa.array(part.astype(np.int64)), *map(pa.array, total[part].T)], ["bucket", *_columns()])
 
 
 def _columns() -> list[str]:
@@ -211,7 +227,7 @@ def _scorer(vectors: Broadcast, net: Broadcast | None):
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> tuple[np.ndarray, Network]:
-    """Word vectors and network from at most SAMPLE labelled documents.
+    """Word vectors from all rows of `docs`, and a network from at most SAMPLE labelled ones.
 
     The sample has the least hashes of ids among the labels, so it does not depend on the
     order of rows. Null labels and ids are no labels; of several for one id the greatest counts.
@@ -222,7 +238,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     sample = staged(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE), "sample")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "doc_id")
     texts = staged(texts, "labelled")
-    vectors = word_vectors(texts)
+    vectors = word_vectors(docs, text_col)
     shared = docs.sparkSession.sparkContext.broadcast(vectors)
     rows = texts.select("doc_id", "text").mapInArrow(_scorer(shared, None), "doc_id long, features array<float>")
     found = rows.join(F.broadcast(sample), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").toArrow()

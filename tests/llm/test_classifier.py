@@ -1,6 +1,9 @@
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from paperloom.llm import classifier
+from paperloom.llm.words import SPACED, words
 
 SF = "/root/testdata/sf0.01"
 
@@ -29,3 +32,27 @@ def test_odd_rows(spark):
     vectors, net = classifier.fit(docs, labels.limit(0))
     assert [r.score for r in classifier.score(docs, vectors, net).collect()] == [0.5] * 4
     assert classifier.score(docs.limit(0), vectors, net).count() == 0
+
+
+def bucket(word):
+    return int(classifier._terms(next(words(pa.array([word]), SPACED, lower=False)))[0][0])
+
+
+def test_words_outside_the_sample_have_vectors(spark, monkeypatch):
+    monkeypatch.setattr(classifier, "SAMPLE", 2)
+    docs = spark.createDataFrame([(i, f"only{i} here the word{i} is") for i in range(40)], "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(10)], "doc_id long, quality int")
+    vectors, _ = classifier.fit(docs, labels)
+    assert all(vectors[bucket(f"{name}{i}")].any() for i in range(40) for name in ("only", "word"))
+
+
+def test_contexts_equal_a_plain_sum(spark):
+    texts = ["a b c a", None, "", "b", "c a a b a", "d"]
+    random, plain = classifier.random_vectors().astype(int), {}
+    for text in texts:
+        w = [bucket(x) for x in (text or "").split()]
+        for i, x in enumerate(w):
+            plain[x] = plain.get(x, 0) + sum(random[w[k]] for k in range(max(i - 2, 0), min(i + 3, len(w))) if k != i)
+    rows = classifier._contexts(iter([pa.record_batch([pa.array(texts[:3])], ["t"]), pa.record_batch([pa.array(texts[3:])], ["t"])]))
+    got = {b: v for r in rows for b, *v in zip(*[c.to_pylist() for c in r.columns]) if b < classifier.BUCKETS * 7 // 8}
+    assert got == {b: list(v) for b, v in plain.items() if np.any(v)}
