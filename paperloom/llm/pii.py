@@ -52,6 +52,8 @@ KINDS = {
     "email": "@", "iban": r"^[A-Z]{2}\d{2}", "ip": rf"^(?:{OCTET}\.){{3}}{OCTET}$",
     "phone": r"^\+|^\(|^\d{3}[.-]\d{3}[.-]\d{4}$", "ssn": r"^\d{3}-\d{2}-\d{4}$", "number": r"^\d", "name": r"^\p{L}",
 }
+# The country codes in use; no one begins another.
+COUNTRY = r"^\+(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
 #: Tries until a replacement is given up as impossible.
 TRIES = 60
 
@@ -79,7 +81,7 @@ def _keys(literals: DataFrame) -> DataFrame:
     """(literal, kind, keys): what is replaced in each entity, as (type, plain form).
 
     Spellings of one entity share their keys: case of an address and punctuation of a number
-    do not count. A name has a key for its family name and one for the given name.
+    do not count; a phone number keeps the plus sign before its country code. A name has a key for its family name and one for the given name.
     Digit groups that only look like an account number, without a valid check digit,
     have no key and stay.
     """
@@ -99,6 +101,7 @@ def _keys(literals: DataFrame) -> DataFrame:
             .when(kind == "email", F.array(key(kind, F.lower(e))))
             .when(kind == "iban", F.array(key(kind, F.regexp_replace(e, " ", ""))))
             .when(kind == "ip", F.array(key(kind, e)))
+            .when((kind == "phone") & e.startswith("+"), F.array(key(kind, F.concat(F.lit("+"), _digits(e)))))
             .when((kind == "number") & grouped, F.array().cast("array<struct<kind:string,plain:string>>"))
             .otherwise(F.array(key(kind, _digits(e)))))
     return literals.withColumn("kind", _kind(e)).withColumn("keys", keys)
@@ -120,9 +123,11 @@ def _made_up_name() -> Column:
 
 def _shaped() -> Column:
     """The plain form with every letter and digit replaced by one of its sort. An e-mail
-    address keeps its last label, an IBAN its country and check digits."""
+    address keeps its last label, an IBAN its country and check digits, a phone number its
+    country code."""
     kept = F.when(F.col("kind") == "email", F.length("plain") - F.locate(".", F.reverse("plain"))).otherwise(F.length("plain"))
-    begin = F.when(F.col("kind") == "iban", 4).otherwise(0)
+    begin = (F.when(F.col("kind") == "iban", 4)
+             .when(F.col("kind") == "phone", F.length(F.regexp_extract("plain", COUNTRY, 0))).otherwise(0))
 
     def of(c: Column, i: Column) -> Column:
         at = i % 320 + 1
@@ -178,7 +183,7 @@ def _rendered(literals: DataFrame, found: DataFrame) -> DataFrame:
     joined = one.select("literal", F.col("kind").alias("type"), "place", "key.*").join(found, ["kind", "plain"])
     parts = joined.groupBy("literal", "type").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("place", "surrogate"))), lambda x: x["surrogate"]).alias("parts"))
-    chars, core = F.split("literal", ""), F.element_at("parts", 1)
+    chars, core = F.split("literal", ""), F.ltrim(F.element_at("parts", 1), F.lit("+"))
 
     def digit(state: Column, c: Column) -> Column:
         isdigit = c.rlike("[0-9]") | ((F.col("type") == "iban") & c.rlike("[A-Z]"))
@@ -191,11 +196,8 @@ def _rendered(literals: DataFrame, found: DataFrame) -> DataFrame:
         c.rlike(r"\p{Lu}"), F.upper(F.substr(core, i + 1, F.lit(1)))).otherwise(F.substr(core, i + 1, F.lit(1)))), "")
     named = F.concat_ws(" ", F.regexp_extract("literal", r"^(\S+) ", 1), F.array_join(F.transform("parts", F.initcap), " "))
     kind = F.col("type")
-    code = F.regexp_extract("literal", r"^(\+\d{1,3})(?:[ .(-]|\d)", 1)
-    phone = F.concat(code, F.expr("substring(spelled, length(code) + 1)"))
-    out = parts.withColumn("spelled", spelled).withColumn("code", code).withColumn("replacement", (
-        F.when(kind == "email", cased).when(kind == "ip", core).when(kind == "name", named)
-        .when(kind == "phone", phone).otherwise(F.col("spelled"))))
+    out = parts.withColumn("replacement", (
+        F.when(kind == "email", cased).when(kind == "ip", core).when(kind == "name", named).otherwise(spelled)))
     return out.select("literal", F.col("type").alias("kind"), "replacement")
 
 

@@ -61,3 +61,20 @@ def test_empty_table_and_repeated_rows(spark):
     assert pii.replace_personal_data(spark.createDataFrame([], SCHEMA)).count() == 0
     twice = pii.replace_personal_data(spark.createDataFrame([(None, "at 10.1.1.1", 0, "")] * 2, SCHEMA)).collect()
     assert len(twice) == 2 and twice[0].text == twice[1].text != "at 10.1.1.1"
+
+
+def texts_of(spark, texts):
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return [r.text for r in pii.replace_personal_data(rows).orderBy("doc_id").collect()]
+
+
+def test_phone_numbers_are_one_in_any_spelling_and_distinct_as_written(spark):
+    same = [["+1 415 555 0123", "+14155550123", "+1-415-555-0123"], ["+49 30 1234567", "+49301234567"], ["+353 12 345 678", "+35312345678"]]
+    many = [f"+{n}" for n in range(4155550, 4155850)]
+    out = texts_of(spark, sum(same, []) + many + ["415-555-0123", "+4155550123"])
+    digits = [re.sub(r"[^+0-9]", "", x) for x in out]
+    assert len(set(digits[:3])) == len(set(digits[3:5])) == len(set(digits[5:7])) == 1
+    assert digits[0].startswith("+1") and not digits[0].startswith("+1415") and digits[3].startswith("+49") and digits[5].startswith("+353")
+    made = digits[7:-2]
+    assert len(set(made)) == len(many) and not set(made) & set(many) and all(x.startswith("+41") for x in made)
+    assert digits[-2] not in digits[-1]
