@@ -151,7 +151,8 @@ def assign_shards(sizes: DataFrame, limit: int) -> DataFrame:
     )
     top_block = placed.agg(F.max("block")).first()[0] or 0
     steps = stage(
-        placed.select("source", "block", "before", end.alias("end"))
+        # Rows without bytes end alike: combined before the shuffle, any number of them is one.
+        placed.groupBy("source", "block", end.alias("end")).agg(F.min("before").alias("before"))
         .groupBy("source", "block")
         .applyInPandas(_block_steps(limit), f"{_STEPS}, closes array<bigint>")
     )

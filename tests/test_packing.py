@@ -154,3 +154,25 @@ def test_no_task_holds_a_whole_source(spark):
     parts = df.repartitionByRange(8, "source", "path").withColumn(PART, F.spark_partition_id())
     sizes = [r["count"] for r in parts.groupBy(PART).count().collect()]
     assert len(sizes) == 8 and max(sizes) < 2 * min(sizes)
+
+
+def test_rows_without_bytes_are_not_one_group(spark, monkeypatch):
+    steps, n = packing._block_steps, 2_000_000
+
+    def bounded(limit):
+        run = steps(limit)
+
+        def checked(pdf):
+            assert len(pdf) < 100
+            return run(pdf)
+
+        return checked
+
+    monkeypatch.setattr(packing, "_block_steps", bounded)
+    empty = F.col("id").between(100, n + 99)
+    sizes = spark.range(n + 200).select(
+        F.lit("s").alias("source"), F.format_string("f%07d", "id").alias("path"), F.lit(0).alias("chunk_index"),
+        F.when(empty, 0).otherwise(50).cast("long").alias("nbytes"))
+    shards = packing.assign_shards(sizes, LIMIT).groupBy("shard", "shard_total").count().collect()
+    assert {r["shard"]: r["count"] for r in shards} == {k: n + 2 if k == 50 else 2 for k in range(100)}
+    assert {r["shard_total"] for r in shards} == {100}
