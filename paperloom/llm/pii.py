@@ -9,6 +9,7 @@ looked for over the whole corpus and dealt again until all replacements are dist
 from __future__ import annotations
 
 from functools import reduce
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,8 +30,10 @@ ENDINGS = {
     "cyrillic": {"male": "рон", "female": "рия", "family": "лев"},
     "greek": {"male": "ρος", "female": "ρια", "family": "λης"},
 }
-# The letters that stand for the sixteen hexadecimal digits, per script.
+# The letters that stand for the sixteen hexadecimal digits, per script, and
+# the rest of the alphabet, which takes turns with them.
 LETTERS = {"latin": "bcdfghjklmnpqrst", "cyrillic": "бвгджзклмнпрстфх", "greek": "βγδζθκλμνξπρστφχ"}
+OTHERS = {"latin": "aeiouvwxyzaeiouv", "cyrillic": "аеийоуцчшщъыьэюя", "greek": "αεηιουψωαεηιουψω"}
 
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 #: Type: pattern of an entity in its surroundings, tried in this order at each place.
@@ -56,6 +59,8 @@ KINDS = {
 COUNTRY = r"^\+(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
 #: Tries until a replacement is given up as impossible.
 TRIES = 60
+#: Tries in the format of the entity, where longer replacements are allowed; every try after that adds a character.
+SHAPED = 30
 
 
 def _kind(entity: Column) -> Column:
@@ -112,11 +117,11 @@ def _pick(name: str, choices: dict[str, Column]) -> Column:
 
 
 def _made_up_name() -> Column:
-    """Two to five syllables and an ending, by the script and the gender."""
+    """Syllables, two and one more with every try, and an ending, by the script and the gender."""
     def of(script: str) -> Column:
         table = F.array(*[F.lit(x) for x in SYLLABLES[script]])
-        middle = F.transform(F.sequence(F.lit(1), F.lit(2) + F.col("attempt") % 4), lambda i: F.get(
-            table, F.conv(F.substr("stream", i, F.lit(1)), 16, 10).cast("int")))
+        middle = F.transform(F.sequence(F.lit(1), F.lit(2) + F.col("attempt")), lambda i: F.get(
+            table, F.conv(F.substr("stream", i % 320 + 1, F.lit(1)), 16, 10).cast("int")))
         return F.concat(F.array_join(middle, ""), _pick("kind", {k: F.lit(v) for k, v in ENDINGS[script].items()}))
     return _pick("script", {s: of(s) for s in SYLLABLES})
 
@@ -131,23 +136,29 @@ def _shaped() -> Column:
 
     def of(c: Column, i: Column) -> Column:
         at = i % 320 + 1
-        letter = F.substr("letters", at, F.lit(1))
+        coin = F.substr("stream", (i + 160) % 320 + 1, F.lit(1))
+        letter = F.when(coin < "8", F.substr("letters", at, F.lit(1))).otherwise(F.substr("others", at, F.lit(1)))
         return (F.when((i < begin) | (i >= kept), c).when(c.rlike(r"\p{N}"), F.substr("numerals", at, F.lit(1)))
                 .when(c.rlike(r"\p{Lu}"), F.upper(letter)).when(c.rlike(r"\p{L}"), letter).otherwise(c))
 
     return F.array_join(F.transform(F.split("plain", ""), of), "")
 
 
-def _with_surrogates(keys: DataFrame, secret: str) -> DataFrame:
-    """Add the replacement of (kind, plain) at the try `attempt`."""
+def _with_surrogates(keys: DataFrame, secret: str, longer: bool) -> DataFrame:
+    """Add the replacement of (kind, plain) at the try `attempt`. With `longer`, tries from
+    SHAPED on are longer than the entity: letters before an e-mail address, digits at the
+    end of a number, octets of an IPv4 address."""
+    more = F.greatest(F.col("attempt") - (SHAPED - 1), F.lit(0)) if longer else F.lit(0)
     seed = F.concat_ws("|", F.lit(secret), "kind", "plain", F.col("attempt").cast("string"))
     out = keys.withColumns({
         "stream": F.concat(*[F.sha2(F.concat(seed, F.lit(f"|{i}")), 256) for i in range(5)]),
         "script": _script(F.col("plain"))})
-    letters = {s: F.translate("stream", "0123456789abcdef", LETTERS[s]) for s in LETTERS}
-    out = out.withColumns({"numerals": F.translate("stream", "abcdef", "012345"), "letters": _pick("script", letters)})
-    out = out.withColumn("shape", _shaped())
-    octets = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: (
+    letters, others = ({s: F.translate("stream", "0123456789abcdef", x[s]) for s in x} for x in (LETTERS, OTHERS))
+    out = out.withColumns({"numerals": F.translate("stream", "abcdef", "012345"), "letters": _pick("script", letters),
+                           "others": _pick("script", others)})
+    added = [F.substr(c, F.lit(200), more) for c in ("letters", "numerals")]
+    out = out.withColumn("shape", F.when(F.col("kind") == "email", F.concat(added[0], _shaped())).otherwise(F.concat(_shaped(), added[1])))
+    octets = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3) + more), lambda i: (
         F.conv(F.substr("stream", i * 4 + 1, F.lit(4)), 16, 10).cast("int") % 254 + 1).cast("string")), ".")
     checked = F.get(F.filter(F.transform(F.sequence(F.lit(0), F.lit(9)), lambda d: F.concat(
         F.expr("substring(shape, 1, length(shape) - 1)"), d.cast("string"))), _luhn), F.lit(0))
@@ -157,23 +168,28 @@ def _with_surrogates(keys: DataFrame, secret: str) -> DataFrame:
     return out.select("kind", "plain", "attempt", surrogate.alias("surrogate"))
 
 
-def surrogates(keys: DataFrame, secret: str) -> DataFrame:
+def surrogates(keys: DataFrame, secret: str, longer: bool = False) -> DataFrame:
     """(kind, plain, surrogate) with distinct surrogates, none of which is a plain form that
     occurs itself.
 
-    Only keys whose surrogate is taken are dealt again, the one dealt earliest keeping it.
+    Only keys whose surrogate is taken are dealt again, the one dealt earliest keeping it. A
+    format with fewer values than entities is refused, or with `longer` gets replacements
+    that are longer than the entity.
     """
-    dealt = staged(_with_surrogates(keys.select("kind", "plain", F.lit(0).alias("attempt")), secret), "surrogates")
-    originals = dealt.select("kind", F.col("plain").alias("surrogate")).withColumn("real", F.lit(True))
-    for _ in range(TRIES):
-        owners = dealt.groupBy("kind", "surrogate").agg(F.min(F.struct("attempt", "plain")).alias("owner"))
-        judged = (dealt.join(owners, ["kind", "surrogate"]).join(originals, ["kind", "surrogate"], "left")
-                  .withColumn("taken", (F.col("owner.plain") != F.col("plain")) | F.col("real").isNotNull()))
-        judged = staged(judged.select(*dealt.columns, "taken"), "surrogates")
-        if judged.where("taken").isEmpty():
-            return judged.select("kind", "plain", "surrogate")
-        again = judged.where("taken").select("kind", "plain", (F.col("attempt") + 1).alias("attempt"))
-        dealt = staged(judged.where("not taken").select(*dealt.columns).unionByName(_with_surrogates(again, secret)), "surrogates")
+    originals = keys.select("kind", F.col("plain").alias("surrogate"))
+    settled = None
+    dealt = keys.select("kind", "plain", F.lit(0).alias("attempt"))
+    for attempt in count() if longer else range(TRIES):
+        dealt = staged(_with_surrogates(dealt, secret, longer), "surrogates")
+        free = dealt.groupBy("kind", "surrogate").agg(F.min("plain").alias("plain")).join(originals, ["kind", "surrogate"], "left_anti")
+        if settled is not None:
+            free = free.join(settled, ["kind", "surrogate"], "left_anti")
+        free = staged(free.select("kind", "plain", "surrogate"), "settled")
+        settled = free if settled is None else settled.unionByName(free)
+        again = dealt.join(free, ["kind", "plain"], "left_anti")
+        if again.isEmpty():
+            return settled
+        dealt = again.select("kind", "plain", F.lit(attempt + 1).alias("attempt"))
     raise ValueError(f"no distinct surrogates after {TRIES} tries: a format has fewer values than entities")
 
 
@@ -182,7 +198,8 @@ def _rendered(literals: DataFrame, found: DataFrame) -> DataFrame:
     one = literals.select("literal", "kind", F.posexplode("keys").alias("place", "key"))
     joined = one.select("literal", F.col("kind").alias("type"), "place", "key.*").join(found, ["kind", "plain"])
     parts = joined.groupBy("literal", "type").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("place", "surrogate"))), lambda x: x["surrogate"]).alias("parts"))
+        F.transform(F.array_sort(F.collect_list(F.struct("place", "surrogate"))), lambda x: x["surrogate"]).alias("parts"),
+        (F.max(F.length("surrogate")) - F.max(F.length("plain"))).alias("more"))
     chars, core = F.split("literal", ""), F.ltrim(F.element_at("parts", 1), F.lit("+"))
 
     def digit(state: Column, c: Column) -> Column:
@@ -191,9 +208,9 @@ def _rendered(literals: DataFrame, found: DataFrame) -> DataFrame:
             F.concat(state["text"], F.when(isdigit, F.substr(core, state["at"], F.lit(1))).otherwise(c)).alias("text"),
             (state["at"] + isdigit.cast("int")).alias("at"))
 
-    spelled = F.aggregate(chars, F.struct(F.lit("").alias("text"), F.lit(1).alias("at")), digit, lambda s: s["text"])
-    cased = F.array_join(F.transform(chars, lambda c, i: F.when(
-        c.rlike(r"\p{Lu}"), F.upper(F.substr(core, i + 1, F.lit(1)))).otherwise(F.substr(core, i + 1, F.lit(1)))), "")
+    spelled = F.aggregate(chars, F.struct(F.lit("").alias("text"), F.lit(1).alias("at")), digit, lambda s: F.concat(s["text"], F.substr(core, s["at"])))
+    cased = F.concat(F.substr(core, F.lit(1), F.col("more")), F.array_join(F.transform(chars, lambda c, i: F.when(
+        c.rlike(r"\p{Lu}"), F.upper(F.substr(core, i + 1 + F.col("more"), F.lit(1)))).otherwise(F.substr(core, i + 1 + F.col("more"), F.lit(1)))), ""))
     named = F.concat_ws(" ", F.regexp_extract("literal", r"^(\S+) ", 1), F.array_join(F.transform("parts", F.initcap), " "))
     kind = F.col("type")
     out = parts.withColumn("replacement", (
@@ -216,7 +233,8 @@ def replace_personal_data(
     any spelling, and two never share one. Surrogates keep digits, letters and punctuation in their places (IPv4 addresses
     and names are made anew), the case and
     script of letters, the last label of an e-mail's domain, the country code of a phone number or
-    IBAN, a valid check digit of a number, and the gender of a name.
+    IBAN, a valid check digit of a number, and the gender of a name. Where a format has fewer free
+    values than entities, the rest get replacements that are longer.
 
     Texts without entities, null and empty ones included, stay as they are, with an
     empty map. Every row is treated by itself, so repeated rows and null ids do not matter. A
@@ -230,8 +248,8 @@ def replace_personal_data(
     hit = staged(seen.where(F.size("_pii_found") > 0).withColumn("_pii_row", F.monotonically_increasing_id()), "pii")
     rows = hit.select("_pii_row", F.posexplode("_pii_found").alias("place", "literal"))
     literals = staged(_keys(rows.select("literal").distinct()), "entities")
-    keys = literals.select(F.inline("keys")).distinct()
-    rendered = staged(_rendered(literals, surrogates(keys, secret)), "rendered")
+    keys = staged(literals.select(F.inline("keys")).distinct(), "keys")
+    rendered = staged(_rendered(literals, surrogates(keys, secret, longer=True)), "rendered")
     known = rows.join(rendered, "literal", "left").select("_pii_row", F.struct(
         "place", "kind", F.coalesce("replacement", "literal").alias("replacement")).alias("one"))
     ordered = known.groupBy("_pii_row").agg(F.array_sort(F.collect_list("one")).alias("_pii_all"))

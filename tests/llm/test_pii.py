@@ -78,3 +78,16 @@ def test_phone_numbers_are_one_in_any_spelling_and_distinct_as_written(spark):
     made = digits[7:-2]
     assert len(set(made)) == len(many) and not set(made) & set(many) and all(x.startswith("+41") for x in made)
     assert digits[-2] not in digits[-1]
+
+
+def test_full_formats_get_longer_replacements(spark, monkeypatch):
+    monkeypatch.setattr(pii, "SHAPED", 2)
+    monkeypatch.setattr(pii, "TRIES", 4)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    mails = [f"{a}@{b}.com" for a in letters for b in letters]
+    out = texts_of(spark, mails + ["A@B.com"])
+    assert len(set(out[:-1])) == len(mails) and not set(out) & set(mails) and all(re.fullmatch(r"[a-z]+@[a-z]\.com", x) for x in out[:-1])
+    assert out[-1].lower() == out[1]
+    ssn = spark.createDataFrame([("ssn", str(i)) for i in range(10)], "kind string, plain string")
+    made = [r.surrogate for r in pii.surrogates(ssn, "s", longer=True).collect()]
+    assert len(set(made)) == 10 and all(len(x) > 1 for x in made)
