@@ -136,9 +136,122 @@ select archive, ordinal, case when lost then 'missing' else 'changed' end as fau
 from replica where lost or other <> record
 """
 
+def _field(value: str) -> str:
+    return f"coalesce(strlen(({value})::varchar) || ':' || ({value})::varchar, '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(map(_field, ["doc_id", "source", "lang", "n_chars", text])) + ")"
+
+
+def _tree(name: str, leaves: str) -> str:
+    """All nodes over `leaves` (tree, pos, hash, n): a level is made while the last has several nodes."""
+    return f"""{name} as (
+  select tree, 0 as level, pos, hash, n from {leaves}
+  union all
+  select tree, level + 1, pos // 3, sha256(string_agg(hash, '' order by pos)), (n + 2) // 3 from {name} where n > 1 group by tree, level, pos // 3, n
+)"""
+
+
+#: The crc32 of a decimal number, bit by bit.
+CRC = """crc as (
+  select doc_id, 4294967295::bigint as c, doc_id::varchar as s, 0 as k from (select distinct doc_id from documents where doc_id is not null)
+  union all
+  select doc_id, list_reduce([xor(c, ascii(s[1:1]))::bigint, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, _: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end), s[2:], k + 1
+  from crc where s <> ''
+), hashed as (
+  select doc_id, xor(c, 4294967295) as h from crc where s = ''
+)"""
+
+OP11 = f"""
+with recursive {CRC}, leaf as (
+  select doc_id, coalesce('=' || source, '') as tree, {_leaf("text")} as leaf,
+    case when h % 2 = 0 then {_leaf("replace(text, chr(10), '')")} else {_leaf("text")} end as found
+  from documents left join hashed using (doc_id)
+), placed as (
+  select *, row_number() over (partition by tree order by doc_id nulls first, leaf) - 1 as pos, count(*) over (partition by tree) as n from leaf
+), level0 as (
+  select tree, pos, leaf as hash, n from placed
+), {_tree("node", "level0")}, subroot as (
+  select tree, hash, level as depth from node where n = 1
+), level1 as (
+  select '' as tree, row_number() over (order by tree) - 1 as pos, hash, count(*) over () as n, tree as name from subroot
+), {_tree("above", "level1")}, root as (
+  select hash, level as depth from above where n = 1
+), step as (
+  select p.tree, p.pos, x.level, x.pos % 3 as place, (p.pos // (3 ** x.level)::bigint) % 3 as own, x.hash
+  from placed p join node x on x.tree = p.tree and x.pos // 3 = p.pos // (3 ** (x.level + 1))::bigint and x.n > 1
+  union all
+  select p.tree, p.pos, s.depth + x.level, x.pos % 3, (l.pos // (3 ** x.level)::bigint) % 3, x.hash
+  from placed p join subroot s using (tree) join level1 l on l.name = p.tree join above x on x.pos // 3 = l.pos // (3 ** (x.level + 1))::bigint and x.n > 1
+), sides as (
+  select tree, pos, level, coalesce(string_agg(hash, '' order by place) filter (place < own), '') as before,
+    coalesce(string_agg(hash, '' order by place) filter (place > own), '') as behind from step group by all
+), folded as (
+  select tree, pos, 0 as level, found as hash from placed
+  union all
+  select tree, pos, level + 1, sha256(before || hash || behind) from folded join sides using (tree, pos, level)
+), last as (
+  select tree, pos, max_by(hash, level) as folded_root from folded group by all
+), proof as (
+  select tree, pos, sha256(string_agg(before || behind, '' order by level)) as proof_sha256 from sides group by all
+)
+select doc_id, leaf, subroot.hash as subroot, root.hash as root, coalesce(proof_sha256, sha256('')) as proof_sha256, folded_root, folded_root = root.hash as verified
+from placed join subroot using (tree) join last using (tree, pos) left join proof using (tree, pos), root
+"""
+
+OP12 = """
+with sound as (
+  select row_number() over () as pos, vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), met as (
+  select q.pos, q.vec_id as query_id, c.vec_id, coalesce(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])), 0)::bigint as score
+  from sound q join sound c on q.pos <> c.pos where q.vec_id % 50 = 0
+), ranked as (
+  select *, row_number() over (partition by pos order by score desc, vec_id nulls last)::integer as rank from met
+)
+select query_id, rank, vec_id, score from ranked where rank <= 5
+"""
+
+OP13 = f"""
+with recursive {CRC}, spaced as (
+  select doc_id, h, {SPACED.format("coalesce(text, '')")} as w from documents left join hashed using (doc_id)
+), periodic as (
+  select doc_id, w, len(w) as n, h, (h // 10) % len(w) as a, h // 10 as g from spaced
+), doc as (
+  select row_number() over () as pos, doc_id, n, case when h % 10 = 0 and n > 0 then list_transform(range(n), lambda i: w[1 + case when i < a then i else
+    a + (i - a) % (1 + (n - a) // (3 + g % 8)) end]) else w end as w from periodic
+), word as (
+  select pos, n, unnest(w) as word, unnest(range(n)) as i from doc
+), pair as (
+  select x.pos, y.i - x.i as q, x.i as i from word x join word y on x.pos = y.pos and x.word = y.word and y.i > x.i and 3 * (y.i - x.i) <= x.n
+), island as (
+  select pos, q, i, i - row_number() over (partition by pos, q order by i) as island from pair
+), stretch as (
+  select pos, q as period, min(i) as start, count(*) + q as length from island group by pos, q, island having count(*) + q >= greatest(24, 3 * q)
+), run as (
+  select * from stretch s where not exists (
+    select 1 from stretch t where t.pos = s.pos and t.period < s.period and t.start <= s.start and t.start + t.length >= s.start + s.length)
+), best as (
+  select *, row_number() over (partition by pos order by length / period desc, start, period) as k from run
+), listed as (
+  select pos, count(*) as n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' order by start, period) as lines from run group by pos
+), gone as (
+  select distinct pos, unnest(range(start + period, start + length)) as i from run
+), left_over as (
+  select pos, string_agg(word, ' ' order by i) as words from word anti join gone using (pos, i) group by pos
+)
+select doc_id, coalesce(n_runs, 0)::bigint as n_runs, start::bigint as start, length::bigint as length, period::bigint as period,
+  (1000 * length // period)::bigint as exponent_milli, sha256(coalesce(lines, '')) as runs_sha256, sha256(coalesce(words, '')) as collapsed_sha256
+from doc left join listed using (pos) left join (select * from best where k = 1) using (pos) left join left_over using (pos)
+"""
+
 ORACLE_SQL = {
     "op3_benchmark_decontamination": OP3,
     "op4_quality_rules": OP4,
     "op7_warc_fixity": OP7,
     "op10_minhash_near_dedup": OP10,
+    "op11_merkle_manifest": OP11,
+    "op12_exact_top_k": OP12,
+    "op13_periodic_runs": OP13,
 }

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.llm import classifier, counts, decontaminate, lm, minhash, packing, pii, rules, secret_scan, warc
+from paperloom.llm import classifier, counts, decontaminate, lm, maxscore, merkle, minhash, packing, periods, pii, rules, secret_scan, warc
 from paperloom.llm.oracle import ORACLE_SQL
 from paperloom.llm.staging import staged, table
 from paperloom.plans.staging import scratch_path
@@ -94,6 +94,52 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), n=4, percent=80)
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proofs of all documents, tried on documents half of which lost their line ends."""
+    docs = table(spark, sf_dir, "documents")
+    hit = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0, F.lit(False))
+    fields = ["doc_id", "source", "lang", "n_chars"]
+    tampered = F.when(hit, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    leaves = docs.select("doc_id", "source", merkle.digest_of(*map(F.col, fields), F.col("text")).alias("leaf"),
+                         merkle.digest_of(*map(F.col, fields), tampered).alias("found"))
+    proven = merkle.prove(leaves).withColumn("folded_root", merkle.folded(F.col("found"), F.col("proof")))
+    return proven.select("doc_id", "leaf", "subroot", "root", merkle.siblings_digest(F.col("proof")).alias("proof_sha256"),
+                         "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def op12_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxscore.top_k(table(spark, sf_dir, "embeddings"), k=5, divisor=50, scale=256.0)
+
+
+def _made_periodic(text: Column, hashed: Column) -> Column:
+    """The words of a text, from a place on repeated with a period."""
+    g = F.floor(hashed / 10)
+
+    def of(words: Column) -> Column:
+        n = F.size(words).cast("long")
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        return F.when(n > 0, F.array_join(F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: F.get(
+            words, F.when(i < a, i).otherwise(a + (i - a) % p).cast("int"))), " ")).otherwise("")
+
+    return F.element_at(F.transform(F.array(F.array_remove(F.split(text, rules.GAP), "")), of), 1)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of all documents, one in ten of which is made periodic."""
+    hashed = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    text = F.when((hashed % 10 == 0) & F.col("text").isNotNull(), _made_periodic(F.col("text"), hashed)).otherwise(F.col("text"))
+    found = periods.periodic_runs(table(spark, sf_dir, "documents").select("doc_id", text.alias("text")))
+    none = F.lit(None).cast("struct<start: bigint, length: bigint, period: bigint>")
+    best = F.aggregate("runs", none, lambda b, r: F.when(
+        b.isNull() | (r["length"] * b["period"] > b["length"] * r["period"]), r).otherwise(b))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", *[r[x].cast("string") for x in ("start", "length", "period")]), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op9_secret_scans": op9_secret_scans,
@@ -105,4 +151,7 @@ QUERIES = {
     "op6_quality_classifier": op6_quality_classifier,
     "op7_warc_fixity": op7_warc_fixity,
     "op8_pii_surrogates": op8_pii_surrogates,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_exact_top_k": op12_exact_top_k,
+    "op13_periodic_runs": op13_periodic_runs,
 }
