@@ -10,7 +10,7 @@ and signs). A document is the mean and the spread of its terms' vectors.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import astuple, dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paperloom.llm.staging import staged
+from paperloom.llm.worker import kept
 from paperloom.llm.words import BYTES, SPACED, U, Words, mix, powers, words
 
 #: Labelled rows that the network is fitted on: the bound of the sample, taken by a hash of
@@ -84,7 +85,7 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     Texts lie CONTEXT zero vectors apart, so none is the context of another. A sum around
     one term is at most 2 * CONTEXT * PLACES, which a byte holds.
     """
-    random = np.concatenate([random_vectors(), np.zeros((1, SIZE), np.int8)])
+    random = kept("random vectors", lambda: np.concatenate([random_vectors(), np.zeros((1, SIZE), np.int8)]))
     total = np.zeros((BUCKETS, SIZE), np.int64)
     for batch in batches:
         for w in words(batch.column(0), SPACED, lower=False):
@@ -128,6 +129,14 @@ def word_vectors(texts: DataFrame, text_col: str = "text") -> np.ndarray:
     return out
 
 
+def _counted(w: Words, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, term, count) of the distinct terms of every text, by text."""
+    keys = np.sort(np.repeat(np.arange(len(w.rows)) * BUCKETS, np.diff(w.first)) + terms)
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    keys, count = keys[first], np.diff(np.append(first, len(keys)))
+    return keys // BUCKETS, keys % BUCKETS, count.astype(np.float32)
+
+
 def _pooled(w: Words, vectors: np.ndarray) -> np.ndarray:
     """Mean and standard deviation of the vectors of each text's words and shapes, and the
     logarithm of its length. A text without words is all zero."""
@@ -136,11 +145,15 @@ def _pooled(w: Words, vectors: np.ndarray) -> np.ndarray:
     out = np.zeros((len(n), FEATURES), np.float32)
     out[:, -1] = np.log1p(n)
     if some.any():
-        at, count = w.first[:-1][some], n[some][:, None]
+        count = n[some][:, None]
         for k, terms in enumerate(_terms(w)):
-            rows = vectors[terms]
-            mean = np.add.reduceat(rows, at, axis=0) / count
-            square = np.add.reduceat(rows * rows, at, axis=0) / count
+            text, term, times = _counted(w, terms)
+            at = np.flatnonzero(np.concatenate([[True], text[1:] != text[:-1]]))
+            rows = vectors[term]
+            weighted = rows * times[:, None]
+            mean = np.add.reduceat(weighted, at, axis=0) / count
+            weighted *= rows
+            square = np.add.reduceat(weighted, at, axis=0) / count
             out[some, 2 * k * SIZE:(2 * k + 1) * SIZE] = mean
             out[some, (2 * k + 1) * SIZE:(2 * k + 2) * SIZE] = np.sqrt(np.maximum(square - mean * mean, 0))
     return out
@@ -211,9 +224,11 @@ def train(features: np.ndarray, labels: np.ndarray) -> Network:
     return _calibrated(net, features[held].astype(np.float64), labels[held]) if held.any() else net
 
 
-def _scorer(vectors: Broadcast, net: Broadcast | None):
-    """Map batches of (id, text) to features, or to probabilities if there is a network."""
+def _scorer(vectors: Broadcast, fields: Broadcast | None):
+    """Map batches of (id, text) to features, or to probabilities if there is a network,
+    whose fields are broadcast: a worker need not know its class."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        net = fields and Network(*fields.value)
         for batch in batches:
             for w in words(batch.column(1), SPACED, lower=False):
                 ids = batch.column(0).slice(w.rows.start, len(w.rows)).cast(pa.int64())
@@ -222,7 +237,7 @@ def _scorer(vectors: Broadcast, net: Broadcast | None):
                     flat = pa.ListArray.from_arrays(pa.array(np.arange(0, pooled.size + 1, FEATURES, dtype=np.int32)), pa.array(pooled.ravel()))
                     yield pa.record_batch([ids, flat], ["doc_id", "features"])
                 else:
-                    yield pa.record_batch([ids, pa.array(net.value.probabilities(pooled))], ["doc_id", "score"])
+                    yield pa.record_batch([ids, pa.array(net.probabilities(pooled))], ["doc_id", "score"])
     return run
 
 
@@ -230,14 +245,15 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """Word vectors from all rows of `docs`, and a network from at most SAMPLE labelled ones.
 
     The sample has the least hashes of ids among the labels, so it does not depend on the
-    order of rows. Null labels and ids are no labels; of several for one id the greatest counts.
-    Only texts are inputs.
+    order of rows. Null labels and ids are no labels; of several for one id the greatest counts,
+    and of several texts with one id the one of the least hash. Only texts are inputs.
     """
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(
         F.col(id_col).cast("long").alias("doc_id")).agg(F.max(F.col(label_col)).cast("int").alias("label"))
     sample = staged(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE), "sample")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "doc_id")
-    texts = staged(texts, "labelled")
+    least = F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("least")
+    texts = staged(texts.groupBy("doc_id").agg(least).select("doc_id", "least.text"), "labelled")
     vectors = word_vectors(docs, text_col)
     shared = docs.sparkSession.sparkContext.broadcast(vectors)
     rows = texts.select("doc_id", "text").mapInArrow(_scorer(shared, None), "doc_id long, features array<float>")
@@ -255,4 +271,4 @@ def score(docs: DataFrame, vectors: np.ndarray, net: Network, id_col: str = "doc
     """
     context = docs.sparkSession.sparkContext
     named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return named.mapInArrow(_scorer(context.broadcast(vectors), context.broadcast(net)), "doc_id long, score double")
+    return named.mapInArrow(_scorer(context.broadcast(vectors), context.broadcast(astuple(net))), "doc_id long, score double")

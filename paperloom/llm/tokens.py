@@ -12,10 +12,11 @@ import threading
 from array import array
 from collections.abc import Iterator
 from contextlib import contextmanager
-from functools import cache
 
 import numpy as np
 
+from paperloom.llm.worker import kept
+
 #: White space, then everything else, up to the next white space. The four separators are
 #: white space to Python only.
 PIECE = re.compile(r"[^\S\x1c-\x1f]*[\S\x1c-\x1f]+|[^\S\x1c-\x1f]+")
@@ -100,16 +101,11 @@ class Encoder:
         return np.frombuffer(out, np.uint32)
 
 
-@cache
-def _of_this_worker(path: str) -> Encoder:
-    return Encoder(path)
-
-
 @contextmanager
 def encoder(path: str) -> Iterator[Encoder]:
     """The encoder of this worker process. It remembers pieces from task to task, but gives
     the memory back when no task has used it for IDLE seconds: workers outlive a stage."""
-    found = _of_this_worker(path)
+    found = kept(f"encoder of {path}", lambda: Encoder(path))
     if found.timer is not None:
         found.timer.cancel()
         found.timer.join()
