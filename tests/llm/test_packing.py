@@ -62,6 +62,20 @@ def test_ids_equal_those_of_the_whole_text():
         ours.timer.cancel()
 
 
+def test_both_encoders_agree():
+    plain = Tokenizer.from_file(PATH)
+    rng = random.Random(4)
+    tokens = [t for t in (plain.decode([i]) for i in range(50_256)) if "\ufffd" not in t]
+    letters = [chr(c) for c in range(0x530)]
+    texts = ["".join(rng.choices(tokens, k=40)) for _ in range(3000)] + ["".join(rng.choices(letters, k=60)) for _ in range(1500)]
+    texts += ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=400)) for _ in range(300)] + [" " * n + "x" for n in (10, 4999, 5000, 2_000_000)]
+    with encoder(PATH) as ours:
+        assert ours.fast is not None
+        for text in texts:
+            assert ours(text).tolist() == plain.encode(text, add_special_tokens=False).ids, repr(text[:200])
+    ours.timer.cancel()
+
+
 def test_packing_is_whole_and_gapless(spark, monkeypatch):
     monkeypatch.setattr(packing, "PARTITION", 40)
     rng = random.Random(9)
