@@ -168,6 +168,19 @@ manifest AS (
   FROM documents)"""
 
 
+def manifest_of_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifests of several folders in which the same paths occur."""
+    names = table(spark, sf_dir, "documents").select("doc_id", "source").withColumnRenamed("doc_id", "ord")
+    return manifest(spark, sf_dir).join(names, "ord")
+
+
+SOURCES_SQL = (
+    MANIFEST_SQL
+    + """,
+entries AS (SELECT m.*, d.source FROM manifest m JOIN documents d ON d.doc_id = m.ord)"""
+)
+
+
 def files_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A manifest of `files`, some entries without md5 or size."""
     return files(spark, sf_dir).select(
@@ -270,7 +283,10 @@ def digests(rows: DataFrame) -> DataFrame:
 
 
 def write_json_arrays(rows: DataFrame, out: str) -> None:
-    """Write a manifest as indented JSON arrays, one file per task, in `ord` order."""
+    """Write a manifest as indented JSON arrays in `ord` order: one file per task, or one
+    per source where there are several (the source is the file's name)."""
+    if "source" in rows.columns:
+        return _write_json_array_of_each_source(rows, out)
 
     def write(batches):
         target = None
@@ -291,3 +307,26 @@ def write_json_arrays(rows: DataFrame, out: str) -> None:
 
     ordered = rows.repartitionByRange("ord").sortWithinPartitions("ord")
     ordered.mapInArrow(write, "id string").write.format("noop").mode("overwrite").save()
+
+
+def _write_json_array_of_each_source(rows: DataFrame, out: str) -> None:
+    def write(batches):
+        target, current = None, None
+        for batch in batches:
+            for row in batch.to_pylist():
+                del row["ord"]
+                if (source := row.pop("source")) != current:
+                    if target is not None:
+                        target.write(b"\n]")
+                        target.publish()
+                    target, current = AtomicFile(f"{out}/{source}"), source
+                    lead = "[\n"
+                target.write((lead + textwrap.indent(json.dumps(row, indent=2), "  ")).encode())
+                lead = ",\n"
+            yield batch.select(["id"])
+        if target is not None:
+            target.write(b"\n]")
+            target.publish()
+
+    ordered = rows.repartition("source").sortWithinPartitions("source", "ord")
+    ordered.mapInArrow(write, "id string").write.format("noop").mode("overwrite").save()

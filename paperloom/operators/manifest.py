@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paperloom import constants as C
+from paperloom.plans.staging import stage
 
 
 def manifest_project(listed: DataFrame) -> DataFrame:
@@ -39,43 +43,50 @@ def dedupe_manifest(manifest: DataFrame) -> DataFrame:
 def _path_md5_pairs(manifest: DataFrame) -> DataFrame:
     return (
         manifest.where("path is not null and md5 is not null")
-        .groupBy("path", "md5")
+        .groupBy(*_keys(manifest), "md5")
         .agg(F.min("ord").alias("first_ord"))
     )
 
 
+def _same(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+    """Join rows of one file; a null source is a source like any other."""
+    keys = _keys(left, right)
+    named = right.withColumnsRenamed({k: f"_{k}" for k in keys})
+    same = reduce(and_, [left[k].eqNullSafe(named[f"_{k}"]) for k in keys])
+    return left.join(named, same, how).drop(*[f"_{k}" for k in keys])
+
+
 def conflict_paths(manifest: DataFrame) -> DataFrame:
-    """Paths with several md5s: (path, md5_count, first_ord)."""
+    """Files with several md5s: ([source,] path, md5_count, first_ord)."""
     return (
         _path_md5_pairs(manifest)
-        .groupBy("path")
+        .groupBy(*_keys(manifest))
         .agg(F.count("*").alias("md5_count"), F.min("first_ord").alias("first_ord"))
         .where("md5_count > 1")
     )
 
 
 def conflict_md5s(manifest: DataFrame) -> DataFrame:
-    """Every md5 of the conflicting paths, one row each: (path, md5, first_ord).
+    """Every md5 of the conflicting files, one row each: ([source,] path, md5, first_ord).
 
     One row per md5 instead of a list per path: a single path may have any number.
     """
-    conflicting = conflict_paths(manifest).select("path")
-    return _path_md5_pairs(manifest).join(conflicting, "path", "left_semi")
+    return _same(_path_md5_pairs(manifest), conflict_paths(manifest).drop("md5_count", "first_ord"), "left_semi")
 
 
 def conflict_sample(manifest: DataFrame, n: int = C.CONFLICT_SAMPLE_ROWS) -> DataFrame:
-    """The first `n` conflicting paths in order of appearance, with all their md5s."""
+    """The first `n` conflicting files in order of appearance, with all their md5s."""
+    keys = _keys(manifest)
     first = (
         conflict_paths(manifest)
-        .orderBy("first_ord", "path")
+        .orderBy("first_ord", *keys)
         .limit(n)
-        .select("path", F.col("first_ord").alias("path_ord"))
+        .select(*keys, F.col("first_ord").alias("path_ord"))
     )
     # At most n rows, so the broadcast is bounded and filters before the aggregate.
     return (
-        manifest.where("md5 is not null")
-        .join(F.broadcast(first), "path")
-        .groupBy("path_ord", "path", "md5")
+        _same(manifest.where("md5 is not null"), F.broadcast(first), "inner")
+        .groupBy("path_ord", *keys, "md5")
         .agg(F.min("ord").alias("first_ord"))
     )
 
@@ -83,14 +94,14 @@ def conflict_sample(manifest: DataFrame, n: int = C.CONFLICT_SAMPLE_ROWS) -> Dat
 def dedupe_stats(manifest: DataFrame) -> DataFrame:
     """entries_before, entries_after, duplicates_removed, md5_missing_entries, conflicting_paths.
 
-    Counts per (path, md5), then per path, then overall: every step combines before it
-    shuffles and the manifest is read once.
+    Counts per file and md5, then per file, then overall: every step combines before it
+    shuffles and the manifest is read once. What names a file is as in dedupe_manifest.
     """
-    pair = F.col("md5").isNotNull()
+    pair, keys = F.col("md5").isNotNull(), _keys(manifest)
     return (
-        manifest.groupBy("path", "md5")
+        manifest.groupBy(*keys, "md5")
         .agg(F.count("*").alias("n"))
-        .groupBy("path")
+        .groupBy(*keys)
         .agg(
             F.sum("n").alias("n"),
             F.count_if(pair).alias("pairs"),
@@ -112,10 +123,10 @@ def _total(*names: str) -> Column:
 
 
 def skipped_duplicates(manifest: DataFrame) -> DataFrame:
-    """How many repeats of a (path, md5) a fetch skips; entries without md5 never are."""
+    """How many repeats of a file and md5 a fetch skips; entries without md5 never are."""
     return (
         manifest.where("md5 <> ''")
-        .groupBy("path", "md5")
+        .groupBy(*_keys(manifest), "md5")
         .agg(F.count("*").alias("n"))
         .agg((_total("n") - F.count("*")).alias("skipped_duplicates"))
     )
@@ -164,11 +175,13 @@ def verify_manifest(manifest: DataFrame, actual: DataFrame, check_md5: bool = Tr
 
 
 def failed_sample(verified: DataFrame, n: int = C.FAILED_SAMPLE_ROWS) -> DataFrame:
-    """The first `n` failed paths in manifest order, each with the total of failures."""
-    failed = verified.where("status <> 'ok'")
+    """The first `n` failed files in manifest order, each with the total of failures. They
+    are staged: verifying may mean reading every byte."""
+    keys = _keys(verified)
+    failed = stage(verified.where("status <> 'ok'").select("ord", *keys, "status"))
     total = failed.agg(F.count("*")).scalar()
     return (
-        failed.orderBy("ord").limit(n).select("ord", "path", "status", total.alias("failed_total"))
+        failed.orderBy("ord", *keys).limit(n).select("ord", *keys, "status", total.alias("failed_total"))
     )
 
 

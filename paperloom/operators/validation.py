@@ -2,21 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from functools import reduce
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from paperloom import constants as C
 from paperloom.functions.content import signature_matches
 from paperloom.functions.paths import matches_any
+from paperloom.functions.structure import CHECKS, is_sound
 from paperloom.operators.sampling import bounded_sample, sample_stats, top_values
 from paperloom.plans.staging import stage
 from paperloom.schema import ARCHIVE_UNCHUNKED, LARGE_FILES
-
-CHECKS = ["subset", "check", "severity", "detail", "n"]
-
+from paperloom.sources.footers import schemas_on_disk
 
 def schema_diff(rows: DataFrame, expected: StructType, subset: str = "source") -> DataFrame:
     """Per subset, how its columns differ from `expected`.
@@ -39,6 +40,32 @@ def schema_diff(rows: DataFrame, expected: StructType, subset: str = "source") -
     )
 
 
+def schema_diff_on_disk(footers: DataFrame, expected: StructType, large: StructType = LARGE_FILES) -> DataFrame:
+    """Per subset, how the columns of its shards differ from `expected` on disk.
+
+    (subset, column, kind, files, severity), from the footers of the shards
+    (`sources.footers`): how many of them lack a column (an error), have one more, or have
+    another type (warnings). The side table is compared with `large`. `source` may be
+    missing: the folder says it.
+    """
+    def columns(schema: StructType) -> Column:
+        return F.array(*[F.struct(F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("wanted")) for f in schema])
+
+    found = schemas_on_disk(footers)
+    side = F.col("subset") == C.LARGE_SUBSET
+    totals = footers.groupBy(F.col("source").alias("subset")).agg(F.count("*").alias("total"))
+    wanted = totals.select("subset", "total", F.inline(F.when(side, columns(large)).otherwise(columns(expected))))
+    have = found.groupBy("subset", "column").agg(F.sum("files").alias("files"))
+    lacking = wanted.where((F.col("column") != "source") | side).join(have, ["subset", "column"], "left").select(
+        "subset", "column", F.lit("missing").alias("kind"), (F.col("total") - F.coalesce("files", F.lit(0))).alias("files"))
+    both = found.join(wanted, ["subset", "column"])
+    mistyped = both.where("type <> wanted").groupBy("subset", "column").agg(F.sum("files").alias("files")).select(
+        "subset", "column", F.lit("type").alias("kind"), "files")
+    extra = have.join(wanted, ["subset", "column"], "left_anti").select("subset", "column", F.lit("extra").alias("kind"), "files")
+    severity = F.when(F.col("kind") == "missing", "error").otherwise("warning")
+    return lacking.where("files > 0").unionAll(mistyped).unionAll(extra).withColumn("severity", severity)
+
+
 def missing_subsets(expected: DataFrame, rows: DataFrame, large: DataFrame | None = None) -> DataFrame:
     """Names in `expected(source)` with no row in the archive. The side table, if given,
     is a subset of its own."""
@@ -93,6 +120,31 @@ def content_probe(rows: DataFrame) -> DataFrame:
     )
 
 
+def structure_probe(rows: DataFrame) -> DataFrame:
+    """Per source and extension: whole PDF and image files with content, how many of them
+    are damaged by the structure of their container, and the first such path.
+
+    Reads all their content, in the tasks that read the rows; chunks of larger files are
+    left to `chunk_completeness` and `file_digests`.
+    """
+    whole = rows.where("content_available").where(F.col("extension").isin(list(CHECKS)))
+    if "total_chunks" in rows.columns:
+        whole = whole.where("total_chunks = 1 or total_chunks is null")
+    found = whole.select("source", "extension", "path", "content").mapInArrow(
+        _structures, "source string, extension string, path string, sound boolean")
+    return found.groupBy("source", "extension").agg(
+        F.count("*").alias("tested"), F.count_if(~F.col("sound")).alias("damaged"),
+        F.min(F.when(~F.col("sound"), F.col("path"))).alias("example"))
+
+
+def _structures(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        kinds = batch.column("extension").to_pylist()
+        sound = [is_sound(k, c.as_buffer()) if c.is_valid else False for k, c in zip(kinds, batch.column("content"))]
+        keys = [batch.column(c) for c in ("source", "extension", "path")]
+        yield pa.RecordBatch.from_arrays([*keys, pa.array(sound, pa.bool_())], ["source", "extension", "path", "sound"])
+
+
 def chunk_completeness(rows: DataFrame) -> DataFrame:
     """Per file: are its chunk indexes exactly 0..n-1, and do the bytes add up?
 
@@ -147,12 +199,17 @@ def validate_archive(
     max_bytes: int = C.SAMPLE_MAX_BYTES,
     expected_schema: StructType = ARCHIVE_UNCHUNKED,
     probe_content: bool = True,
+    footers: DataFrame | None = None,
+    probe_structure: bool = False,
 ) -> DataFrame:
     """All checks as one long table (subset, check, severity, detail, n).
 
     Errors and warnings appear only where something was found; `info` rows describe the
     sample. `validation_verdict` turns the table into a result. The sample and its
-    counts are staged, as several checks read them; only the content probe reads content.
+    counts are staged, as several checks read them; only the probes read content: the
+    leading bytes of PDF and image files, or with `probe_structure` all of them. With
+    `footers` (`sources.footers.shard_footers`) the schema is that of every shard on disk;
+    without them it is that of `rows`.
     """
     meta = rows.drop("content")
     sample = stage(bounded_sample(meta, sample_rows, max_bytes))
@@ -160,9 +217,12 @@ def validate_archive(
     one = F.lit(1)
     none = F.lit(None)
 
-    schema = schema_diff(rows, expected_schema).unionAll(
-        schema_diff(large_sample, LARGE_FILES)
-    ).withColumn("n", one)
+    if footers is None:
+        schema = schema_diff(rows, expected_schema).unionAll(
+            schema_diff(large_sample, LARGE_FILES)
+        ).withColumn("n", one)
+    else:
+        schema = schema_diff_on_disk(footers, expected_schema).withColumnRenamed("files", "n")
     stats = stage(sample_stats(meta, sample_rows, max_bytes, sample))
     rules = large_file_rules(large_sample)
     empty = meta.agg(F.count("*").alias("rows")).where("rows = 0").select(none.alias("source"), one.alias("n"))
@@ -182,6 +242,9 @@ def validate_archive(
     if probe_content:
         bad = content_probe(rows).where("unusable > 0")
         checks.append(_check(bad, "content", "warning", F.col("extension"), "unusable"))
+    if probe_structure:
+        bad = structure_probe(rows).where("damaged > 0")
+        checks.append(_check(bad, "structure", "warning", F.concat_ws(" ", "extension", "example"), "damaged"))
     return reduce(DataFrame.unionAll, checks)
 
 

@@ -70,6 +70,62 @@ def skipped_duplicates(spark, sf):
     return O.skipped_duplicates(B.manifest(spark, sf))
 
 
+BY_SOURCE_SQL = (
+    B.SOURCES_SQL
+    + """,
+firsts AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY source, path, md5 ORDER BY ord) AS rn FROM entries)
+  WHERE md5 IS NULL OR rn = 1),
+conflicts AS (
+  SELECT source, path, CAST(count(DISTINCT md5) AS BIGINT) AS md5_count, min(ord) AS first_ord
+  FROM entries WHERE md5 IS NOT NULL AND path IS NOT NULL
+  GROUP BY source, path HAVING count(DISTINCT md5) > 1)"""
+)
+
+
+@query("dedupe_manifest_by_source", f"WITH {BY_SOURCE_SQL} SELECT ord, id, path, md5, size, source FROM firsts")
+def dedupe_manifest_by_source(spark, sf):
+    return O.dedupe_manifest(B.manifest_of_sources(spark, sf))
+
+
+@query("dedupe_stats_by_source", f"WITH {BY_SOURCE_SQL} {STATS_SQL.replace('manifest', 'entries')}")
+def dedupe_stats_by_source(spark, sf):
+    return O.dedupe_stats(B.manifest_of_sources(spark, sf))
+
+
+@query(
+    "conflict_md5s_by_source",
+    f"""WITH {BY_SOURCE_SQL} SELECT e.source, e.path, e.md5, min(e.ord) AS first_ord
+    FROM entries e JOIN conflicts c ON c.source = e.source AND c.path = e.path
+    WHERE e.md5 IS NOT NULL GROUP BY e.source, e.path, e.md5""",
+)
+def conflict_md5s_by_source(spark, sf):
+    return O.conflict_md5s(B.manifest_of_sources(spark, sf))
+
+
+@query(
+    "conflict_sample_by_source",
+    f"""WITH {BY_SOURCE_SQL},
+    sample AS (SELECT source, path, first_ord FROM conflicts ORDER BY first_ord, source, path LIMIT 20)
+    SELECT s.first_ord AS path_ord, e.source, e.path, e.md5, min(e.ord) AS first_ord
+    FROM entries e JOIN sample s ON e.source = s.source AND e.path = s.path
+    WHERE e.md5 IS NOT NULL GROUP BY ALL""",
+)
+def conflict_sample_by_source(spark, sf):
+    return O.conflict_sample(B.manifest_of_sources(spark, sf))
+
+
+@query(
+    "skipped_duplicates_by_source",
+    f"""WITH {B.SOURCES_SQL}
+    SELECT CAST(count(*) - count(DISTINCT source || ' ' || path || ' ' || md5) AS BIGINT) AS skipped_duplicates
+    FROM entries WHERE md5 IS NOT NULL""",
+)
+def skipped_duplicates_by_source(spark, sf):
+    return O.skipped_duplicates(B.manifest_of_sources(spark, sf))
+
+
 STATUS_SQL = (
     B.ON_DISK_SQL
     + """,

@@ -49,7 +49,7 @@ def sample_stats(spark, sf):
 def _top(column: str) -> str:
     return f"""WITH {B.FILES_SQL} SELECT source, {column}, files, rank FROM (
       SELECT source, {column}, CAST(count(*) AS BIGINT) AS files, CAST(row_number() OVER (
-        PARTITION BY source ORDER BY count(*) DESC, {column}) AS INT) AS rank
+        PARTITION BY source ORDER BY count(*) DESC, {column}) AS BIGINT) AS rank
       FROM files GROUP BY source, {column}) WHERE rank <= 5"""
 
 
@@ -74,7 +74,7 @@ def head_rows(spark, sf):
 
 @query(
     "select_positions",
-    f"""WITH {RUNNING_SQL} SELECT source, path, chunk_index, CAST(pos AS INT) AS position
+    f"""WITH {RUNNING_SQL} SELECT source, path, chunk_index, CAST(pos AS BIGINT) AS position
     FROM running WHERE pos IN (0, 10, 20)""",
 )
 def select_positions(spark, sf):

@@ -1,14 +1,16 @@
 """Sources and sinks. Files are first written from the tables to the shared folder."""
 
-from functools import cache
+from functools import cache, reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paperloom import bindings as B
 from paperloom import constants as C
 from paperloom.operators import archive as O
 from paperloom.operators import rewrite
-from paperloom.operators.manifest import conflict_sample, dedupe_stats
+from paperloom.operators.manifest import conflict_sample, dedupe_stats, verify_manifest
+from paperloom.plans.ordering import row_positions
 from paperloom.plans.staging import scratch_path
 from paperloom.registry import query
 from paperloom.registry.manifests import CONFLICT_SAMPLE_SQL, FIRSTS_SQL, STATS_SQL
@@ -16,6 +18,7 @@ from paperloom.registry.projections import ARCHIVE_DIGESTS
 from paperloom.registry.summaries import SHARDS_SQL
 from paperloom.sources import archive, manifest
 from paperloom.sources.content import files_on_disk, load_content
+from paperloom.sources.digests import file_digests
 from paperloom.sources.export import file_export, large_files_publish
 from paperloom.sources.listing import list_files
 from paperloom.sources.shards import archive_write
@@ -151,6 +154,47 @@ def filter_archive(spark, sf):
     return B.digests(archive.read_archive(spark, out))
 
 
+@query(
+    "archive_replace",
+    f"""WITH {B.FILES_SQL} SELECT v AS version, source, CAST(count(*) AS BIGINT) AS files, CAST(sum(file_size) AS BIGINT) AS bytes
+    FROM files, (VALUES (1), (2)) versions(v) WHERE v = 1 OR doc_id % 2 = 0 GROUP BY v, source""",
+)
+def archive_replace(spark, sf):
+    """An archive that a second write replaced, read as it is and as it was."""
+    out = scratch_path(spark, "archive")
+    rows = B.scannable(spark, sf)
+    archive_write(rows, out, B.SHARD)
+    even = B.files(spark, sf).where("doc_id % 2 = 0").select("source", "path")
+    archive_write(rows.join(even, ["source", "path"], "left_semi"), out, B.SHARD, replace=True)
+    return reduce(DataFrame.unionAll, [
+        archive.read_archive(spark, out, version=v).groupBy(F.lit(v).alias("version"), "source").agg(
+            F.count("*").alias("files"), F.sum("file_size").alias("bytes")) for v in (1, 2)])
+
+
+@query("chunked_md5", f"WITH {B.FILES_SQL} SELECT source, path, file_size, md5 FROM files")
+def chunked_md5(spark, sf):
+    """Digests of whole files, from the chunks of an archive on disk."""
+    return file_digests(archive.read_archive(spark, _written(spark, sf)))
+
+
+@query(
+    "verify_archive",
+    f"""WITH {B.FILES_SQL} SELECT source, path, CASE WHEN doc_id % 31 = 0 THEN 'md5_mismatch'
+      WHEN doc_id % 37 = 0 THEN 'size_mismatch' WHEN doc_id % 41 = 0 THEN 'missing' ELSE 'ok' END AS status FROM files""",
+)
+def verify_archive(spark, sf):
+    """A manifest with wrong digests, sizes and paths against an archive on disk."""
+    doc = F.col("doc_id")
+    wanted = B.files(spark, sf).select(
+        doc.alias("ord"), "source",
+        F.when((doc % 41 == 0) & (doc % 31 != 0) & (doc % 37 != 0), F.concat("path", F.lit("?"))).otherwise(F.col("path")).alias("path"),
+        F.when(doc % 31 == 0, "bad").otherwise(F.col("md5")).alias("md5"),
+        (F.col("file_size") + F.when((doc % 37 == 0) & (doc % 31 != 0), 1).otherwise(0)).alias("size"),
+    )
+    found = verify_manifest(wanted, file_digests(archive.read_archive(spark, _written(spark, sf))))
+    return found.select("source", F.rtrim("path", F.lit("?")).alias("path"), "status")
+
+
 @query(
     "large_files_build",
     f"WITH {B.LARGE_SQL} SELECT * FROM large",
@@ -208,11 +252,29 @@ def content_load(spark, sf):
     )
 
 
-@query("manifest_scan", f"WITH {B.MANIFEST_SQL} SELECT id, path, md5, size FROM manifest")
+@query("manifest_scan", f"""WITH {B.MANIFEST_SQL} SELECT row_number() OVER (ORDER BY ord) AS position, id, path, md5, size FROM manifest""")
 def manifest_scan(spark, sf):
+    """Manifests of one source in the order of their entries: the n-th by `ord` is the n-th."""
+    out = scratch_path(spark, "manifest")
+    B.write_json_arrays(B.manifest(spark, sf).withColumn("source", F.lit("one")), out)
+    return _positions(manifest.manifest_scan(spark, f"{out}/one").withColumn("source", F.lit("one"))).drop("source")
+
+
+@query(
+    "manifest_scan_by_source",
+    f"""WITH {B.SOURCES_SQL} SELECT source, row_number() OVER (ORDER BY source, ord) AS position,
+    id, path, md5, size FROM entries""",
+)
+def manifest_scan_by_source(spark, sf):
+    """A folder of manifests: `ord` orders all of them."""
     out = scratch_path(spark, "manifest")
-    B.write_json_arrays(B.manifest(spark, sf), out)
-    return manifest.manifest_scan(spark, out).drop("ord")
+    B.write_json_arrays(B.manifest_of_sources(spark, sf), out)
+    return _positions(manifest.manifest_scan(spark, out))
+
+
+def _positions(entries):
+    placed = row_positions(entries.withColumn("all", F.lit(0)), ["all"], ["ord"], "position")
+    return placed.withColumn("position", F.col("position") + 1).drop("all", "ord")
 
 
 @query("manifest_write", f"WITH {B.MANIFEST_SQL} SELECT ord, id, path, md5, size FROM manifest")

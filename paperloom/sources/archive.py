@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from paperloom import constants as C
 from paperloom.functions.content import chunk_count
 from paperloom.functions.paths import file_extension, file_type, matches_none
 from paperloom.schema import ARCHIVE, LARGE_FILES
+from paperloom.sources.commits import committed, shards, versions
 from paperloom.sources.content import attach_content, spread_by_bytes
 from paperloom.sources.listing import list_files
 
@@ -84,30 +88,53 @@ def archive_scan(
     return read.select(*ARCHIVE.fieldNames(), "read_error")
 
 
-def scan_shards(spark: SparkSession, root: str, partitioned: bool = True) -> DataFrame:
-    """The shard files of an archive, with the file metadata column at hand.
+def scan_shards(
+    spark: SparkSession, root: str, partitioned: bool = True, source: str | None = None, version: int | None = None
+) -> DataFrame:
+    """Rows of the shards of an archive, or of one subset.
+
+    What belongs to an archive is what its log says (`commits`): the newest version, or
+    the given one. Folders without a log, from elsewhere, are read as they are.
 
     `source` is the partition column of `source=name` folders. Archives with plain
     `name` folders (`partitioned=False`) keep it in their rows. The side table of large
     files next to the subsets is left out.
     """
-    reader = spark.read.schema(ARCHIVE)
+    root, reader = root.rstrip("/"), spark.read.schema(ARCHIVE)
+    table = committed(root, version)
+    if table is None:
+        return _scan_folders(reader, root, partitioned, source)
+    if source is not None:
+        table = table.filter(pc.equal(table.column("source"), source))
+    folders: dict[str, list[str]] = {}
+    for path in table.column("path").to_pylist():
+        folders.setdefault(path.split("/", 1)[0] if path.startswith("_commit-") else "", []).append(f"{root}/{path}")
+    if not folders:
+        return spark.createDataFrame([], ARCHIVE)
+    parts = [reader.option("basePath", f"{root}/{folder}").parquet(*paths).select(ARCHIVE.fieldNames()) for folder, paths in folders.items()]
+    return reduce(DataFrame.unionAll, parts)
+
+
+def _scan_folders(reader: DataFrameReader, root: str, partitioned: bool, source: str | None) -> DataFrame:
+    if not partitioned and source is not None:
+        return reader.parquet(f"{root}/{source}")
     if partitioned:
-        return reader.option("basePath", root).parquet(f"{root}/source=*")
-    in_side_table = F.contains("_metadata.file_path", F.lit(f"/{C.LARGE_SUBSET}/"))
-    return reader.parquet(root, recursiveFileLookup=True).where(~in_side_table)
+        rows = reader.option("basePath", root).parquet(f"{root}/source=*")
+    else:
+        in_side_table = F.contains("_metadata.file_path", F.lit(f"/{C.LARGE_SUBSET}/"))
+        rows = reader.parquet(root, recursiveFileLookup=True).where(~in_side_table)
+    rows = rows.select(ARCHIVE.fieldNames())
+    return rows if source is None else rows.where(F.col("source") == source)
 
 
-def read_archive(spark: SparkSession, root: str, partitioned: bool = True) -> DataFrame:
+def read_archive(spark: SparkSession, root: str, partitioned: bool = True, version: int | None = None) -> DataFrame:
     """All subsets of an archive as archive rows."""
-    return scan_shards(spark, root, partitioned).select(ARCHIVE.fieldNames())
+    return scan_shards(spark, root, partitioned, version=version)
 
 
 def subset_scan(spark: SparkSession, root: str, source: str, partitioned: bool = True) -> DataFrame:
-    """One subset; only its folder is read."""
-    if not partitioned:
-        return spark.read.schema(ARCHIVE).parquet(f"{root}/{source}")
-    return read_archive(spark, root).where(F.col("source") == source)
+    """One subset; only its shards are read."""
+    return scan_shards(spark, root, partitioned, source)
 
 
 def large_files_write(large: DataFrame, root: str) -> None:
@@ -122,26 +149,26 @@ def large_files_scan(spark: SparkSession, root: str) -> DataFrame:
 def all_subsets_scan(
     spark: SparkSession, root: str, partitioned: bool = True
 ) -> dict[str, DataFrame]:
-    """Every subset by name, the side table included, each a lazy DataFrame."""
-    names = [r.source for r in discover_subsets(spark, root).select("source").collect()]
+    """Every subset by name, the side table included, each a lazy DataFrame.
+
+    The subsets share one scan of the archive, restricted to their partition.
+    """
+    names = sorted(r.source for r in discover_subsets(spark, root).select("source").collect())
+    rows = read_archive(spark, root, partitioned) if any(n != C.LARGE_SUBSET for n in names) else None
     return {
-        name: large_files_scan(spark, root)
-        if name == C.LARGE_SUBSET
-        else subset_scan(spark, root, name, partitioned)
-        for name in sorted(names)
+        name: large_files_scan(spark, root) if name == C.LARGE_SUBSET else rows.where(F.col("source") == name)
+        for name in names
     }
 
 
 def discover_subsets(spark: SparkSession, root: str) -> DataFrame:
-    """Subset folders holding at least one Parquet file: (source, pattern, shards)."""
-    folder = F.split_part("path", F.lit("/"), F.lit(1))
-    name = F.split_part("path", F.lit("/"), F.lit(2))
-    partition_value = F.url_decode(F.regexp_replace(folder, "^source=", ""))
-    source = F.when(folder.startswith("source="), partition_value).otherwise(folder)
-    return (
-        list_files(spark, {"": root})
-        .where(F.size(F.split("path", "/")) == 2)
-        .where(name.endswith(".parquet") & ~name.startswith("."))
-        .groupBy(source.alias("source"), F.concat("root", F.lit("/"), folder, F.lit("/*.parquet")).alias("pattern"))
-        .agg(F.count("*").alias("shards"))
-    )
+    """Subsets with at least one shard: (source, pattern, shards). The pattern has the
+    shards of the folder that the subset's newest shards lie in."""
+    root = root.rstrip("/")
+    listed = shards(spark, root)
+    if versions(root):  # the side table is no part of the log
+        side = list_files(spark, {"": root}).where(F.startswith("path", F.lit(f"{C.LARGE_SUBSET}/")) & F.endswith("path", F.lit(".parquet")))
+        listed = listed.unionAll(side.select(F.lit(C.LARGE_SUBSET), "path", "file_size"))
+    folder = F.regexp_replace("path", "/[^/]*$", "")
+    return listed.groupBy("source").agg(
+        F.concat(F.lit(f"{root}/"), F.max(folder), F.lit("/*.parquet")).alias("pattern"), F.count("*").alias("shards"))

@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from paperloom.plans.ordering import row_positions
 from paperloom.plans.staging import stage
 from paperloom.schema import MANIFEST, MANIFEST_ENTRY
 from paperloom.sources.listing import list_files
@@ -45,16 +46,18 @@ def _split_entries(uri: str, start: int, end: int) -> Iterator[tuple[int, str]]:
 
 def _splitter(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def batch(rows):
-        ords, texts = zip(*rows) if rows else ((), ())
+        sources, ords, texts = zip(*rows) if rows else ((), (), ())
         return pa.RecordBatch.from_arrays(
-            [pa.array(list(ords), pa.int64()), pa.array(list(texts), pa.string())], ["ord", "text"]
+            [pa.array(list(sources), pa.string()), pa.array(list(ords), pa.int64()), pa.array(list(texts), pa.string())],
+            ["source", "ord", "text"],
         )
 
     for ranges in batches:
         rows = []
-        for uri, start, end in zip(*(ranges.column(c).to_pylist() for c in ("uri", "start", "end"))):
-            for row in _split_entries(uri, start, end):
-                rows.append(row)
+        names = ("source", "uri", "first", "start", "end")
+        for source, uri, first, start, end in zip(*(ranges.column(c).to_pylist() for c in names)):
+            for offset, text in _split_entries(uri, start, end):
+                rows.append((source, first + offset, text))
                 if len(rows) >= 10_000:
                     yield batch(rows)
                     rows = []
@@ -83,16 +86,24 @@ def _as_array(text: str) -> str:
 
 def _wholes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for ranges in batches:
-        for uri in ranges.column("uri").to_pylist():
+        for source, uri, first in zip(*(ranges.column(c).to_pylist() for c in ("source", "uri", "first"))):
             text = _as_array(b"".join(read_from(uri, 0)).decode())
             json.loads(text)  # text that is no JSON fails instead of giving no rows
-            yield pa.RecordBatch.from_arrays([pa.array([0]), pa.array([text])], ["ord", "text"])
+            yield pa.RecordBatch.from_arrays([pa.array([source]), pa.array([first]), pa.array([text])], ["source", "ord", "text"])
+
+
+# Entries of the n-th of several manifests have their `ord` from n times this on.
+_NEXT_MANIFEST = 1 << 40
 
 
 def manifest_scan(
-    spark: SparkSession, path: str, indented: bool | None = None, split_bytes: int = _SPLIT_BYTES
+    spark: SparkSession, path: str | dict[str, str], indented: bool | None = None, split_bytes: int = _SPLIT_BYTES
 ) -> DataFrame:
-    """A JSON array of entries, or a folder of them -> rows (ord, id, path, md5, size).
+    """A JSON array of entries -> rows (ord, id, path, md5, size); a folder of them, or
+    several by `{source: path}` -> the same with `source`.
+
+    The source of a manifest in a folder is its path there. `ord` then counts on from
+    manifest to manifest in the order of their sources, so it is unique and increasing.
 
     Spark's own readers skip names starting with a dot, the usual name of a manifest.
     An array indented by two spaces is read in splits of whole entries, so one large
@@ -101,39 +112,48 @@ def manifest_scan(
     suits small files; large ones belong in JSON Lines (`manifest_lines`). The layout is
     told from the first bytes of each file unless `indented` says it.
     """
-    size = file_size(path)
-    if size is None:
+    several = isinstance(path, dict) or file_size(path) is None
+    if isinstance(path, dict):
+        named = [(source, uri, file_size(uri)) for source, uri in path.items()]
+        files = spark.createDataFrame(named, "source string, uri string, size bigint")
+    elif several:
         files = list_files(spark, {"": path}).select(
-            F.concat_ws("/", "root", "path").alias("uri"), F.col("file_size").alias("size")
+            F.col("path").alias("source"), F.concat_ws("/", "root", "path").alias("uri"), F.col("file_size").alias("size")
         )
     else:
-        files = spark.createDataFrame([(path, size)], "uri string, size bigint")
+        files = spark.createDataFrame([("", path, file_size(path))], "source string, uri string, size bigint")
+    files = files.withColumn("first", F.lit(0).cast("bigint"))
+    if several:
+        numbered = row_positions(files.drop("first").withColumn("all", F.lit(0)), ["all"], ["source"], "number")
+        files = stage(numbered.select("source", "uri", "size", (F.col("number") * _NEXT_MANIFEST).alias("first")))
     if indented is None:
-        schema = "uri string, size bigint, indented boolean"
-        files = stage(files.select("uri", "size").mapInArrow(_layouts, schema))
-        return _split(files.where("indented"), split_bytes).unionByName(_parsed(files.where("not indented")))
-    return _split(files, split_bytes) if indented else _parsed(files)
+        schema = "source string, uri string, size bigint, first bigint, indented boolean"
+        files = stage(files.mapInArrow(_layouts, schema))
+        entries = _split(files.where("indented"), split_bytes).unionByName(_parsed(files.where("not indented")))
+    else:
+        entries = _split(files, split_bytes) if indented else _parsed(files)
+    return entries if several else entries.drop("source")
 
 
 def _parsed(files: DataFrame) -> DataFrame:
     """Entries of small files, each parsed as a whole."""
     entries = F.from_json("text", f"array<{MANIFEST_ENTRY.simpleString()}>")
-    texts = files.select("uri").mapInArrow(_wholes, "ord bigint, text string")
-    exploded = texts.select(F.posexplode(entries).alias("ord", "e"))
-    return exploded.select(F.col("ord").cast("bigint").alias("ord"), "e.*")
+    texts = files.select("source", "uri", "first").mapInArrow(_wholes, "source string, ord bigint, text string")
+    exploded = texts.select("source", F.col("ord").alias("first"), F.posexplode(entries).alias("ord", "e"))
+    return exploded.select("source", (F.col("first") + F.col("ord")).alias("ord"), "e.*")
 
 
 def _split(files: DataFrame, split_bytes: int) -> DataFrame:
     """Entries of indented arrays, in splits."""
     start = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("size"), F.lit(split_bytes).cast("bigint")))
-    ranges = files.select("uri", start.alias("start")).select(
-        "uri", "start", (F.col("start") + split_bytes).alias("end")
+    ranges = files.select("source", "uri", "first", start.alias("start")).select(
+        "source", "uri", "first", "start", (F.col("start") + split_bytes).alias("end")
     )
     return (
         ranges.repartition("uri", "start")
-        .mapInArrow(_splitter, "ord bigint, text string")
-        .select("ord", F.from_json("text", MANIFEST_ENTRY).alias("e"))
-        .select("ord", "e.*")
+        .mapInArrow(_splitter, "source string, ord bigint, text string")
+        .select("source", "ord", F.from_json("text", MANIFEST_ENTRY).alias("e"))
+        .select("source", "ord", "e.*")
     )
 
 

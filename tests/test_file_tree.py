@@ -4,6 +4,7 @@ import hashlib
 import os
 from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -166,19 +167,22 @@ def test_an_empty_folder_is_an_archive_without_shards(spark, tmp_path):
     assert archive.discover_subsets(spark, str(tmp_path / "out")).isEmpty()
 
 
-def test_more_shards_than_can_be_broadcast(spark, tree, tmp_path, monkeypatch):
+@pytest.mark.parametrize("ranges", [1, 2, 65_536])
+def test_shards_do_not_depend_on_the_ranges_of_tasks(spark, tree, tmp_path, monkeypatch, ranges):
     from paperloom.sources import shards
 
     root, _ = tree
-    rows = archive.plan_rows(list_files(spark, {"s": str(root)}), max_bytes=LIMIT, chunk_bytes=CHUNK)
+    rows = archive.plan_rows(list_files(spark, {"s": str(root), "r": str(root)}), max_bytes=LIMIT, chunk_bytes=CHUNK)
+    monkeypatch.setattr(shards, "MAX_RANGES", ranges)
     plan = archive_write(rows, str(tmp_path / "a"), SHARD)
-    known = shards.by_shard(rows, plan).select("path", "chunk_index", "shard", "shard_total")
-    monkeypatch.setattr(shards, "PAGE", 2)
-    paged = shards.by_shard(rows, plan).select("path", "chunk_index", "shard", "shard_total")
-    monkeypatch.setattr(shards, "MAX_KNOWN_SHARDS", 0)
-    joined = shards.by_shard(rows, plan).select("path", "chunk_index", "shard", "shard_total")
-    want = sorted(plan.select("path", "chunk_index", "shard", "shard_total").collect())
-    assert sorted(known.collect()) == sorted(paged.collect()) == sorted(joined.collect()) == want
+    got = archive.scan_shards(spark, str(tmp_path / "a"))
+    found = sorted((r.source, r.path, r.chunk_index) for r in got.collect())
+    assert found == sorted((r.source, r.path, r.chunk_index) for r in plan.collect())
+    for r in plan.groupBy("source", "shard_file").count().collect():
+        file = tmp_path / "a" / f"source={r.source}" / r.shard_file
+        assert pq.read_metadata(file).num_rows == r["count"]
+        keys = list(zip(*(pq.read_table(file, columns=[c]).column(c).to_pylist() for c in ("path", "chunk_index"))))
+        assert keys == sorted(keys)
 
 
 @pytest.mark.parametrize("path", ["../x", "/etc/x", "a/../../x", ""])
