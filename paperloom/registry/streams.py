@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from paperloom import bindings as B
 from paperloom.plans.staging import scratch_path
 from paperloom.registry import query
+from paperloom.registry.manifests import FIRSTS_SQL
 from paperloom.sources.export import file_export
 from paperloom.streaming.ingest import stream_dedupe, stream_files
 
@@ -31,13 +32,14 @@ def stream_ingest(spark, sf):
 
 @query(
     "stream_dedupe",
-    f"""WITH {B.MANIFEST_SQL} SELECT DISTINCT path, md5 FROM manifest WHERE md5 IS NOT NULL
-    UNION ALL SELECT path, md5 FROM manifest WHERE md5 IS NULL""",
+    f"WITH {FIRSTS_SQL} SELECT ord, id, path, md5, size FROM firsts",
 )
 def dedupe(spark, sf):
+    """A manifest that grows at its end, in three batches: what stays is what stays of the whole."""
     listed, out, checkpoint = (scratch_path(spark, n) for n in ("listed", "deduped", "checkpoint"))
     rows = B.manifest(spark, sf)
-    rows.write.parquet(listed)
-    stream = spark.readStream.schema(rows.schema).parquet(listed)
-    _run(stream_dedupe(stream), out, checkpoint)
-    return spark.read.parquet(out).select("path", "md5")
+    third = rows.agg(F.max("ord")).first()[0] // 3 + 1
+    for k in range(3):
+        rows.where(F.col("ord").between(k * third, (k + 1) * third - 1)).write.mode("append").parquet(listed)
+        _run(stream_dedupe(spark.readStream.schema(rows.schema).parquet(listed)), out, checkpoint)
+    return spark.read.parquet(out)

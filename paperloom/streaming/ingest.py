@@ -5,9 +5,11 @@ from __future__ import annotations
 import time
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from paperloom.schema import FILES
 from paperloom.sources.listing import FOUND, to_batch, walker
@@ -63,22 +65,48 @@ def stream_files(spark: SparkSession, source: str, root: str) -> DataFrame:
     return listed.select(FILES.fieldNames()).dropDuplicates(["source", "path"])
 
 
-def _combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Drop repeats of (path, md5) within a batch, before they are shuffled."""
-    for batch in batches:
-        seen, keep = set(), []
-        for pair in zip(batch.column("path").to_pylist(), batch.column("md5").to_pylist()):
-            keep.append(pair not in seen)
-            seen.add(pair)
-        yield batch.filter(pa.array(keep, pa.bool_()))
-
-
-def stream_dedupe(manifest: DataFrame) -> DataFrame:
-    """One row of each (path, md5) over the life of the stream; rows without md5 pass.
-
-    Repeats are first combined within each batch of input, so a pair making up a third
-    of the stream does not flood the task that keeps its state. State grows with the
-    number of distinct pairs.
+def _first_of_each(keys: list[str]):
+    """Keep the row with the least `ord` of each pair in a batch, before they are shuffled."""
+    def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            table = pa.Table.from_batches([batch]).append_column("_at", pa.array(range(len(batch)), pa.int64())).sort_by("ord")
+            first = table.group_by(keys, use_threads=False).aggregate([("_at", "first")])
+            yield batch.take(first.column("_at_first").sort().combine_chunks())
+    return combine
+
+
+def _survivor(fields: list[str], keep_ms: int | None):
+    """The row with the least `ord` of a pair that was not seen yet; state is its `ord`."""
+    def first(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        rows = pd.concat(list(frames))
+        if not state.exists:
+            row = rows.sort_values("ord").iloc[:1]
+            state.update((int(row["ord"].iloc[0]),))
+            yield row[fields]
+        if keep_ms is not None:
+            state.setTimeoutDuration(keep_ms)
+    return first
+
+
+def stream_dedupe(manifest: DataFrame, keep_days: float | None = None) -> DataFrame:
+    """The first row of each (path, md5) in `ord`; rows without md5 pass. Rows of several
+    folders carry `source`, which is then part of the key, as in `dedupe_manifest`.
+
+    A manifest grows at its end: what comes in a later batch has a greater `ord`, so the
+    rows kept are those that `dedupe_manifest` keeps of the whole. Repeats are combined
+    within each batch of input, so a pair making up a third of the stream does not flood
+    the task that keeps its state. State is one number per pair. It grows with the pairs,
+    or with `keep_days` holds those that came up within that time: a pair that stays away
+    for longer counts as new.
     """
-    keyed = manifest.where("md5 is not null").mapInArrow(_combine, manifest.schema)
-    return keyed.dropDuplicates(["path", "md5"]).unionAll(manifest.where("md5 is null"))
+    keys = [*(["source"] if "source" in manifest.columns else []), "path", "md5"]
+    fields = manifest.columns
+    keyed = manifest.where("md5 is not null").mapInArrow(_first_of_each(keys), manifest.schema)
+    keep_ms = None if keep_days is None else max(1, int(keep_days * 86_400_000))
+    timeout = GroupStateTimeout.NoTimeout if keep_ms is None else GroupStateTimeout.ProcessingTimeTimeout
+    kept = keyed.groupBy(*keys).applyInPandasWithState(
+        _survivor(fields, keep_ms), manifest.schema, "ord bigint", "append", timeout)
+    return kept.unionAll(manifest.where("md5 is null"))

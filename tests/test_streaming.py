@@ -1,9 +1,11 @@
 """Streaming ingest and deduplication over growing inputs."""
 
 import random
+import time
 
 from pyspark.sql import functions as F
 
+from paperloom.operators.manifest import dedupe_manifest
 from paperloom.schema import MANIFEST
 from paperloom.sources.archive import attach_content, plan_rows
 from paperloom.streaming.batches import batch_process
@@ -58,11 +60,37 @@ def test_stream_dedupe(spark, tmp_path):
         stream = spark.readStream.schema(MANIFEST).parquet(str(source))
         run(stream_dedupe(stream), tmp_path / "out", tmp_path / "ck")
         got = spark.read.parquet(str(tmp_path / "out")).collect()
+    kept = dedupe_manifest(spark.createDataFrame(rows, MANIFEST))
+    assert sorted(r.ord for r in got) == sorted(r.ord for r in kept.collect())
     pairs = [(r.path, r.md5) for r in got if r.md5 is not None]
     assert len(pairs) == len(set(pairs)) and set(pairs) == {(r[2], r[3]) for r in rows if r[3] is not None}
     assert sorted(r.ord for r in got if r.md5 is None) == [r[0] for r in rows if r[3] is None]
 
 
+def test_state_of_pairs_that_stay_away_goes(spark, tmp_path):
+    """Each batch brings new pairs only; state holds those of the last batches."""
+    source, held = tmp_path / "in", []
+    for k in range(3):
+        rows = [(k * 100 + i, "i", f"p{k}", f"m{i}", 1) for i in range(50)]
+        spark.createDataFrame(rows, MANIFEST).write.mode("append").parquet(str(source))
+        stream = stream_dedupe(spark.readStream.schema(MANIFEST).parquet(str(source)), keep_days=1 / 86_400)
+        writer = stream.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "ck"))
+        query = writer.trigger(availableNow=True).start(str(tmp_path / "out"))
+        query.awaitTermination()
+        held.append(query.lastProgress.stateOperators[0].numRowsTotal)
+        time.sleep(2)
+    assert held == [50, 50, 50]
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 150
+
+
+def test_sources_are_part_of_the_pair(spark, tmp_path):
+    rows = [(i, "i", "p", "m", 1, s) for i, s in enumerate("abcab")]
+    schema = "ord bigint, id string, path string, md5 string, size bigint, source string"
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "in"))
+    run(stream_dedupe(spark.readStream.schema(schema).parquet(str(tmp_path / "in"))), tmp_path / "out", tmp_path / "ck")
+    assert sorted(r.ord for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [0, 1, 2]
+
+
 def test_batches_have_the_asked_size(spark):
     df = spark.range(0, 1050, 1, 4)
 

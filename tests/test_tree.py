@@ -5,6 +5,7 @@ import random
 import pytest
 
 from paperloom import constants as C
+from paperloom.plans.staging import stage
 from paperloom.plans.tree import tree_paths
 from paperloom.schema import LISTING
 
@@ -54,3 +55,23 @@ def test_tree_paths(spark, start, recursive):
     got = tree_paths(df, start, recursive).collect()
     assert {r.id: r.path for r in got} == walk(rows, start, recursive)
     assert len({r.id for r in got}) == len(got)
+
+
+def test_a_long_chain_takes_few_rounds(spark, monkeypatch):
+    from paperloom.plans import tree
+
+    rounds = []
+    monkeypatch.setattr(tree, "stage", lambda df: (rounds.append(1), stage(df))[1])
+    rows = [(f"F{i}", f"F{i - 1}" if i else None, f"d{i}", C.FOLDER_MIME, None, None, False) for i in range(1000)]
+    rows.append(("x", "F999", "file", "text/plain", None, None, False))
+    got = tree_paths(spark.createDataFrame(rows, LISTING)).collect()
+    assert [(r.id, r.path) for r in got] == [("x", "/".join(f"d{i}" for i in range(1000)) + "/file")]
+    assert len(rounds) <= 14  # two to begin with, and the rounds
+
+
+def test_folders_that_contain_each_other_are_named(spark):
+    rows = spark.createDataFrame(make(), LISTING)
+    with pytest.raises(ValueError, match="X lies below itself"):
+        tree_paths(rows, on_cycle="fail")
+    with pytest.raises(ValueError, match="on_cycle"):
+        tree_paths(rows, on_cycle="x")
