@@ -111,8 +111,14 @@ def scan_shards(
         folders.setdefault(path.split("/", 1)[0] if path.startswith("_commit-") else "", []).append(f"{root}/{path}")
     if not folders:
         return spark.createDataFrame([], ARCHIVE)
-    parts = [reader.option("basePath", f"{root}/{folder}").parquet(*paths).select(ARCHIVE.fieldNames()) for folder, paths in folders.items()]
-    return reduce(DataFrame.unionAll, parts)
+    if not partitioned:  # no name of a folder is a partition
+        return reader.option("recursiveFileLookup", True).parquet(*[p for paths in folders.values() for p in paths]).select(ARCHIVE.fieldNames())
+    parts = [
+        spark.read.schema(ARCHIVE).option("basePath", f"{root}/{folder}").parquet(*paths).select(ARCHIVE.fieldNames())
+        for folder, paths in folders.items()
+    ]
+    rows = reduce(DataFrame.unionAll, parts)
+    return rows if source is None else rows.where(F.col("source") == source)
 
 
 def _scan_folders(reader: DataFrameReader, root: str, partitioned: bool, source: str | None) -> DataFrame:

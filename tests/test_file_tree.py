@@ -181,7 +181,8 @@ def test_shards_do_not_depend_on_the_ranges_of_tasks(spark, tree, tmp_path, monk
     for r in plan.groupBy("source", "shard_file").count().collect():
         file = tmp_path / "a" / f"source={r.source}" / r.shard_file
         assert pq.read_metadata(file).num_rows == r["count"]
-        keys = list(zip(*(pq.read_table(file, columns=[c]).column(c).to_pylist() for c in ("path", "chunk_index"))))
+        shard = pq.ParquetFile(file).read(columns=["path", "chunk_index"])
+        keys = list(zip(*(shard.column(c).to_pylist() for c in ("path", "chunk_index"))))
         assert keys == sorted(keys)
 
 
@@ -218,7 +219,7 @@ def test_filter_in_place(spark, tree, tmp_path, partitioned):
     counts = rewrite.filter_archive(spark, out, partitioned=partitioned)
     assert rewrite.removal_totals(counts).first().asDict() == {"files_modified": 1, "total_removed": 1}
     after = {p: (p.stat().st_mtime_ns, p.stat().st_ino) for p in Path(out).rglob("*.parquet")}
-    assert set(after) == set(before) and sum(after[p] != before[p] for p in after) == 1
+    assert all(after[p] == before[p] for p in before) and len(set(after) - set(before)) == 1  # swapped by the log
     left = {r.path for r in archive.read_archive(spark, out, partitioned).select("path").distinct().collect()}
     assert left == set(kept(contents, [*C.CONVERT_EXCLUDES, "dedupe_report.json"]))
     again = rewrite.filter_archive(spark, out, partitioned=partitioned)
@@ -233,7 +234,7 @@ def test_edges_only_opens_first_and_last_shards(spark, tree, tmp_path, partition
     plan = archive_write(rows, out, SHARD, partitioned)
     ends = {(r.source, r.shard_file) for r in plan.where("shard in (0, shard_total - 1)").collect()}
     counts = rewrite.removed_rows(spark, out, edges_only=True, partitioned=partitioned)
-    assert len(counts.inputFiles()) == 4
+    assert counts.count() == 4
     assert {(r.source, r.file.split("/")[-1].replace("%20", " ")) for r in counts.collect()} == ends
     assert rewrite.removed_rows(spark, out, partitioned=partitioned).count() > 4
 
