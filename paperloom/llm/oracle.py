@@ -35,6 +35,38 @@ select doc.doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hi
 from doc left join places using (doc_id) left join items using (doc_id)
 """
 
+
+def _fence_sql(p: str, measure: str) -> str:
+    """Fences of (doc_id, lang, source, m, value) by sketches of buckets, and who is within them."""
+    return f"""{p}_sketch as (
+  select coalesce(lang, '-') as lang, coalesce(source, '-') as source, m, {BUCKET} as bucket, count(*) as n from {measure} group by all
+), {p}_level as (
+  select 0 as level, lang, source, m, bucket, sum(n) as n from {p}_sketch group by all
+  union all select 1, lang, '', m, bucket, sum(n) from {p}_sketch group by lang, m, bucket
+  union all select 2, '', '', m, bucket, sum(n) from {p}_sketch group by m, bucket
+), {p}_cumulated as (
+  select *, sum(n) over (partition by level, lang, source, m order by bucket) as seen, sum(n) over (partition by level, lang, source, m) as total from {p}_level
+), {p}_quantile as (
+  select level, lang, source, m, max(total) as total, min(bucket) filter (100 * seen >= 25 * total) as b1,
+    min(bucket) filter (100 * seen >= 75 * total) as b3, min(bucket) filter (100 * seen >= 99 * total) as b9
+  from {p}_cumulated group by level, lang, source, m
+), {p}_width as (
+  select *, {START.format("b1")} as q1, {START.format("b3")} as q3, {START.format("b9")} as q9, {START.format("(b3 + 1)")} as after from {p}_quantile
+), {p}_fence as (
+  select level, lang, source, m, total, case when m = 'word_length' then q1 - 3 * greatest(q3 - q1, after - q3) else 0 end as low,
+    case when m = 'word_length' then q3 + 3 * greatest(q3 - q1, after - q3) else 4 * q9 + 1 end as high from {p}_width
+), {p}_verdict as (
+  select doc_id, bool_and(coalesce(value between
+    case when f0.total >= 200 then f0.low when f1.total >= 200 then f1.low else f2.low end and
+    case when f0.total >= 200 then f0.high when f1.total >= 200 then f1.high else f2.high end, false)) as inside
+  from {measure} v
+  left join {p}_fence f0 on f0.level = 0 and f0.lang = coalesce(v.lang, '-') and f0.source = coalesce(v.source, '-') and f0.m = v.m
+  left join {p}_fence f1 on f1.level = 1 and f1.lang = coalesce(v.lang, '-') and f1.m = v.m
+  left join {p}_fence f2 on f2.level = 2 and f2.m = v.m
+  group by doc_id
+)"""
+
+
 OP4 = f"""
 with doc as (
   select doc_id, lang, source, coalesce(text, '') as text, {SPACED.format("coalesce(text, '')")} as w,
@@ -51,41 +83,19 @@ with doc as (
     len(l) as n_lines, coalesce(rep.n, 0)::bigint as n_repeat_words
   from doc left join rep using (doc_id)
 ), judged as (
-  select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed, [
-    {{'m': 'word_length', 'value': case when n_words > 0 then 100 * word_chars // n_words else 0 end, 'least': 200}},
-    {{'m': 'symbols', 'value': case when word_chars > 0 then 1000 * n_symbols // word_chars else 0 end, 'least': 20}},
-    {{'m': 'dup_lines', 'value': case when n_lines > 0 then 1000 * n_dup_lines // n_lines else 0 end, 'least': 500}},
-    {{'m': 'repeats', 'value': case when n_words > 0 then 1000 * n_repeat_words // n_words else 0 end, 'least': 350}}] as ms
-  from base
-), measure as (
-  select doc_id, lang, source, base_failed, x.m as m, x.value as value, x.least as least from (select doc_id, lang, source, base_failed, unnest(ms) as x from judged)
-), sketch as (
-  select coalesce(lang, '-') as lang, coalesce(source, '-') as source, m, least, {BUCKET} as bucket, count(*) as n from measure where not base_failed group by all
-), level as (
-  select 0 as level, lang, source, m, least, bucket, sum(n) as n from sketch group by all
-  union all select 1, lang, '', m, least, bucket, sum(n) from sketch group by lang, m, least, bucket
-  union all select 2, '', '', m, least, bucket, sum(n) from sketch group by m, least, bucket
-), cumulated as (
-  select *, sum(n) over (partition by level, lang, source, m order by bucket) as seen, sum(n) over (partition by level, lang, source, m) as total from level
-), quartile as (
-  select level, lang, source, m, least, max(total) as total, min(bucket) filter (4 * seen >= total) as b1, min(bucket) filter (4 * seen >= 3 * total) as b3
-  from cumulated group by level, lang, source, m, least
-), width as (
-  select *, {START.format("b1")} as q1, {START.format("b3")} as q3 from quartile
-), fence as (
-  select level, lang, source, m, total, q1 - greatest(6 * (q3 - q1), least) as low, q3 + greatest(6 * (q3 - q1), least) as high from width
-), verdict as (
-  select doc_id, bool_and(coalesce(value between
-    case when f0.total >= 200 then f0.low when f1.total >= 200 then f1.low else f2.low end and
-    case when f0.total >= 200 then f0.high when f1.total >= 200 then f1.high else f2.high end, false)) as inside
-  from measure v
-  left join fence f0 on f0.level = 0 and f0.lang = coalesce(v.lang, '-') and f0.source = coalesce(v.source, '-') and f0.m = v.m
-  left join fence f1 on f1.level = 1 and f1.lang = coalesce(v.lang, '-') and f1.m = v.m
-  left join fence f2 on f2.level = 2 and f2.m = v.m
-  where not base_failed group by doc_id
-)
-select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and coalesce(inside, false) as kept
-from judged left join verdict using (doc_id)
+  select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from base
+), length_measure as (
+  select doc_id, lang, source, 'word_length' as m, case when n_words > 0 then 100 * word_chars // n_words else 0 end as value from judged where not base_failed
+), {_fence_sql("length", "length_measure")}, inside as (
+  select doc_id from length_verdict where inside
+), upper_measure as (
+  select doc_id, lang, source, x.m as m, x.value as value from (select doc_id, lang, source, unnest([
+    {{'m': 'symbols', 'value': case when word_chars > 0 then 1000 * n_symbols // word_chars else 0 end}},
+    {{'m': 'dup_lines', 'value': case when n_lines > 0 then 1000 * n_dup_lines // n_lines else 0 end}},
+    {{'m': 'repeats', 'value': case when n_words > 0 then 1000 * n_repeat_words // n_words else 0 end}}]) as x from judged join inside using (doc_id))
+), {_fence_sql("upper", "upper_measure")}
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, coalesce(upper_verdict.inside, false) as kept
+from judged left join upper_verdict using (doc_id)
 """
 
 OP10 = f"""

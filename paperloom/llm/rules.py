@@ -4,7 +4,9 @@ Everything runs as DataFrame expressions. A document's measures come from array
 inside its row, so no word is shuffled. Their distribution is kept as a mergeable sketch
 per language and source: counts of log-linear buckets (32 per power of two, so a quantile
 is off by 3 % at most). Sketches of sources add up to one of the language and to one of
-everything; a source of few documents takes its fences from there.
+everything; a source of few documents takes its fences from there. Fences of word lengths
+come first; those of the other measures are learned from the documents within them, so
+that what is odd in one respect does not set the scale of the others.
 """
 
 from __future__ import annotations
@@ -21,11 +23,16 @@ NO_SYMBOLS = r"[^#*$%&|<>]+"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
-#: Measure: least distance of a fence from its quartile. Word lengths are hundredths of a
-#: character, the others thousandths.
-MEASURES = {"word_length": 200, "symbols": 20, "dup_lines": 500, "repeats": 350}
-#: A fence lies this many interquartile ranges outside the quartiles.
-SPREAD = 6
+#: Measures that fences are set for. Word lengths are hundredths of a character, the others
+#: thousandths. Of the first, both ends are odd; of the others, the upper one.
+SPREAD_MEASURE = "word_length"
+UPPER_MEASURES = ["symbols", "dup_lines", "repeats"]
+MEASURES = [SPREAD_MEASURE, *UPPER_MEASURES]
+#: The fences of the first lie so many interquartile ranges, one bucket at least, outside the quartiles.
+SPREAD = 3
+#: The fence of the others is so many times this percentile, and one bucket on top.
+FACTOR = 4
+PERCENTILE = 99
 #: A sketch of fewer documents is merged with those of its whole language.
 LEAST_DOCUMENTS = 200
 
@@ -133,12 +140,12 @@ def _bucket_start(bucket: str) -> Column:
                   f"else shiftleft(32L + ({bucket} & 31), cast({bucket} div 32 as int) - 5) end")
 
 
-def sketch(measured: DataFrame, groups: list[str], into: str = "rules") -> DataFrame:
+def sketch(measured: DataFrame, groups: list[str], into: str = "rules", measures: list[str] = MEASURES) -> DataFrame:
     """Quantile sketch of every measure per group: (groups, measure, bucket, n).
 
     Only documents that pass the base rules take part. Sketches are merged by adding n.
     """
-    each = F.array(*[F.struct(F.lit(m).alias("measure"), F.col(f"{into}.{m}").alias("value")) for m in MEASURES])
+    each = F.array(*[F.struct(F.lit(m).alias("measure"), F.col(f"{into}.{m}").alias("value")) for m in measures])
     rows = measured.where(~F.col(f"{into}.base_failed")).select(*groups, F.inline(each))
     return rows.groupBy(*groups, "measure", _bucket("value").alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
 
@@ -151,20 +158,21 @@ def _fences(sketches: DataFrame, groups: list[str]) -> DataFrame:
     merged = sketches.groupBy(*groups, "measure").agg(
         F.sum("n").alias("total"), F.sort_array(F.collect_list(F.struct("bucket", "n"))).alias("buckets"))
 
-    def quartile(k: int) -> Column:
+    def percentile(k: int) -> Column:
         def step(state: Column, b: Column) -> Column:
             seen = state["seen"] + b["n"]
-            hit = (state["at"] < 0) & (4 * seen >= k * F.col("total"))
+            hit = (state["at"] < 0) & (100 * seen >= k * F.col("total"))
             return F.struct(seen.alias("seen"), F.when(hit, b["bucket"]).otherwise(state["at"]).alias("at"))
         start = F.struct(F.lit(0).cast("long").alias("seen"), F.lit(-1).cast("long").alias("at"))
         return F.aggregate("buckets", start, step, lambda s: s["at"])
 
-    least = F.element_at(F.create_map(*[F.lit(x) for m in MEASURES.items() for x in m]), F.col("measure"))
-    q1, q3 = _bucket_start("b1").alias("q1"), _bucket_start("b3").alias("q3")
-    found = merged.select(*groups, "measure", "total", quartile(1).alias("b1"), quartile(3).alias("b3"))
-    found = found.select(*groups, "measure", "total", q1, q3)
-    width = F.greatest(F.lit(SPREAD) * (F.col("q3") - F.col("q1")), least)
-    fence = F.struct("measure", F.struct((F.col("q1") - width).alias("low"), (F.col("q3") + width).alias("high")))
+    found = merged.select(*groups, "measure", "total", *[percentile(k).alias(f"b{k}") for k in (25, 75, PERCENTILE)])
+    found = found.select(*groups, "measure", "total", (_bucket_start("(b75 + 1)") - _bucket_start("b75")).alias("bucket"),
+                         *[_bucket_start(f"b{k}").alias(f"q{k}") for k in (25, 75, PERCENTILE)])
+    width = SPREAD * F.greatest(F.col("q75") - F.col("q25"), F.col("bucket"))
+    both = F.struct((F.col("q25") - width).alias("low"), (F.col("q75") + width).alias("high"))
+    upper = F.struct(F.lit(0).cast("long").alias("low"), (FACTOR * F.col(f"q{PERCENTILE}") + 1).alias("high"))
+    fence = F.struct("measure", F.when(F.col("measure") == SPREAD_MEASURE, both).otherwise(upper))
     return found.groupBy(*groups).agg(
         F.max("total").alias("documents"), F.map_from_entries(F.collect_list(fence)).alias("fences"))
 
@@ -177,22 +185,52 @@ def _literal(row: Row | None) -> Column:
         F.lit(m), F.struct(F.lit(low).cast("long").alias("low"), F.lit(high).cast("long").alias("high")))])
 
 
+def _within(fences: str, into: str, measures: list[str]) -> Column:
+    """Whether all measures lie within the fences of a map; not if it has none for them."""
+    inside = F.lit(True)
+    for m in measures:
+        fence = F.element_at(fences, m)
+        inside = inside & F.coalesce(F.col(f"{into}.{m}").between(fence["low"], fence["high"]), F.lit(False))
+    return inside
+
+
+def _with(df: DataFrame, chosen: DataFrame) -> DataFrame:
+    """Rows with the fences chosen for their group."""
+    return df.join(chosen, F.col("_lang").eqNullSafe(F.col("_t_lang")) & F.col("_source").eqNullSafe(F.col("_t_source")), "left")
+
+
+def _chosen(groups: DataFrame, sketches: DataFrame) -> DataFrame:
+    """The fences of every group (_lang, _source): from its own sketch if that has
+    LEAST_DOCUMENTS, else from that of its language, else from all."""
+    own = _fences(sketches, ["_lang", "_source"]).select(
+        F.col("_lang").alias("_o"), F.col("_source").alias("_s"), F.col("documents").alias("_do"), F.col("fences").alias("_fo"))
+    lang = _fences(sketches, ["_lang"]).select(
+        F.col("_lang").alias("_l"), F.col("documents").alias("_dl"), F.col("fences").alias("_fl"))
+    every = _fences(sketches.withColumn("_all", F.lit(1)), ["_all"]).first()  # a pair of numbers per measure
+    joined = (groups.join(own, F.col("_lang").eqNullSafe(F.col("_o")) & F.col("_source").eqNullSafe(F.col("_s")), "left")
+              .join(lang, F.col("_lang").eqNullSafe(F.col("_l")), "left").withColumn("_fa", _literal(every)))
+    chosen = (F.when(F.col("_do") >= LEAST_DOCUMENTS, F.col("_fo"))
+              .when(F.col("_dl") >= LEAST_DOCUMENTS, F.col("_fl")).otherwise(F.col("_fa")))
+    return joined.select(F.col("_lang").alias("_t_lang"), F.col("_source").alias("_t_source"), chosen.alias("_fences"))
+
+
 def thresholds(measured: DataFrame, into: str = "rules", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """Fences of every (lang, source) among the documents that pass the base rules.
+    """Fences of every (lang, source) among the documents that pass the base rules:
+    (_t_lang, _t_source, _fences).
 
     Learned from the group itself if it has LEAST_DOCUMENTS, else from its language, else
-    from everything. A null language or source is a group like any other.
+    from everything; the upper fences from those of its documents whose word lengths are
+    within theirs. A null language or source is a group like any other.
     """
     keyed = measured.select(F.col(lang_col).alias("_lang"), F.col(source_col).alias("_source"), into)
-    by_source = staged(sketch(keyed, ["_lang", "_source"], into), "quality-sketch")
-    own = _fences(by_source, ["_lang", "_source"])
-    lang = _fences(by_source, ["_lang"]).select(
-        F.col("_lang").alias("_l"), F.col("documents").alias("_dl"), F.col("fences").alias("_fl"))
-    every = _fences(by_source.withColumn("_all", F.lit(1)), ["_all"]).first()  # four pairs of numbers
-    joined = own.join(lang, F.col("_lang").eqNullSafe(F.col("_l")), "left").withColumn("_fa", _literal(every))
-    chosen = (F.when(F.col("documents") >= LEAST_DOCUMENTS, F.col("fences"))
-              .when(F.col("_dl") >= LEAST_DOCUMENTS, F.col("_fl")).otherwise(F.col("_fa")))
-    return joined.select(F.col("_lang").alias("_t_lang"), F.col("_source").alias("_t_source"), chosen.alias("_fences"))
+    lengths = staged(sketch(keyed, ["_lang", "_source"], into, [SPREAD_MEASURE]), "quality-sketch")
+    groups = lengths.select("_lang", "_source").distinct()
+    first = staged(_chosen(groups, lengths), "quality-fences")
+    inside = _with(keyed.where(~F.col(f"{into}.base_failed")), first).where(_within("_fences", into, [SPREAD_MEASURE]))
+    rest = staged(sketch(inside, ["_lang", "_source"], into, UPPER_MEASURES), "quality-sketch")
+    second = _chosen(groups, rest).withColumnsRenamed({"_t_lang": "_lang", "_t_source": "_source", "_fences": "_upper"})
+    both = F.map_concat("_fences", F.coalesce("_upper", F.create_map().cast("map<string,struct<low:bigint,high:bigint>>")))
+    return _with(second, first).select("_t_lang", "_t_source", both.alias("_fences"))
 
 
 def judge(
@@ -214,14 +252,15 @@ def judge(
     joined = measured.join(
         thresholds(measured, into, lang_col, source_col),
         F.col(lang_col).eqNullSafe(F.col("_t_lang")) & F.col(source_col).eqNullSafe(F.col("_t_source")), "left")
-    kept = ~F.col(f"{into}.base_failed")
-    for m in MEASURES:
-        fence = F.element_at("_fences", m)
-        kept = kept & F.coalesce(F.col(f"{into}.{m}").between(fence["low"], fence["high"]), F.lit(False))
+    kept = ~F.col(f"{into}.base_failed") & _within("_fences", into, MEASURES)
     return joined.withColumn(into, F.struct(f"{into}.*", kept.alias("kept"))).select(*measured.columns)
 
 
 def keep_good(df: DataFrame, **columns: str) -> DataFrame:
-    """The rows of `df` that the rules keep, with the columns they came with."""
+    """The rows of `df` that the rules keep, with the columns they came with, one called
+    like a column of ours included. Null and empty texts fail the rules; repeated rows stay
+    as often as they are kept, and an empty table stays empty."""
     into = "_rules"
+    while into in df.columns:
+        into += "_"
     return judge(df, into=into, **columns).where(F.col(f"{into}.kept")).select(*df.columns)

@@ -66,5 +66,29 @@ def test_sketch_of_sources_adds_up_and_quartiles_are_close(spark):
     exact = sorted(r[0] for r in measured.where("not rules.base_failed").select("rules.word_length").collect())
     q1, q3 = exact[(len(exact) + 3) // 4 - 1], exact[(3 * len(exact) + 3) // 4 - 1]
     low, high = one.fences["word_length"]
-    width = max(6 * (q3 - q1), 200)
+    width = 3 * max(q3 - q1, 16)
     assert abs(low - (q1 - width)) <= 0.25 * width + 0.04 * q1 and abs(high - (q3 + width)) <= 0.25 * width + 0.04 * q3
+
+
+def test_every_measure_has_fences_of_its_source(spark):
+    """Two sources that differ in all four measures, 3 % of whose documents are odd in one."""
+    def text(source, i):
+        w = [f"{'w' * (3 if source == 'a' else 9)}{(i * 37 + k * k) % 9973}" for k in range(300)]
+        for k in range(0, (i % 5) * (1 if source == "a" else 3)):
+            w[k * 7] += "##"
+        repeated = w[:6 + (i % 4) * (1 if source == "a" else 4)]
+        lines = [" ".join(w[k:k + 10]) for k in range(0, 300, 10)] + [" ".join(repeated)] * (2 if i % 3 else 1 if source == "a" else 5)
+        return "\n".join(lines)
+
+    rows = [(i, text(s, i) if i % 33 else f"{'#' * 2500} {text(s, i)}", "en", s, 0, 0) for s in "ab" for i in range(300)]
+    measured = rules.measure(spark.createDataFrame(rows, SCHEMA).drop("rules"))
+    fences = {r._t_source: r._fences for r in rules.thresholds(measured).collect()}
+    for m in rules.MEASURES:
+        assert tuple(fences["a"][m]) != tuple(fences["b"][m]), m
+    odd = {r.doc_id for r in rules.judge(measured.drop("rules")).where("not rules.kept").collect()}
+    assert odd == {i for i in range(300) if i % 33 == 0}
+
+
+def test_keep_good_leaves_columns_of_its_names_alone(spark):
+    rows = spark.createDataFrame([(i, good(i), "en", "web", i, 0) for i in range(30)], SCHEMA).withColumnRenamed("rules", "_rules")
+    assert sorted(r._rules for r in rules.keep_good(rows).collect()) == list(range(30))
