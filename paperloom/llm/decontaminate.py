@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paperloom.llm import bits
-from paperloom.llm.staging import staged
+from paperloom.llm.staging import staged, unused
 from paperloom.llm.words import ALNUM, Words, grams, words
 
 SPAN = 10
@@ -161,8 +161,11 @@ def contamination(
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **columns: str) -> DataFrame:
-    """The rows of `docs` without any word of a benchmark window."""
+    """The rows of `docs` without any word of a benchmark window, with the columns they came
+    with. Null and empty texts stay, repeated rows as often as they came; rows of one id are
+    told apart by their texts. Empty tables on either side remove nothing."""
+    key, digest = unused(docs, "_id", "_hash")
     found = contamination(docs, benchmark, id_col, text_col, **columns).where("n_hit > 0")
-    found = staged(found.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")), "contaminated")
-    named = docs.withColumns({"_id": F.col(id_col).cast("long"), "_hash": F.xxhash64(text_col)})
-    return bits.without(named, found, "_id", "_hash").select(*docs.columns)
+    found = staged(found.select(F.col("doc_id").alias(key), F.col("text_hash").alias(digest)), "contaminated")
+    named = docs.withColumns({key: F.col(id_col).cast("long"), digest: F.xxhash64(text_col)})
+    return bits.without(named, found, key, digest).select(*docs.columns)

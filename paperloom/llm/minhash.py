@@ -257,7 +257,8 @@ def near_duplicates(
 
 
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of `docs` that are the smallest id of their component."""
+    """The rows of `docs` that are the smallest id of their component. Rows of one id stay or
+    go together; null ids, null and empty texts stay, and an empty table stays empty."""
     found = near_duplicates(docs, n, percent, id_col, text_col)
     dropped = found.where("not kept").select(F.col("doc_id").alias(id_col))
     return bits.without(docs, staged(dropped, "dropped"), id_col).select(*docs.columns)

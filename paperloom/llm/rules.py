@@ -16,7 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from paperloom.llm.staging import staged
+from paperloom.llm.staging import staged, unused
 
 GAP = r"[\x20\x09-\x0D]+"
 NO_SYMBOLS = r"[^#*$%&|<>]+"
@@ -260,7 +260,5 @@ def keep_good(df: DataFrame, **columns: str) -> DataFrame:
     """The rows of `df` that the rules keep, with the columns they came with, one called
     like a column of ours included. Null and empty texts fail the rules; repeated rows stay
     as often as they are kept, and an empty table stays empty."""
-    into = "_rules"
-    while into in df.columns:
-        into += "_"
+    (into,) = unused(df, "_rules")
     return judge(df, into=into, **columns).where(F.col(f"{into}.kept")).select(*df.columns)

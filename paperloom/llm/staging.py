@@ -19,6 +19,17 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with so many underscores behind it that `df` has no such column."""
+    taken, found = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
 def table(spark, sf_dir: str, name: str) -> DataFrame:
     """A table of the folder."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
