@@ -98,13 +98,23 @@ def count_by_source(rows: DataFrame) -> DataFrame:
     return rows.groupBy("source").agg(F.count("*").alias("files")).orderBy("source")
 
 
-def archive_summary(rows: DataFrame, plan: DataFrame) -> DataFrame:
-    """Per source: files, bytes, files in several chunks, and shards of a shard plan."""
-    firsts = rows.where("chunk_index = 0 or chunk_index is null")
+def archive_summary(rows: DataFrame, plan: DataFrame, failures: DataFrame | None = None) -> DataFrame:
+    """Per source: files, bytes, files in several chunks, and shards of a shard plan.
+
+    With `failures` (rows that were skipped because they could not be read: source, path,
+    ...) files count only if all of them was read, and the others as `failed_files`.
+    """
+    firsts = rows.where("chunk_index = 0 or chunk_index is null").select("source", "path", "file_size", "total_chunks")
+    read = F.lit(True)
+    if failures is not None:
+        failed = failures.select("source", "path").distinct().withColumn("failed", F.lit(True))
+        firsts = firsts.join(failed, ["source", "path"], "left")
+        read = F.col("failed").isNull()
     files = firsts.groupBy("source").agg(
-        F.count("*").alias("files"),
-        F.sum("file_size").alias("bytes"),
-        F.count_if(F.col("total_chunks") > 1).alias("chunked_files"),
+        F.count_if(read).alias("files"),
+        F.coalesce(F.sum(F.when(read, F.col("file_size"))), F.lit(0).cast("bigint")).alias("bytes"),
+        F.count_if(read & (F.col("total_chunks") > 1)).alias("chunked_files"),
+        *([F.count_if(~read).alias("failed_files")] if failures is not None else []),
     )
     return files.join(shard_totals(plan), "source", "left")
 

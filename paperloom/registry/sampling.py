@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from paperloom import bindings as B
+from paperloom import constants as C
 from paperloom.operators import sampling as O
 from paperloom.registry import query
 from paperloom.streaming.batches import batch_process
@@ -83,7 +84,7 @@ def select_positions(spark, sf):
 
 
 @query(
-    "batch_process",
+    "batch_numbers",
     f"""WITH {RUNNING_SQL} SELECT source, CAST(pos // 20 AS BIGINT) AS batch,
       CAST(count(*) AS BIGINT) AS files, CAST(sum(file_size) AS BIGINT) AS bytes
     FROM running GROUP BY source, pos // 20""",
@@ -95,6 +96,22 @@ def batches(spark, sf):
     )
 
 
+@query(
+    "batch_process",
+    f"""WITH {B.ARCHIVE_SQL} SELECT source, CAST(count(*) AS BIGINT) AS rows, CAST(sum(nbytes) AS BIGINT) AS bytes, true AS within_size
+    FROM archive GROUP BY source""",
+)
+def batch_function_over_rows(spark, sf):
+    """A function over batches of 100 rows with their content; what it returns is summed."""
+    def measure(rows):
+        sizes = rows["content"].map(len)
+        return rows[["source"]].assign(bytes=sizes, batch=len(rows))
+
+    found = batch_process(B.archive(spark, sf).select("source", "content"), measure, "source string, bytes bigint, batch bigint")
+    return found.groupBy("source").agg(F.count("*").alias("rows"), F.sum("bytes").alias("bytes"),
+                                       (F.max("batch") <= C.BATCH_ROWS).alias("within_size"))
+
+
 @query(
     "batch_function",
     """SELECT doc_id, CAST(length(text) - length(replace(text, chr(10), '')) + 1 AS BIGINT) AS lines

@@ -78,12 +78,17 @@ def load_content(
     Returns (source, path, chunk_index, location, content, read_error). External files
     are read in chunks by the tasks; restrict `rows` first to read only what is needed.
     """
-    joined = large_file_join(rows, large).withColumn(
-        "location", content_location(F.col("content_available"), F.col("repo_path"))
-    )
+    inside = F.coalesce("content_available", F.lit(False))
     shown = ["source", "path", "chunk_index", "location", "content", "read_error"]
-    lost = F.when(F.col("location") == "unavailable", F.lit("content not available"))
-    kept = joined.where("location <> 'external'").withColumn("read_error", lost)
+    none = F.lit(None)
+    embedded = rows.where(inside).withColumns({"location": F.lit("embedded"), "read_error": none.cast("string")})
+    # Content never meets the side table: only rows without any are joined.
+    joined = large_file_join(rows.where(~inside).drop("content"), large).withColumn(
+        "location", content_location(F.lit(False), F.col("repo_path"))
+    )
+    lost = joined.where("location <> 'external'").withColumns(
+        {"content": none.cast("binary"), "read_error": F.lit("content not available")})
+    kept = embedded.select(shown).unionAll(lost.select(shown))
     start = F.col("chunk_index").cast("bigint") * F.lit(chunk_bytes)
     chunks = F.greatest(F.ceil(F.col("file_size") / F.lit(chunk_bytes)).cast("int"), F.lit(1))
     located = (
@@ -98,7 +103,7 @@ def load_content(
         )
     )
     read = attach_content(located).withColumn("path", F.col("archive_path"))
-    return kept.select(shown).unionAll(read.select(shown))
+    return kept.unionAll(read.select(shown))
 
 
 def _digester(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
