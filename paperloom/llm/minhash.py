@@ -29,8 +29,6 @@ STEP = 0x9E3779B97F4A7C15
 GOLDEN = U(STEP)
 EMPTY = U(2**64 - 1)
 SPREAD = 64
-#: Copies of a pivot, so that no task has all members of a component.
-SALTS = 128
 
 SIGNATURE = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>"
 
@@ -183,11 +181,8 @@ def _rest(shared: DataFrame, links: DataFrame, done: DataFrame, texts: DataFrame
     mixed = staged(grouped.join(largest, "band"), "mixed")
     mixed = mixed.join(_alone(mixed, texts, n), "member")
     pivots = mixed.groupBy(F.col("part").alias("main")).agg(F.min_by("member", F.struct("alone", "member")).alias("pivot"))
-    pivots = staged(pivots, "pivots")
-    # A component may hold a third of all members, so its pivot comes once per salt.
-    salted = pivots.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    mixed = mixed.withColumn("salt", F.pmod(F.xxhash64("member"), F.lit(SALTS)).cast("int"))
-    mixed = staged(mixed.join(salted, ["main", "salt"]).where("member <> pivot").drop("salt"), "mixed")
+    # Staged, so that the join reads a table and adaptive execution can split a hot component.
+    mixed = staged(mixed.join(staged(pivots, "pivots"), "main").where("member <> pivot"), "mixed")
     around = mixed.select(F.col("pivot").alias("a"), F.col("member").alias("b")).distinct()
     around = staged(_compared(around, texts, n, percent, True), "pivots")
     known = around.select(F.col("a").alias("pivot"), F.col("b").alias("member"), "linked", "lacks",

@@ -51,10 +51,10 @@ def _fence_sql(p: str, measure: str) -> str:
     min(bucket) filter (100 * seen >= 75 * total) as b3, min(bucket) filter (100 * seen >= 99 * total) as b9
   from {p}_cumulated group by level, lang, source, m
 ), {p}_width as (
-  select *, {START.format("b1")} as q1, {START.format("b3")} as q3, {START.format("b9")} as q9, {START.format("(b3 + 1)")} as after from {p}_quantile
+  select *, {START.format("b1")} as q1, {START.format("b3")} as q3, {START.format("b9")} as q9, case when b3 < 32 then 1 else 1 << (b3 // 32 - 5) end as one from {p}_quantile
 ), {p}_fence as (
-  select level, lang, source, m, total, case when m = 'word_length' then q1 - 3 * greatest(q3 - q1, after - q3) else 0 end as low,
-    case when m = 'word_length' then q3 + 3 * greatest(q3 - q1, after - q3) else 4 * q9 + 1 end as high from {p}_width
+  select level, lang, source, m, total, case when m = 'word_length' then q1 - 3 * greatest(q3 - q1, one) else 0 end as low,
+    case when m = 'word_length' then q3 + 3 * greatest(q3 - q1, one) else 4 * q9 + 1 end as high from {p}_width
 ), {p}_verdict as (
   select doc_id, bool_and(coalesce(value between
     case when f0.total >= 200 then f0.low when f1.total >= 200 then f1.low else f2.low end and

@@ -167,7 +167,7 @@ def _fences(sketches: DataFrame, groups: list[str]) -> DataFrame:
         return F.aggregate("buckets", start, step, lambda s: s["at"])
 
     found = merged.select(*groups, "measure", "total", *[percentile(k).alias(f"b{k}") for k in (25, 75, PERCENTILE)])
-    found = found.select(*groups, "measure", "total", (_bucket_start("(b75 + 1)") - _bucket_start("b75")).alias("bucket"),
+    found = found.select(*groups, "measure", "total", F.expr("case when b75 < 32 then 1L else shiftleft(1L, cast(b75 div 32 as int) - 5) end").alias("bucket"),
                          *[_bucket_start(f"b{k}").alias(f"q{k}") for k in (25, 75, PERCENTILE)])
     width = SPREAD * F.greatest(F.col("q75") - F.col("q25"), F.col("bucket"))
     both = F.struct((F.col("q25") - width).alias("low"), (F.col("q75") + width).alias("high"))
