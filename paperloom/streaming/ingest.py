@@ -81,10 +81,14 @@ def _survivor(fields: list[str], keep_ms: int | None):
         if state.hasTimedOut:
             state.remove()
             return
-        rows = pd.concat(list(frames))
+        best, row = None, None
+        for rows in frames:
+            ords = rows["ord"].to_numpy()
+            at = int(ords.argmin())
+            if best is None or ords[at] < best:
+                best, row = int(ords[at]), rows.iloc[[at]]
         if not state.exists:
-            row = rows.sort_values("ord").iloc[:1]
-            state.update((int(row["ord"].iloc[0]),))
+            state.update((best,))
             yield row[fields]
         if keep_ms is not None:
             state.setTimeoutDuration(keep_ms)
@@ -100,7 +104,8 @@ def stream_dedupe(manifest: DataFrame, keep_days: float | None = None) -> DataFr
     within each batch of input, so a pair making up a third of the stream does not flood
     the task that keeps its state. State is one number per pair. It grows with the pairs,
     or with `keep_days` holds those that came up within that time: a pair that stays away
-    for longer counts as new.
+    for longer counts as new. Such a query looks for pairs that ran out in every trigger, so
+    give it an interval; `availableNow` would not end before they all have.
     """
     keys = [*(["source"] if "source" in manifest.columns else []), "path", "md5"]
     fields = manifest.columns
