@@ -123,29 +123,40 @@ from doc join component using (doc_id) left join size using (doc_id)
 
 OP7 = r"""
 with page as (
-  select page_id as id, coalesce(url, '') as url, coalesce(html, '') as body,
-    greatest(1, ceil(count(*) over () / 1000))::bigint as archives from pages
+  select page_id as id, coalesce(url, '') as url, coalesce(html, '') as body from pages
 ), named as (
-  select *, md5(coalesce(id::varchar, '') || '|' || url) as name, coalesce(((id % archives) + archives) % archives, 0) as archive from page
+  select *, md5(coalesce(id::varchar, '') || '|' || url) as name from page
 ), ours as (
-  select archive, id, 'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10)
+  select id, 'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10)
     || 'WARC-Record-ID: <urn:uuid:' || name[1:8] || '-' || name[9:12] || '-' || name[13:16] || '-' || name[17:20] || '-' || name[21:32] || '>' || chr(13) || chr(10)
-    || 'WARC-Target-URI: ' || url || chr(13) || chr(10) || 'WARC-Date: 1970-01-01T00:00:00Z' || chr(13) || chr(10)
+    || 'WARC-Target-URI: ' || regexp_replace(url, '[\r\n]', '', 'g') || chr(13) || chr(10) || 'WARC-Date: 1970-01-01T00:00:00Z' || chr(13) || chr(10)
     || 'Content-Type: text/html' || chr(13) || chr(10) || 'Content-Length: ' || strlen(body) || chr(13) || chr(10) || chr(13) || chr(10) || body as record
   from named
+), numbered as (
+  select *, row_number() over (order by id nulls first, sha256(record)) - 1 as place from ours
 ), located as (
-  select *, row_number() over o - 1 as ordinal, sum(strlen(record) + 4) over o as stop, count(*) over (partition by archive) as n
-  from ours window o as (partition by archive order by id, record)
-), replica as (
-  select *, archive % 3 = 1 and ordinal >= n - 2 as lost,
-    case when id % 101 = 7 then record[1:length(record) - 1] || '~' else record end as other from located
+  select id, record, place // 1000 as archive, place % 1000 as ordinal, count(*) over (partition by place // 1000) as n,
+    instr(record, chr(13) || chr(10) || chr(13) || chr(10)) as head from numbered
+), rotten as (
+  select *, case when id % 101 = 7 and ends_with(record, '>') then record[1:length(record) - 1] || '~' else record end as a from located
+), misstated as (
+  select *, case when id % 211 = 5 then a[1:head - 2] || translate(a[head - 1:head - 1], '0123456789', '9876543210') || a[head:] else a end as b from rotten
+), shortened as (
+  select *, case when archive % 5 = 2 and ordinal = n // 2 then b[1:7] || b[9:] else b end as c, archive % 3 = 1 and ordinal > greatest(n - 2, 0) as lost from misstated
+), copies as (
+  select *, case when archive % 3 = 1 and ordinal = greatest(n - 2, 0) then c[1:20] else c end as other,
+    sum(strlen(record) + 4) over o as stop, sum(strlen(c) + 4) over o as found_stop from shortened
+  window o as (partition by archive order by ordinal)
+), judged as (
+  select *, case when lost then 'missing' when other <> record then 'changed'
+    when stop - strlen(record) <> found_stop - strlen(c) then 'moved' end as fault from copies
 )
-select archive, ordinal, case when lost then 'missing' else 'changed' end as fault,
-  (stop - strlen(record) - 4)::bigint as start, stop::bigint as stop, sha256(record) as expected,
+select archive, ordinal, fault, (stop - strlen(record) - 4)::bigint as start, stop::bigint as stop, sha256(record) as expected,
   case when lost then null else sha256(other) end as found
-from replica where lost or other <> record
+from judged where fault is not null
 """
 
+
 def _field(value: str) -> str:
     return f"coalesce(strlen(({value})::varchar) || ':' || ({value})::varchar, '-')"
 

@@ -63,13 +63,26 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Audit of a replica with a changed byte in some records and a lost end of some archives."""
-    ours = staged(warc.records(table(spark, sf_dir, "pages")), "replica")
-    last = ours.groupBy("archive").agg(F.max("ordinal").alias("last"))
-    rotten = F.concat(F.expr("substring(record, 1, length(record) - 1)"), F.lit("~"))
-    theirs = (ours.join(last, "archive").where("not (archive % 3 = 1 and ordinal >= last - 1)")
-              .withColumn("record", F.when(F.expr("id % 101 = 7"), rotten).otherwise(F.col("record"))))
-    return warc.audit(ours, theirs)
+    """Audit of the archives of all pages and of their damaged copies, both read back as bytes.
+
+    Some copies have other bytes in a record, a wrong Content-Length, lack a byte in the
+    middle (what is behind it moves), or end within the last record but one."""
+    placed = staged(warc.records(table(spark, sf_dir, "pages")), "placed")
+    sites = [scratch_path(spark, f"warc-{x}") for x in ("ours", "copies")]
+    warc.write_warc(placed, sites[0])
+    head = F.octet_length(F.substring_index(F.col("record").cast("string"), warc.BREAK, 1))
+    digit = F.translate(F.substring(F.substring_index(F.col("record").cast("string"), warc.BREAK, 1), -1, 1), "0123456789", "9876543210")
+    known = placed.join(placed.groupBy("archive").agg(F.count("*").alias("n")), "archive")
+
+    def edit(hit: str, at: Column, drop: int, put: Column) -> DataFrame:
+        return known.where(hit).select("archive", (F.col("start") + at).alias("at"), F.lit(drop).cast("long").alias("drop"), put.cast("binary").alias("put"))
+
+    edits = (edit("id % 101 = 7 and substring(record, -1, 1) = X'3E'", F.col("length") - 5, 1, F.lit("~"))
+             .unionAll(edit("id % 211 = 5", head - 1, 1, digit))
+             .unionAll(edit("archive % 5 = 2 and ordinal = n div 2", F.lit(7), 1, F.lit("")))
+             .unionAll(edit("archive % 3 = 1 and ordinal = greatest(n - 2, 0)", F.lit(20), 1 << 62, F.lit(""))))
+    warc.copy_spliced(spark, *sites, edits)
+    return warc.audit(*[warc.read_warc(spark, site) for site in sites])
 
 
 def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,33 +8,41 @@ a comparison follows the damage, not the archive.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from paperloom.llm.staging import staged
+from paperloom.plans.ordering import row_positions
+from paperloom.sources.content import spread_by_bytes
+from paperloom.sources.listing import list_files
+from paperloom.sources.storage import AtomicFile, read_from
 
 FANOUT = 16
-#: Records of an archive. A reader holds a whole archive in memory.
+#: Records of an archive.
 RECORDS = 1000
 BREAK = "\r\n\r\n"
+_BREAK = BREAK.encode()
+_NEXT = _BREAK + b"WARC/1."
+_LENGTH = re.compile(rb"\r\nContent-Length: (\d{1,18})$")
+_BATCH_BYTES = 8 << 20
 
 
 def records(
     pages: DataFrame, id_col: str = "page_id", url_col: str = "url", body_col: str = "html",
     date: str = "1970-01-01T00:00:00Z", per_archive: int = RECORDS,
 ) -> DataFrame:
-    """(archive, ordinal, id, record, start, length) of every page: the text of a WARC
-    record, the archive it belongs to, and the bytes it fills there with the break behind it.
+    """(archive, ordinal, id, record, start, length) of every page: the bytes of a WARC
+    record, the archive it belongs to, and the range it fills there with the break behind it.
 
-    Archives take ids in turn, so none is larger than the others; within an archive records
-    are in order of id, url and body. Null urls and bodies are empty, null ids go to
-    archive 0 and come first; repeated rows are records of their own. An empty table has no
-    archives. Other columns are ignored.
+    Records are in order of id and SHA-256 of the record over all archives, each of which
+    but the last has `per_archive` of them, whatever the ids. Null urls and bodies are
+    empty, null ids come first; repeated rows are records of their own. An empty table has
+    no archives. Other columns are ignored.
     """
-    archives = max(1, -(-pages.count() // per_archive))
     page = pages.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(url_col), F.lit("")).alias("url"),
                         F.coalesce(F.col(body_col), F.lit("")).alias("body"))
     name = F.md5(F.concat_ws("|", F.coalesce(F.col("id").cast("string"), F.lit("")), "url"))
@@ -42,51 +50,151 @@ def records(
     head = F.concat_ws("\r\n", F.lit("WARC/1.1"), F.lit("WARC-Type: resource"), F.concat(F.lit("WARC-Record-ID: <urn:uuid:"), uuid, F.lit(">")),
                        F.concat(F.lit("WARC-Target-URI: "), F.regexp_replace("url", r"[\r\n]", "")), F.lit(f"WARC-Date: {date}"),
                        F.lit("Content-Type: text/html"), F.concat(F.lit("Content-Length: "), F.octet_length("body").cast("string")))
-    out = page.select(F.coalesce(F.pmod("id", F.lit(archives)), F.lit(0)).alias("archive"), "id",
-                      F.concat(head, F.lit(BREAK), "body").alias("record"))
-    return located(out)
-
-
-def located(records_: DataFrame) -> DataFrame:
-    """Add ordinal, start and length within each archive (at most RECORDS rows)."""
-    order = Window.partitionBy("archive").orderBy("id", "record")
-    length = (F.octet_length("record") + len(BREAK)).cast("long")
-    out = records_.withColumn("length", length).withColumn("ordinal", F.row_number().over(order).cast("long") - 1)
-    start = F.sum("length").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("length")
-    return out.withColumn("start", start).select("archive", "ordinal", "id", "record", "start", "length")
-
-
-def write_warc(records_: DataFrame, path: str, **options: str) -> None:
-    """Write one WARC file per archive, in folders archive=n."""
-    dealt = records_.repartition("archive").sortWithinPartitions("archive", "ordinal").select("archive", F.col("record").alias("value"))
-    dealt.write.partitionBy("archive").options(lineSep=BREAK, **options).text(path)
-
-
-def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for archive, content in zip(batch.column(0).to_pylist(), batch.column(1)):
-            data, at, rows = content.as_py(), 0, []
-            while at < len(data):
-                head = data.find(BREAK.encode(), at)
-                fields = dict(x.split(": ", 1) for x in data[at:head].decode().split("\r\n")[1:] if ": " in x) if head >= 0 else {}
-                end = head + len(BREAK) + int(fields["Content-Length"]) if fields.get("Content-Length", "").isdigit() else len(data) - len(BREAK)
-                end = min(max(end, at), len(data))
-                rows.append((archive, len(rows), data[at:end].decode(errors="replace"), at, end + len(BREAK) - at))
-                at = end + len(BREAK)
-                if len(rows) % 200 == 0 or at >= len(data):
-                    columns = list(zip(*rows[-(len(rows) % 200 or 200):]))
-                    yield pa.record_batch([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.string()),
-                                           pa.array(columns[3], pa.int64()), pa.array(columns[4], pa.int64())],
-                                          ["archive", "ordinal", "record", "start", "length"])
+    record = F.concat(head, F.lit(BREAK), "body").cast("binary")
+    rows = staged(page.select(F.monotonically_increasing_id().alias("row"), "id", record.alias("record")), "records")
+    # Only keys and lengths are sorted and summed; records meet their places afterwards.
+    keys = rows.select("row", "id", F.sha2("record", 256).alias("digest"), (F.octet_length("record") + len(BREAK)).cast("long").alias("length"),
+                       F.lit("").alias("all"))
+    at = row_positions(keys, ["all"], ["id", "digest", "row"], "at")
+    dealt = at.select("row", "length", F.expr(f"at div {per_archive}").alias("archive"), (F.col("at") % per_archive).alias("ordinal"))
+    before = Window.partitionBy("archive").orderBy("ordinal").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = dealt.withColumn("start", F.sum("length").over(before) - F.col("length"))
+    return rows.join(placed, "row").select("archive", "ordinal", "id", "record", "start", "length")
+
+
+def _writer(path: str):
+    def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, file, written, done = None, None, 0, []
+        for batch in batches:
+            for archive, record in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if archive != current:
+                    if file:
+                        file.publish()
+                        done.append((current, written))
+                    current, file, written = archive, AtomicFile(f"{path}/archive-{archive:010d}.warc"), 0
+                file.write(record.as_py() + _BREAK)
+                written += len(record.as_py()) + len(_BREAK)
+        if file:
+            file.publish()
+            done.append((current, written))
+        yield pa.record_batch([pa.array([d[i] for d in done], pa.int64()) for i in (0, 1)], ["archive", "bytes"])
+    return write
+
+
+def write_warc(records_: DataFrame, path: str) -> DataFrame:
+    """Write one file archive-n.warc per archive below `path`; returns (archive, bytes).
+
+    A file appears under its name when it is complete, so a task that is repeated after a
+    lost executor replaces it with the same bytes. Memory holds a batch of records.
+    """
+    dealt = records_.repartition("archive").sortWithinPartitions("archive", "ordinal").select("archive", "record")
+    return staged(dealt.mapInArrow(_writer(path.rstrip("/")), "archive long, bytes long"), "written")
 
 
-def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """(archive, ordinal, record, start, length) of the records in a folder of WARC files.
+def _split(pieces: Iterable[bytes]) -> Iterator[tuple[bytes, int, int]]:
+    """(record, start, length) of the records of a file that comes in pieces.
+
+    A record ends where its Content-Length says if a break follows there. If not, or without
+    a length, it ends at the next break before a WARC version line, or with the file: damage
+    costs the record it hits and none behind it. Memory holds the record and a piece.
+    """
+    pieces, data, start, ended = filter(None, pieces), bytearray(), 0, False
+
+    def more() -> bool:
+        nonlocal ended
+        piece = next(pieces, None)
+        ended = piece is None
+        data.extend(piece or b"")
+        return not ended
+
+    def find(what: bytes, at: int) -> int:
+        while (found := data.find(what, at)) < 0 and not ended:
+            at = max(at, len(data) - len(what) + 1)
+            more()
+        return found
+
+    while data or more():
+        head = find(_BREAK, 0)
+        stated = _LENGTH.search(bytes(data[:head])) if head >= 0 else None
+        end = -1
+        if stated:
+            end = head + len(_BREAK) + int(stated[1])
+            while len(data) < end + len(_BREAK) and not ended:
+                more()
+            if data[end:end + len(_BREAK)] != _BREAK:
+                end = -1
+        if end < 0:
+            end = find(_NEXT, max(head, 0))
+        if end < 0:
+            end = len(data) - (len(_BREAK) if data.endswith(_BREAK) else 0)
+        stop = min(end + len(_BREAK), len(data))
+        yield bytes(data[:end]), start, stop
+        del data[:stop]
+        start += stop
+
+
+def _reader(path: str):
+    names = ["archive", "ordinal", "record", "start", "length"]
+    types = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
+
+    def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for archive, name in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                rows, held = [], 0
+                for ordinal, (record, start, length) in enumerate(_split(read_from(f"{path}/{name}"))):
+                    rows.append((archive, ordinal, record, start, length))
+                    held += length
+                    if held >= _BATCH_BYTES:
+                        yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
+                        rows, held = [], 0
+                if rows:
+                    yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
+    return read
+
 
-    A record whose length cannot be read takes the rest of its file, so damage shows."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
-    return files.select(F.col("archive").cast("long"), "content").mapInArrow(
-        _parsed, "archive long, ordinal long, record string, start long, length long")
+def read_warc(spark: SparkSession, path: str) -> DataFrame:
+    """(archive, ordinal, record, start, length) of the bytes in a folder of WARC files, as
+    they are there: see `_split` for damaged ones. An empty file has no records."""
+    files = list_files(spark, {"": path}).where(F.col("path").rlike(r"^archive-\d+\.warc$"))
+    spread = spread_by_bytes(files, "file_size", ["path"])
+    named = spread.select(F.regexp_extract("path", r"(\d+)", 1).cast("long").alias("archive"), "path")
+    return named.mapInArrow(_reader(path.rstrip("/")), "archive long, ordinal long, record binary, start long, length long")
+
+
+def _splicer(source: str, target: str):
+    def splice(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, edits in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                file, at, pending = AtomicFile(f"{target}/{name}"), 0, [(e["at"], e["drop"], e["put"]) for e in edits or []]
+                skip = 0
+                for piece in read_from(f"{source}/{name}"):
+                    begin, stop = 0, len(piece)
+                    while True:
+                        gone = min(skip, stop - begin)
+                        begin, skip = begin + gone, skip - gone
+                        while pending and pending[0][0] < at + begin:  # inside what went already
+                            pending.pop(0)
+                        if not pending or pending[0][0] >= at + stop:
+                            break
+                        place, skip, put = pending.pop(0)
+                        file.write(piece[begin:place - at] + put)
+                        begin = place - at
+                    file.write(piece[begin:])
+                    at += stop
+                file.publish()
+            yield batch.select(["path"])
+    return splice
+
+
+def copy_spliced(spark: SparkSession, source: str, target: str, edits: DataFrame) -> DataFrame:
+    """Copy the archives of a folder with `edits` (archive, at, drop, put): `drop` bytes at
+    the place `at` go and the bytes `put` come there. Edits within what an earlier one
+    dropped do nothing. Returns the (path) of each copy; without edits a copy is exact."""
+    files = list_files(spark, {"": source}).where(F.col("path").rlike(r"^archive-\d+\.warc$"))
+    listed = edits.groupBy("archive").agg(F.array_sort(F.collect_list(F.struct("at", "drop", "put"))).alias("edits"))
+    named = files.withColumn("archive", F.regexp_extract("path", r"(\d+)", 1).cast("long")).join(listed, "archive", "left")
+    return staged(spread_by_bytes(named, "file_size", ["path"]).select("path", "edits").mapInArrow(
+        _splicer(source.rstrip("/"), target.rstrip("/")), "path string"), "spliced")
 
 
 def tree(records_: DataFrame) -> list[DataFrame]:
@@ -112,8 +220,8 @@ def tree(records_: DataFrame) -> list[DataFrame]:
 def differences(ours: list[DataFrame], theirs: list[DataFrame]) -> DataFrame:
     """Damaged byte ranges of a replica: (archive, ordinal, fault, start, stop, expected, found).
 
-    fault is changed, missing or surplus; start and stop are our range, or theirs if
-    surplus; expected and found are the digests of the records. Trees of different height
+    fault is changed, moved (the same record in another range), missing or surplus; start
+    and stop are our range, or theirs if surplus; expected and found are the digests of the records. Trees of different height
     are compared from the lower root.
     """
     bad = None
@@ -127,7 +235,8 @@ def differences(ours: list[DataFrame], theirs: list[DataFrame]) -> DataFrame:
         met = met.where(~F.col("a_hash").eqNullSafe(F.col("b_hash")))
         if k:
             bad = staged(met.select(F.coalesce("a_archive", "b_archive").alias("in_archive"), F.coalesce("a_node", "b_node").alias("in_node")), "differ")
-    fault = F.when(F.col("a_node").isNull(), "surplus").when(F.col("b_node").isNull(), "missing").otherwise("changed")
+    fault = F.when(F.col("a_node").isNull(), "surplus").when(F.col("b_node").isNull(), "missing").when(
+        F.col("a_digest") == F.col("b_digest"), "moved").otherwise("changed")
     return met.select(
         F.coalesce("a_archive", "b_archive").alias("archive"), F.coalesce("a_node", "b_node").alias("ordinal"), fault.alias("fault"),
         F.coalesce("a_start", "b_start").alias("start"), F.coalesce("a_stop", "b_stop").alias("stop"),
@@ -135,5 +244,6 @@ def differences(ours: list[DataFrame], theirs: list[DataFrame]) -> DataFrame:
 
 
 def audit(records_: DataFrame, replica: DataFrame) -> DataFrame:
-    """Compare a replica's records with ours and locate what differs."""
+    """Compare a replica's records with ours and locate what differs: see `differences`.
+    Archives that only one side has are missing or surplus as a whole; two empty sides agree."""
     return differences(tree(records_), tree(replica))
