@@ -19,6 +19,8 @@ from paperloom.llm.staging import staged
 # Forms of address by gender.
 MALE = ["Mr", "Herr", "Señor", "Sr", "Monsieur", "Signor", "Господин", "Κύριος"]
 FEMALE = ["Mrs", "Ms", "Miss", "Frau", "Señora", "Sra", "Madame", "Mme", "Mademoiselle", "Signora", "Госпожа", "Κυρία"]
+# Titles of either.
+NEUTRAL = ["Dr", "Prof", "Doctor", "Professor", "Доктор", "Профессор"]
 # Syllables of made-up names and their endings by gender, per script.
 SYLLABLES = {
     "latin": ["ba", "be", "da", "de", "fa", "ga", "ka", "ke", "la", "le", "ma", "me", "na", "ne", "ra", "ta"],
@@ -26,15 +28,20 @@ SYLLABLES = {
     "greek": ["βα", "βε", "δα", "δε", "φα", "γα", "κα", "κε", "λα", "λε", "μα", "με", "να", "νε", "ρα", "τα"],
 }
 ENDINGS = {
-    "latin": {"male": "ron", "female": "ria", "family": "ler"},
-    "cyrillic": {"male": "рон", "female": "рия", "family": "лев"},
-    "greek": {"male": "ρος", "female": "ρια", "family": "λης"},
+    "latin": {"male": "ron", "female": "ria", "given": "lin", "family": "ler"},
+    "cyrillic": {"male": "рон", "female": "рия", "given": "лин", "family": "лев"},
+    "greek": {"male": "ρος", "female": "ρια", "given": "λιν", "family": "λης"},
 }
 # The letters that stand for the sixteen hexadecimal digits, per script, and
 # the rest of the alphabet, which takes turns with them.
 LETTERS = {"latin": "bcdfghjklmnpqrst", "cyrillic": "бвгджзклмнпрстфх", "greek": "βγδζθκλμνξπρστφχ"}
 OTHERS = {"latin": "aeiouvwxyzaeiouv", "cyrillic": "аеийоуцчшщъыьэюя", "greek": "αεηιουψωαεηιουψω"}
 
+#: One or more forms of address, and a word that can be a name: the 's behind it is no part of it.
+TITLES = r"(?:(?:" + "|".join(sorted(MALE + FEMALE + NEUTRAL, key=len, reverse=True)) + r")\.? )++"
+WORD = r"\p{Lu}(?:\p{L}|['-](?!s(?!\p{L}))\p{L})+"
+#: A name without a form of address.
+BARE = rf"(?<![\p{{L}}\p{{N}}._%+@'-]){WORD}(?![\p{{L}}\p{{N}}@])"
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 #: Type: pattern of an entity in its surroundings, tried in this order at each place.
 PATTERNS = {
@@ -45,11 +52,11 @@ PATTERNS = {
              r"|(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4})(?![\p{L}\p{N}])",
     "ssn": r"(?<![\p{L}\p{N}-])\d{3}-\d{2}-\d{4}(?![\p{L}\p{N}-])",
     "number": r"(?<![\p{L}\p{N}-])(?:\d{13,19}|\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{1,7})(?![\p{L}\p{N}])",
-    "name": r"(?<![\p{L}\p{N}])(?:" + "|".join(sorted(MALE + FEMALE, key=len, reverse=True)) + r")\.? \p{Lu}[\p{L}'-]+(?: \p{Lu}[\p{L}'-]+)?",
+    "name": rf"(?<![\p{{L}}\p{{N}}]){TITLES}{WORD}(?: {WORD})?",
 }
 ENTITY = "|".join(PATTERNS.values())
 #: A cheap test that every entity passes.
-MAYBE = r"[@0-9]|" + "|".join(MALE + FEMALE)
+MAYBE = r"[@0-9]|" + "|".join(MALE + FEMALE + NEUTRAL)
 #: Type of a whole entity, in the same order.
 KINDS = {
     "email": "@", "iban": r"^[A-Z]{2}\d{2}", "ip": rf"^(?:{OCTET}\.){{3}}{OCTET}$",
@@ -86,14 +93,19 @@ def _keys(literals: DataFrame) -> DataFrame:
     """(literal, kind, keys): what is replaced in each entity, as (type, plain form).
 
     Spellings of one entity share their keys: case of an address and punctuation of a number
-    do not count; a phone number keeps the plus sign before its country code. A name has a key for its family name and one for the given name.
+    do not count; a phone number keeps the plus sign before its country code. A name has a key for its family name and one for the given name,
+    of kind `given` where the titles tell no gender.
     Digit groups that only look like an account number, without a valid check digit,
     have no key and stay.
     """
     e = F.col("literal")
-    words = F.split(F.regexp_replace(e, r"^\S+ ", ""), " ")
-    title = F.regexp_extract(e, r"^(\p{L}+)", 1)
-    gender = F.when(title.isin(FEMALE), "female").otherwise("male")
+    words = F.split(F.regexp_replace(e, f"^{TITLES}", ""), " ")
+    titles = F.split(F.regexp_extract(e, f"^{TITLES}", 0), r"\.? ")
+
+    def told(names: list[str]) -> Column:
+        return F.arrays_overlap(titles, F.array(*map(F.lit, names)))
+
+    gender = F.when(told(FEMALE), "female").when(told(MALE), "male").otherwise("given")
 
     def key(kind, plain):
         return F.struct(kind.alias("kind"), plain.alias("plain"))
@@ -112,6 +124,14 @@ def _keys(literals: DataFrame) -> DataFrame:
     return literals.withColumn("kind", _kind(e)).withColumn("keys", keys)
 
 
+def _gendered(literals: DataFrame) -> DataFrame:
+    """(literal, type, place, kind, plain) of every key. A given name without gender takes
+    that of the same name elsewhere in the corpus, male where it occurs with both."""
+    keys = literals.select("literal", F.col("kind").alias("type"), F.posexplode("keys").alias("place", "key")).select("literal", "type", "place", "key.*")
+    known = keys.where(F.col("kind").isin("male", "female")).groupBy("plain").agg(F.max("kind").alias("gender"), F.lit("given").alias("kind"))
+    return keys.join(known, ["kind", "plain"], "left").select("literal", "type", "place", F.coalesce("gender", "kind").alias("kind"), "plain")
+
+
 def _pick(name: str, choices: dict[str, Column]) -> Column:
     return reduce(lambda rest, k: F.when(F.col(name) == k, choices[k]).otherwise(rest), choices, F.lit(None).cast("string"))
 
@@ -163,7 +183,7 @@ def _with_surrogates(keys: DataFrame, secret: str, longer: bool) -> DataFrame:
     checked = F.get(F.filter(F.transform(F.sequence(F.lit(0), F.lit(9)), lambda d: F.concat(
         F.expr("substring(shape, 1, length(shape) - 1)"), d.cast("string"))), _luhn), F.lit(0))
     kind = F.col("kind")
-    surrogate = (F.when(kind == "ip", octets).when(kind.isin("male", "female", "family"), _made_up_name())
+    surrogate = (F.when(kind == "ip", octets).when(kind.isin("male", "female", "given", "family"), _made_up_name())
                  .when((kind == "number") & _luhn(F.col("plain")), checked).otherwise(F.col("shape")))
     return out.select("kind", "plain", "attempt", surrogate.alias("surrogate"))
 
@@ -193,10 +213,9 @@ def surrogates(keys: DataFrame, secret: str, longer: bool = False) -> DataFrame:
     raise ValueError(f"no distinct surrogates after {TRIES} tries: a format has fewer values than entities")
 
 
-def _rendered(literals: DataFrame, found: DataFrame) -> DataFrame:
+def _rendered(keys: DataFrame, found: DataFrame) -> DataFrame:
     """(literal, kind, replacement): surrogates in the spelling of each entity."""
-    one = literals.select("literal", "kind", F.posexplode("keys").alias("place", "key"))
-    joined = one.select("literal", F.col("kind").alias("type"), "place", "key.*").join(found, ["kind", "plain"])
+    joined = keys.join(found, ["kind", "plain"])
     parts = joined.groupBy("literal", "type").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("place", "surrogate"))), lambda x: x["surrogate"]).alias("parts"),
         (F.max(F.length("surrogate")) - F.max(F.length("plain"))).alias("more"))
@@ -211,13 +230,39 @@ def _rendered(literals: DataFrame, found: DataFrame) -> DataFrame:
     spelled = F.aggregate(chars, F.struct(F.lit("").alias("text"), F.lit(1).alias("at")), digit, lambda s: F.concat(s["text"], F.substr(core, s["at"])))
     cased = F.concat(F.substr(core, F.lit(1), F.col("more")), F.array_join(F.transform(chars, lambda c, i: F.when(
         c.rlike(r"\p{Lu}"), F.upper(F.substr(core, i + 1 + F.col("more"), F.lit(1)))).otherwise(F.substr(core, i + 1 + F.col("more"), F.lit(1)))), ""))
-    named = F.concat_ws(" ", F.regexp_extract("literal", r"^(\S+) ", 1), F.array_join(F.transform("parts", F.initcap), " "))
+    named = F.concat(F.regexp_extract("literal", f"^{TITLES}", 0), F.array_join(F.transform("parts", F.initcap), " "))
     kind = F.col("type")
     out = parts.withColumn("replacement", (
         F.when(kind == "email", cased).when(kind == "ip", core).when(kind == "name", named).otherwise(spelled)))
     return out.select("literal", F.col("type").alias("kind"), "replacement")
 
 
+def _bare_replaced(gap: Column, aliases: Column) -> Column:
+    """The text between entities with the names that the same text has behind a form of
+    address replaced where they stand alone: `aliases` is a map from names in lower case."""
+    def shown(word: Column) -> Column:
+        made = F.try_element_at(aliases, F.lower(word))
+        return F.coalesce(F.when(word == F.upper(word), F.upper(made)).otherwise(made), word)
+
+    words = F.regexp_extract_all(gap, F.lit(BARE), F.lit(0))
+    pieces = F.transform(F.split(gap, BARE, -1), lambda piece, i: F.concat(piece, F.coalesce(shown(F.get(words, i)), F.lit(""))))
+    return F.when(F.size(aliases) > 0, F.array_join(pieces, "")).otherwise(gap)
+
+
+def _aliases(entities: Column) -> Column:
+    """Map from each word of the names of a text, in lower case, to its replacement. A word
+    that is a given and a family name there stands for the one that comes first."""
+    def words(literal: Column) -> Column:
+        return F.split(F.regexp_replace(literal, f"^{TITLES}", ""), " ")
+
+    pairs = F.flatten(F.transform(F.filter(entities, lambda e: e["kind"] == "name"), lambda e: F.zip_with(
+        words(e["literal"]), words(e["replacement"]), lambda a, b: F.struct(F.lower(a).alias("name"), b.alias("made")))))
+    # One pair of each name: two passes over the distinct pairs of the text.
+    distinct = F.array_distinct(pairs)
+    names = F.array_distinct(F.transform(distinct, lambda p: p["name"]))
+    return F.map_from_arrays(names, F.transform(names, lambda n: F.get(F.filter(distinct, lambda p: p["name"] == n), 0)["made"]))
+
+
 def _count(kind: str) -> Column:
     return F.size(F.filter("_pii_all", lambda x: x["kind"] == kind))
 
@@ -229,7 +274,8 @@ def replace_personal_data(
 
     Types are e-mail addresses, IBANs, IPv4 addresses, phone numbers, social security
     numbers, account or card numbers (13 to 19 digits, or groups with a valid check digit)
-    and names after a form of address. One entity has the same surrogate everywhere, in
+    and names after forms of address, which are then replaced wherever else the text has them with a
+    capital letter: full, given or family name alone, before or behind. One entity has the same surrogate everywhere, in
     any spelling, and two never share one. Surrogates keep digits, letters and punctuation in their places (IPv4 addresses
     and names are made anew), the case and
     script of letters, the last label of an e-mail's domain, the country code of a phone number or
@@ -247,14 +293,15 @@ def replace_personal_data(
     seen = docs.drop(into).withColumn("_pii_found", found)
     hit = staged(seen.where(F.size("_pii_found") > 0).withColumn("_pii_row", F.monotonically_increasing_id()), "pii")
     rows = hit.select("_pii_row", F.posexplode("_pii_found").alias("place", "literal"))
-    literals = staged(_keys(rows.select("literal").distinct()), "entities")
-    keys = staged(literals.select(F.inline("keys")).distinct(), "keys")
+    literals = staged(_gendered(_keys(rows.select("literal").distinct())), "entities")
+    keys = staged(literals.select("kind", "plain").distinct(), "keys")
     rendered = staged(_rendered(literals, surrogates(keys, secret, longer=True)), "rendered")
     known = rows.join(rendered, "literal", "left").select("_pii_row", F.struct(
-        "place", "kind", F.coalesce("replacement", "literal").alias("replacement")).alias("one"))
+        "place", "kind", F.coalesce("replacement", "literal").alias("replacement"), "literal").alias("one"))
     ordered = known.groupBy("_pii_row").agg(F.array_sort(F.collect_list("one")).alias("_pii_all"))
+    ordered = ordered.withColumn("_pii_names", _aliases(F.col("_pii_all")))
     pieces = F.transform(F.split(text, ENTITY, -1), lambda gap, i: F.concat(
-        gap, F.coalesce(F.get("_pii_all", i)["replacement"], F.lit(""))))
+        _bare_replaced(gap, F.col("_pii_names")), F.coalesce(F.get("_pii_all", i)["replacement"], F.lit(""))))
     sizes = [x for k in KINDS for x in (F.lit(k), _count(k))]
     count = F.map_filter(F.create_map(*sizes), lambda _, n: n > 0)
     columns = docs.drop(into).columns

@@ -91,3 +91,27 @@ def test_full_formats_get_longer_replacements(spark, monkeypatch):
     ssn = spark.createDataFrame([("ssn", str(i)) for i in range(10)], "kind string, plain string")
     made = [r.surrogate for r in pii.surrogates(ssn, "s", longer=True).collect()]
     assert len(set(made)) == 10 and all(len(x) > 1 for x in made)
+
+
+def test_bare_mentions_of_a_name_go_with_it(spark):
+    texts = ["Mr. John Smith met Anna. Later Smith and John Smith said; SMITH's car, Smithson, smith. John-Paul",
+             "O'Neill came early. Mrs. Jane O'Neill's hat", "Smith and John without a form of address", "Mail John@x.example.org or Mr. John",
+             "Smith " * 3000 + "Mr. Smith", "Мария ушла. Госпожа Мария Петрова и Петрова"]
+    out = texts_of(spark, texts)
+    given, family = re.match(r"Mr\. (\w+) (\w+) met Anna", out[0]).groups()
+    assert out[0] == f"Mr. {given} {family} met Anna. Later {family} and {given} {family} said; {family.upper()}'s car, Smithson, smith. John-Paul"
+    m = re.fullmatch(r"(\w+) came early\. Mrs\. (\w+) (\w+)'s hat", out[1])
+    assert m and m[1] == m[3] and m[2].endswith("ria")
+    assert out[2] == texts[2]
+    assert "John" not in out[3].split()[-1] and out[4] == f"{family} " * 3000 + f"Mr. {family}"
+    m = re.fullmatch(r"(\w+) ушла\. Госпожа (\w+) (\w+) и (\w+)", out[5])
+    assert m and m[1] == m[2] != m[3] == m[4]
+
+
+def test_titles_in_a_row_and_without_gender(spark):
+    out = texts_of(spark, ["Dr. Jane Brown", "Mrs. Jane Brown", "Herr Prof. Dr. Hans Meier, Hans", "Prof. Kim Lee and Dr. Kim", "Dr. No. 5 Drive Doctor"])
+    assert out[0][4:] == out[1][5:] and out[0].startswith("Dr. ") and out[0].split()[1].endswith("ria")
+    m = re.fullmatch(r"Herr Prof\. Dr\. (\w+) (\w+), (\w+)", out[2])
+    assert m and m[1] == m[3] and m[1].endswith("ron") and not {"Hans", "Meier"} & set(m.groups())
+    m = re.fullmatch(r"Prof\. (\w+) (\w+) and Dr\. (\w+)", out[3])
+    assert m and m[1].endswith("lin")
