@@ -67,18 +67,21 @@ def op7_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Some copies have other bytes in a record, a wrong Content-Length, lack a byte in the
     middle (what is behind it moves), or end within the last record but one."""
-    placed = staged(warc.records(table(spark, sf_dir, "pages")), "placed")
+    placed = warc.records(table(spark, sf_dir, "pages"))
     sites = [scratch_path(spark, f"warc-{x}") for x in ("ours", "copies")]
     warc.write_warc(placed, sites[0])
-    head = F.octet_length(F.substring_index(F.col("record").cast("string"), warc.BREAK, 1))
-    digit = F.translate(F.substring(F.substring_index(F.col("record").cast("string"), warc.BREAK, 1), -1, 1), "0123456789", "9876543210")
-    known = placed.join(placed.groupBy("archive").agg(F.count("*").alias("n")), "archive")
+    head = F.substring_index(F.col("record").cast("string"), warc.BREAK, 1)
+    seen = warc.read_warc(spark, sites[0]).select(
+        "archive", "ordinal", "start", "length", F.octet_length(head).alias("head"), F.translate(F.substring(head, -1, 1), "0123456789", "9876543210").alias("digit"),
+        F.expr("substring(record, -1, 1) = X'3E'").alias("closed"))
+    known = staged(seen.join(placed.select("archive", "ordinal", "id"), ["archive", "ordinal"]), "known")
+    known = known.join(known.groupBy("archive").agg(F.count("*").alias("n")), "archive")
 
     def edit(hit: str, at: Column, drop: int, put: Column) -> DataFrame:
         return known.where(hit).select("archive", (F.col("start") + at).alias("at"), F.lit(drop).cast("long").alias("drop"), put.cast("binary").alias("put"))
 
-    edits = (edit("id % 101 = 7 and substring(record, -1, 1) = X'3E'", F.col("length") - 5, 1, F.lit("~"))
-             .unionAll(edit("id % 211 = 5", head - 1, 1, digit))
+    edits = (edit("id % 101 = 7 and closed", F.col("length") - 5, 1, F.lit("~"))
+             .unionAll(edit("id % 211 = 5", F.col("head") - 1, 1, F.col("digit")))
              .unionAll(edit("archive % 5 = 2 and ordinal = n div 2", F.lit(7), 1, F.lit("")))
              .unionAll(edit("archive % 3 = 1 and ordinal = greatest(n - 2, 0)", F.lit(20), 1 << 62, F.lit(""))))
     warc.copy_spliced(spark, *sites, edits)

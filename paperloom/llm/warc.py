@@ -9,6 +9,7 @@ a comparison follows the damage, not the archive.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -29,6 +30,9 @@ _BREAK = BREAK.encode()
 _NEXT = _BREAK + b"WARC/1."
 _LENGTH = re.compile(rb"\r\nContent-Length: (\d{1,18})$")
 _BATCH_BYTES = 8 << 20
+#: Files are archive-n.warc.gz; all places are those of the bytes before compression.
+FILE = r"^archive-\d+\.warc\.gz$"
+_GZIP = 31
 
 
 def records(
@@ -62,6 +66,36 @@ def records(
     return rows.join(placed, "row").select("archive", "ordinal", "id", "record", "start", "length")
 
 
+class _Compressed:
+    """A file that appears under its name when it is complete, gzip around what is written."""
+
+    def __init__(self, uri: str):
+        self.file, self.gzip = AtomicFile(uri), zlib.compressobj(wbits=_GZIP)
+
+    def write(self, data: bytes) -> None:
+        self.file.write(self.gzip.compress(data))
+
+    def publish(self) -> None:
+        self.file.write(self.gzip.flush())
+        self.file.publish()
+
+
+def _inflated(pieces: Iterable[bytes]) -> Iterator[bytes]:
+    """The bytes of a compressed file in pieces of bounded size, up to where it cannot be
+    decompressed any more."""
+    gzip = zlib.decompressobj(wbits=_GZIP)
+    for piece in pieces:
+        while piece:
+            try:
+                yield gzip.decompress(piece, _BATCH_BYTES)
+            except zlib.error:
+                return
+            piece = gzip.unconsumed_tail
+            if gzip.eof and gzip.unused_data:
+                piece, gzip = gzip.unused_data, zlib.decompressobj(wbits=_GZIP)
+    yield gzip.flush()
+
+
 def _writer(path: str):
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, file, written, done = None, None, 0, []
@@ -71,7 +105,7 @@ def _writer(path: str):
                     if file:
                         file.publish()
                         done.append((current, written))
-                    current, file, written = archive, AtomicFile(f"{path}/archive-{archive:010d}.warc"), 0
+                    current, file, written = archive, _Compressed(f"{path}/archive-{archive:010d}.warc.gz"), 0
                 file.write(record.as_py() + _BREAK)
                 written += len(record.as_py()) + len(_BREAK)
         if file:
@@ -82,7 +116,8 @@ def _writer(path: str):
 
 
 def write_warc(records_: DataFrame, path: str) -> DataFrame:
-    """Write one file archive-n.warc per archive below `path`; returns (archive, bytes).
+    """Write one file archive-n.warc.gz per archive below `path`; returns (archive, bytes),
+    the bytes before compression.
 
     A file appears under its name when it is complete, so a task that is repeated after a
     lost executor replaces it with the same bytes. Memory holds a batch of records.
@@ -141,7 +176,7 @@ def _reader(path: str):
         for batch in batches:
             for archive, name in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 rows, held = [], 0
-                for ordinal, (record, start, length) in enumerate(_split(read_from(f"{path}/{name}"))):
+                for ordinal, (record, start, length) in enumerate(_split(_inflated(read_from(f"{path}/{name}")))):
                     rows.append((archive, ordinal, record, start, length))
                     held += length
                     if held >= _BATCH_BYTES:
@@ -154,8 +189,9 @@ def _reader(path: str):
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """(archive, ordinal, record, start, length) of the bytes in a folder of WARC files, as
-    they are there: see `_split` for damaged ones. An empty file has no records."""
-    files = list_files(spark, {"": path}).where(F.col("path").rlike(r"^archive-\d+\.warc$"))
+    they are there: see `_split` for damaged ones. What cannot be decompressed ends its file,
+    so the records behind are missing. An empty file has no records."""
+    files = list_files(spark, {"": path}).where(F.col("path").rlike(FILE))
     spread = spread_by_bytes(files, "file_size", ["path"])
     named = spread.select(F.regexp_extract("path", r"(\d+)", 1).cast("long").alias("archive"), "path")
     return named.mapInArrow(_reader(path.rstrip("/")), "archive long, ordinal long, record binary, start long, length long")
@@ -165,9 +201,9 @@ def _splicer(source: str, target: str):
     def splice(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, edits in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                file, at, pending = AtomicFile(f"{target}/{name}"), 0, [(e["at"], e["drop"], e["put"]) for e in edits or []]
+                file, at, pending = _Compressed(f"{target}/{name}"), 0, [(e["at"], e["drop"], e["put"]) for e in edits or []]
                 skip = 0
-                for piece in read_from(f"{source}/{name}"):
+                for piece in _inflated(read_from(f"{source}/{name}")):
                     begin, stop = 0, len(piece)
                     while True:
                         gone = min(skip, stop - begin)
@@ -190,7 +226,7 @@ def copy_spliced(spark: SparkSession, source: str, target: str, edits: DataFrame
     """Copy the archives of a folder with `edits` (archive, at, drop, put): `drop` bytes at
     the place `at` go and the bytes `put` come there. Edits within what an earlier one
     dropped do nothing. Returns the (path) of each copy; without edits a copy is exact."""
-    files = list_files(spark, {"": source}).where(F.col("path").rlike(r"^archive-\d+\.warc$"))
+    files = list_files(spark, {"": source}).where(F.col("path").rlike(FILE))
     listed = edits.groupBy("archive").agg(F.array_sort(F.collect_list(F.struct("at", "drop", "put"))).alias("edits"))
     named = files.withColumn("archive", F.regexp_extract("path", r"(\d+)", 1).cast("long")).join(listed, "archive", "left")
     return staged(spread_by_bytes(named, "file_size", ["path"]).select("path", "edits").mapInArrow(

@@ -1,3 +1,4 @@
+import gzip
 import random
 
 from pyspark.sql import functions as F
@@ -22,10 +23,10 @@ def test_files_read_back_as_they_were_placed(spark, tmp_path):
     back = warc.read_warc(spark, str(tmp_path / "w"))
     assert sorted(map(plain, made.collect())) == sorted(map(plain, back.collect())) and made.count() == 93
     assert warc.audit(made, back).count() == 0
-    files = sorted((tmp_path / "w").glob("*.warc"))
-    assert [f.stat().st_size for f in files] == [r.bytes for r in done.orderBy("archive").collect()] and len(files) == 3
+    files = sorted((tmp_path / "w").glob("*.warc.gz"))
+    assert [len(gzip.decompress(f.read_bytes())) for f in files] == [r.bytes for r in done.orderBy("archive").collect()] and len(files) == 3
     for r in made.collect():
-        data = files[r.archive].read_bytes()
+        data = gzip.decompress(files[r.archive].read_bytes())
         assert data[r.start:r.start + r.length] == bytes(r.record) + b"\r\n\r\n"
 
 
@@ -39,7 +40,7 @@ def test_archives_are_of_one_size_whatever_the_ids(spark):
 def test_pieces_of_any_size_give_the_same_records(spark, tmp_path):
     made = warc.records(pages(spark), per_archive=1000)
     warc.write_warc(made, str(tmp_path / "w"))
-    data = next((tmp_path / "w").glob("*.warc")).read_bytes()
+    data = gzip.decompress(next((tmp_path / "w").glob("*.warc.gz")).read_bytes())
     whole = list(warc._split([data]))
     for size in (1, 3, 64, 1000):
         assert list(warc._split(data[i:i + size] for i in range(0, len(data), size))) == whole
@@ -60,10 +61,18 @@ def test_damage_on_disk_is_located(spark, tmp_path):
     edits = [(0, body, 1, b"\xfe"), (1, size, 2, b"99999999999999999"), (1, at[1, 9][0] + 7, 1, b""), (2, at[2, 28][0] + 20, 1 << 62, b""),
              (2, at[2, 29][0], 1, b"x")]
     warc.copy_spliced(spark, ours, copies, spark.createDataFrame([(a, b, c, bytearray(d)) for a, b, c, d in edits], "archive long, at long, drop long, put binary"))
-    (tmp_path / "b" / "archive-0000000003.warc").unlink()
-    read = warc.read_warc(spark, copies)
+    (tmp_path / "b" / "archive-0000000003.warc.gz").unlink()
+    read, kept = warc.read_warc(spark, copies), (tmp_path / "b" / "archive-0000000000.warc.gz").read_bytes()
     found = {(r.archive, r.ordinal): r.fault for r in warc.audit(warc.read_warc(spark, ours), read).collect()}
     want = {(0, 3): "changed", (1, 4): "changed", (1, 9): "changed", (2, 28): "changed", (2, 29): "missing"}
+    broken = tmp_path / "b" / "archive-0000000000.warc.gz"
+    broken.write_bytes(kept[:len(kept) // 2])
+    cut = {(r.archive, r.ordinal): r.fault for r in warc.audit(warc.read_warc(spark, ours), warc.read_warc(spark, copies)).where("archive = 0").collect()}
+    lost = {k for k, v in cut.items() if v == "missing"}
+    assert lost == {(0, i) for i in range(30 - len(lost), 30)} and 0 < len(lost) < 30 and len(cut) <= len(lost) + 2
+    broken.write_bytes(b"")
+    assert warc.read_warc(spark, copies).where("archive = 0").count() == 0
+    broken.write_bytes(kept)
     want |= {(1, i): "moved" for i in [*range(5, 9), *range(10, 30)]} | {(3, i): "missing" for i in range(30)}
     assert found == want
     assert {(r.archive, r.ordinal): r.fault for r in warc.audit(read, made).collect()}[3, 0] == "surplus"
@@ -77,10 +86,12 @@ def test_splices_are_exact_at_the_borders_of_pieces(spark, tmp_path, monkeypatch
     kind = pa.list_(pa.struct([("at", pa.int64()), ("drop", pa.int64()), ("put", pa.binary())]))
     batch = pa.record_batch([pa.array(["f"]), pa.array([[{"at": a, "drop": d, "put": p} for a, d, p in edits]], kind)], ["path", "edits"])
     want = data[2:10] + b"new" + data[10:15] + data[19:2990] + b"end"
+    packed = gzip.compress(data[:1000]) + gzip.compress(data[1000:])
     for size in (1, 7, 4096):
-        monkeypatch.setattr(warc, "read_from", lambda uri: (data[i:i + size] for i in range(0, len(data), size)))
+        monkeypatch.setattr(warc, "_BATCH_BYTES", size)
+        monkeypatch.setattr(warc, "read_from", lambda uri: (packed[i:i + size] for i in range(0, len(packed), size)))
         list(warc._splicer(str(tmp_path / "a"), str(tmp_path / f"b{size}"))([batch]))
-        assert (tmp_path / f"b{size}" / "f").read_bytes() == want
+        assert gzip.decompress((tmp_path / f"b{size}" / "f").read_bytes()) == want
 
 
 def test_only_differing_branches_are_read(spark):
