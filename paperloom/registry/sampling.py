@@ -83,12 +83,12 @@ def select_positions(spark, sf):
     return O.select_positions(rows, [0, 10, 20])
 
 
-@query(
-    "batch_numbers",
-    f"""WITH {RUNNING_SQL} SELECT source, CAST(pos // 20 AS BIGINT) AS batch,
+BATCHES_SQL = f"""WITH {RUNNING_SQL} SELECT source, CAST(pos // 20 AS BIGINT) AS batch,
       CAST(count(*) AS BIGINT) AS files, CAST(sum(file_size) AS BIGINT) AS bytes
-    FROM running GROUP BY source, pos // 20""",
-)
+    FROM running GROUP BY source, pos // 20"""
+
+
+@query("batch_numbers", BATCHES_SQL)
 def batches(spark, sf):
     rows = _rows(spark, sf).select("source", "path", "chunk_index", "file_size")
     return O.batch_numbers(rows, 20).groupBy("source", "batch").agg(
@@ -96,8 +96,19 @@ def batches(spark, sf):
     )
 
 
+@query("batch_process", BATCHES_SQL)
+def batch_process_numbered(spark, sf):
+    """Numbered rows handed to a function in batches; what it returns is summed by number."""
+    def measure(rows):
+        return rows[["source", "batch"]].assign(files=1, bytes=rows["file_size"])
+
+    rows = _rows(spark, sf).select("source", "path", "chunk_index", "file_size")
+    found = batch_process(O.batch_numbers(rows, 20), measure, "source string, batch bigint, files bigint, bytes bigint")
+    return found.groupBy("source", "batch").agg(F.sum("files").alias("files"), F.sum("bytes").alias("bytes"))
+
+
 @query(
-    "batch_process",
+    "batch_sizes",
     f"""WITH {B.ARCHIVE_SQL} SELECT source, CAST(count(*) AS BIGINT) AS rows, CAST(sum(nbytes) AS BIGINT) AS bytes, true AS within_size
     FROM archive GROUP BY source""",
 )

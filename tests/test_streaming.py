@@ -5,6 +5,7 @@ import time
 
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from paperloom.operators.manifest import dedupe_manifest
 from paperloom.schema import MANIFEST
 from paperloom.sources.archive import attach_content, plan_rows
@@ -105,3 +106,14 @@ def test_batches_have_the_asked_size(spark):
     sizes = [r.n for r in batch_process(df, describe, "n bigint", 100).collect()]
     assert sum(sizes) == 1050 and sorted(set(sizes)) == [62, 63, 100]
     assert df.select(F.count("*")).first()[0] == 1050
+
+
+def test_batch_process_query_has_every_batch(spark, tmp_path):
+    """A row per source and 20 numbered rows, not one per source."""
+    rows = [(i, "x" * (i + 1), "en", "ab"[i % 3 // 2], i + 1) for i in range(90)] + [(90, None, "en", "a", None)]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "documents.parquet"))
+    found = entry.queries()["batch_process"](spark, str(tmp_path)).collect()
+    assert {(r.source, r.batch): r.files for r in found} == {
+        **{("a", k): 20 for k in range(3)}, ("a", 3): 1, ("b", 0): 20, ("b", 1): 10}
+    assert sum(r.bytes or 0 for r in found) == sum(range(1, 91))
