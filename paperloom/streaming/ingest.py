@@ -16,6 +16,8 @@ from paperloom.sources.listing import FOUND, to_batch, walker
 
 FORMAT = "paperloom_folder"
 ENTRIES_FIRST = 20_000
+#: Rows of a batch of Arrow, and rows of a manifest that a task holds before it combines them.
+BATCH_ROWS, HELD_ROWS = 10_000, 200_000
 
 
 class FolderReader(DataSourceStreamReader):
@@ -65,17 +67,33 @@ def stream_files(spark: SparkSession, source: str, root: str) -> DataFrame:
     return listed.select(FILES.fieldNames()).dropDuplicates(["source", "path"])
 
 
-def _first_of_each(keys: list[str]):
-    """Keep the row with the least `ord` of each pair in a batch, before they are shuffled."""
+def _first_of_each(keys: list[str], held_rows: int = 0):
+    """Keep the row with the least `ord` of each pair: of each batch of input, or with
+    `held_rows` of a task's whole input, where so many rows are held before they are combined."""
+    def least(table: pa.Table) -> pa.Table:
+        at = table.append_column("_at", pa.array(range(len(table)), pa.int64())).sort_by("ord")
+        first = at.group_by(keys, use_threads=False).aggregate([("_at", "first")])
+        return table.take(first.column("_at_first").sort().combine_chunks())
+
     def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not held_rows:
+            for batch in batches:
+                yield from least(pa.Table.from_batches([batch])).combine_chunks().to_batches()
+            return
+        held, size, limit = [], 0, held_rows
         for batch in batches:
-            table = pa.Table.from_batches([batch]).append_column("_at", pa.array(range(len(batch)), pa.int64())).sort_by("ord")
-            first = table.group_by(keys, use_threads=False).aggregate([("_at", "first")])
-            yield batch.take(first.column("_at_first").sort().combine_chunks())
+            held.append(pa.Table.from_batches([batch]))
+            size += len(batch)
+            if size > limit:
+                held = [least(pa.concat_tables(held))]
+                size = len(held[0])
+                limit = max(held_rows, 2 * size)
+        if held:
+            yield from least(pa.concat_tables(held)).combine_chunks().to_batches(max_chunksize=BATCH_ROWS)
     return combine
 
 
-def _survivor(fields: list[str], keep_ms: int | None):
+def _survivor(fields: list[str], keep_ms: int):
     """The row with the least `ord` of a pair that was not seen yet; state is its `ord`."""
     def first(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
@@ -90,8 +108,7 @@ def _survivor(fields: list[str], keep_ms: int | None):
         if not state.exists:
             state.update((best,))
             yield row[fields]
-        if keep_ms is not None:
-            state.setTimeoutDuration(keep_ms)
+        state.setTimeoutDuration(keep_ms)
     return first
 
 
@@ -102,16 +119,22 @@ def stream_dedupe(manifest: DataFrame, keep_days: float | None = None) -> DataFr
     A manifest grows at its end: what comes in a later batch has a greater `ord`, so the
     rows kept are those that `dedupe_manifest` keeps of the whole. Repeats are combined
     within each batch of input, so a pair making up a third of the stream does not flood
-    the task that keeps its state. State is one number per pair. It grows with the pairs,
-    or with `keep_days` holds those that came up within that time: a pair that stays away
-    for longer counts as new. Such a query looks for pairs that ran out in every trigger, so
-    give it an interval; `availableNow` would not end before they all have.
+    the task that keeps its state. State is the pairs. It grows with them, or with `keep_days`
+    holds those that came up within that time, called in Python pair by pair: a pair that
+    stays away for longer counts as new. Such a query looks for pairs that ran out in every
+    trigger, so give it an interval; `availableNow` would not end before they all have.
+
+    Without `keep_days` the rows of a trigger are combined once more by pair, so that one row
+    of each meets the state; a task holds one row per pair of its part of the trigger.
     """
     keys = [*(["source"] if "source" in manifest.columns else []), "path", "md5"]
     fields = manifest.columns
     keyed = manifest.where("md5 is not null").mapInArrow(_first_of_each(keys), manifest.schema)
-    keep_ms = None if keep_days is None else max(1, int(keep_days * 86_400_000))
-    timeout = GroupStateTimeout.NoTimeout if keep_ms is None else GroupStateTimeout.ProcessingTimeTimeout
+    unkeyed = manifest.where("md5 is null")
+    if keep_days is None:
+        firsts = keyed.repartition(*keys).mapInArrow(_first_of_each(keys, HELD_ROWS), manifest.schema)
+        return firsts.dropDuplicates(keys).unionAll(unkeyed)
+    keep_ms = max(1, int(keep_days * 86_400_000))
     kept = keyed.groupBy(*keys).applyInPandasWithState(
-        _survivor(fields, keep_ms), manifest.schema, "ord bigint", "append", timeout)
-    return kept.unionAll(manifest.where("md5 is null"))
+        _survivor(fields, keep_ms), manifest.schema, "ord bigint", "append", GroupStateTimeout.ProcessingTimeTimeout)
+    return kept.unionAll(unkeyed)

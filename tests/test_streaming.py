@@ -3,6 +3,7 @@
 import random
 import time
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
@@ -10,7 +11,7 @@ from paperloom.operators.manifest import dedupe_manifest
 from paperloom.schema import MANIFEST
 from paperloom.sources.archive import attach_content, plan_rows
 from paperloom.streaming.batches import batch_process
-from paperloom.streaming.ingest import stream_dedupe, stream_files
+from paperloom.streaming.ingest import _first_of_each, stream_dedupe, stream_files
 
 
 def run(stream, out, checkpoint):
@@ -117,3 +118,18 @@ def test_batch_process_query_has_every_batch(spark, tmp_path):
     assert {(r.source, r.batch): r.files for r in found} == {
         **{("a", k): 20 for k in range(3)}, ("a", 3): 1, ("b", 0): 20, ("b", 1): 10}
     assert sum(r.bytes or 0 for r in found) == sum(range(1, 91))
+
+
+def test_dedupe_calls_no_python_per_pair(spark, tmp_path):
+    """Pairs are remembered by Spark itself; rows of a pair that lie in several tasks and in
+    several batches of a task give the one with the least `ord`."""
+    spark.createDataFrame([], MANIFEST).write.parquet(str(tmp_path / "in"))
+    plan = stream_dedupe(spark.readStream.schema(MANIFEST).parquet(str(tmp_path / "in")))._jdf.queryExecution().logical().toString()
+    assert "Deduplicate" in plan and "PandasWithState" not in plan
+    rows = [(i * 7 % 300, "i", f"p{i % 11}", "m", 1) for i in range(300)]
+    batches = pa.Table.from_pylist([dict(zip(MANIFEST.fieldNames(), r)) for r in rows]).to_batches(max_chunksize=7)
+    kept = pa.Table.from_batches(_first_of_each(["path", "md5"], 20)(iter(batches)))
+    least = {}
+    for r in rows:
+        least[r[2]] = min(least.get(r[2], 300), r[0])
+    assert dict(zip(kept["path"].to_pylist(), kept["ord"].to_pylist())) == least and len(kept) == 11
