@@ -115,8 +115,10 @@ def _block_entries(steps: DataFrame, top_block: int) -> DataFrame:
     """(source, block, opened, closed): the state in which each block is entered."""
     levels = [steps]
     parent = F.floor(F.col("block") / F.lit(FAN_IN)).cast("bigint").alias("parent")
+    # Steps are few bytes and much work: without a number adaptive execution gives all to one task.
+    tasks = steps.sparkSession.sparkContext.defaultParallelism
     while top_block >= FAN_IN:
-        grouped = levels[-1].select("*", parent).groupBy("source", "parent")
+        grouped = levels[-1].select("*", parent).repartition(tasks, "source", "parent").groupBy("source", "parent")
         levels.append(stage(grouped.applyInPandas(_compose, _STEPS)))
         top_block //= FAN_IN
     zero = F.lit(0).cast("bigint")

@@ -15,6 +15,7 @@ from paperloom.schema import ARCHIVE, LARGE_FILES
 from paperloom.sources.commits import committed, shards, versions
 from paperloom.sources.content import attach_content, spread_by_bytes
 from paperloom.sources.listing import list_files
+from paperloom.sources.storage import list_dir
 
 # Row sizes that suit rows passing through the JVM; the shard writer reads bytes
 # itself and keeps the larger fixed values.
@@ -114,13 +115,27 @@ def scan_shards(
     if not partitioned:  # no name of a folder is a partition
         return reader.option("recursiveFileLookup", True).parquet(*[p for paths in folders.values() for p in paths]).select(ARCHIVE.fieldNames())
     parts = [
-        spark.read.schema(ARCHIVE).option("basePath", f"{root}/{folder}").parquet(*paths).select(ARCHIVE.fieldNames())
+        spark.read.schema(ARCHIVE).option("basePath", f"{root}/{folder}").parquet(*_as_folders(paths)).select(ARCHIVE.fieldNames())
         for folder, paths in folders.items()
     ]
     rows = reduce(DataFrame.unionAll, parts)
     return rows if source is None else rows.where(F.col("source") == source)
 
 
+def _as_folders(paths: list[str]) -> list[str]:
+    """The folders of shards instead of the shards, where a folder holds nothing else: Spark
+    looks for every path it is given, and lists each in a task of its own."""
+    names: dict[str, set[str]] = {}
+    for path in paths:
+        parent, _, name = path.rpartition("/")
+        names.setdefault(parent, set()).add(name)
+    found = []
+    for parent, wanted in names.items():
+        there = {e.name for e in list_dir(parent) if not e.name.startswith(("_", "."))}
+        found += [parent] if there == wanted else [f"{parent}/{name}" for name in sorted(wanted)]
+    return found
+
+
 def _scan_folders(reader: DataFrameReader, root: str, partitioned: bool, source: str | None) -> DataFrame:
     if not partitioned and source is not None:
         return reader.parquet(f"{root}/{source}")

@@ -315,7 +315,8 @@ def archive_write(
     else:
         known = []
     begin(out)
-    plan = stage(assign_shards(row_bytes(rows), max_shard_bytes))
+    # Sizes are sampled before they are sorted; rows that are made on the way are made once for both.
+    plan = stage(assign_shards(stage(row_bytes(rows)), max_shard_bytes))
     located = all(name in rows.columns for name in LOCATION)
     whole = {"chunk_index": F.coalesce("chunk_index", F.lit(0)), "total_chunks": F.coalesce("total_chunks", F.lit(1))}
     payload = [c for c in ARCHIVE.fieldNames() if c != "content"]

@@ -125,3 +125,29 @@ def test_names_with_spaces_and_letters(spark, tmp_path):
     assert [r.path for r in archive.subset_scan(spark, str(tmp_path / "out"), "é+x%=y").collect()] == ["f000.txt", "f001.txt"]
     filter_archive(spark, str(tmp_path / "out"), ["f001"])
     assert {(s, p) for s, p, _ in read(spark, tmp_path / "out")} == {("a b", "f000.txt"), ("é+x%=y", "f000.txt")}
+
+
+def test_a_folder_of_shards_is_one_path(spark, tmp_path):
+    """Spark is given folders, unless a folder holds what the log does not name."""
+    out = tmp_path / "out"
+    archive_write(rows(spark, 6), str(out), 20)
+    before = read(spark, out)
+    paths = [f"{out}/{p}" for p in commits.committed(str(out)).column("path").to_pylist()]
+    assert len(paths) == 6 and sorted(archive._as_folders(paths)) == [f"{out}/source={s}" for s in "ab"]
+    shard = next((out / "source=a").glob("*.parquet"))
+    (out / "source=a" / "left.parquet").write_bytes(shard.read_bytes())
+    assert sorted(archive._as_folders(paths)) == sorted([*[p for p in paths if "source=a" in p], f"{out}/source=b"])
+    assert read(spark, out) == before
+
+
+def test_rows_are_made_once_to_be_planned(spark, tmp_path):
+    """Once for sizes of whole files, once for those of chunks, and once to be written."""
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            made.add(len(batch))
+            yield batch
+
+    archive_write(rows(spark, 30).mapInArrow(count, ARCHIVE), str(tmp_path / "out"), 20)
+    assert made.value == 3 * 60
