@@ -4,6 +4,7 @@ import random
 from pyspark.sql import functions as F
 
 from paperloom.llm import warc
+from paperloom.llm.staging import staged
 
 SCHEMA = "page_id long, url string, html string, archive int"
 
@@ -104,3 +105,21 @@ def test_empty_table(spark):
     none = warc.records(spark.createDataFrame([], SCHEMA))
     assert none.count() == 0 and warc.audit(none, none).count() == 0
     assert {r.fault for r in warc.audit(warc.records(pages(spark)), none).collect()} == {"missing"}
+
+
+def test_records_move_once_to_their_file(spark, tmp_path, monkeypatch):
+    """Between the staged records and the files there is one exchange with content."""
+    plans = []
+    monkeypatch.setattr(warc, "staged", lambda df, label: plans.append((label, df)) or staged(df, label))
+    warc.write_warc(warc.records(pages(spark), per_archive=31), str(tmp_path / "w"))
+    plan = dict(plans)["written"]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
+def test_runs_of_archives_share_a_first_key(spark, tmp_path, monkeypatch):
+    made = sorted(map(plain, warc.records(pages(spark), per_archive=10).collect()))
+    monkeypatch.setattr(warc, "MAX_RANGES", 3)
+    few = warc.records(pages(spark), per_archive=10)
+    assert sorted(map(plain, few.collect())) == made and {m[0] for m in made} == set(range(10))
+    warc.write_warc(few, str(tmp_path / "w"))
+    assert sorted(map(plain, warc.read_warc(spark, str(tmp_path / "w")).collect())) == made
