@@ -328,9 +328,24 @@ def fit(texts: DataFrame, text_col: str = "text") -> Model:
     return Model(totals, staged(table, "model"), back, unknown)
 
 
+def _logs(back: np.ndarray):
+    """Per word: log10 of its probability in every context."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not len(batch):
+                continue
+            contexts = batch.column("contexts")
+            p = batch.column("root").flatten().to_numpy().reshape(-1, SAMPLES) @ back.T / SAMPLES
+            p[np.repeat(np.arange(len(batch)), np.diff(contexts.offsets.to_numpy())), contexts.flatten().to_numpy()] = batch.column("seen").flatten().to_numpy()
+            logs = _lists(np.arange(len(batch) + 1) * CLASSES, np.log10(p).astype(np.float32).ravel())
+            yield pa.record_batch([batch.column("word"), batch.column("c"), logs], ["word", "c", "logs"])
+    return run
+
+
 def _frequent(model: Model) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
     """(least count, words, counts, log10 probabilities in every context) of the words above
-    a count that at most FREQUENT words reach, sorted by word."""
+    a count that at most FREQUENT words reach, sorted by word. The driver gets the
+    logarithms as tasks made them, and holds them twice while it sorts them."""
     bucket = F.expr("cast(floor(log2(c) * 16) as int)")
     sizes = sorted(((r["b"], r["least"], r["most"], r["n"]) for r in model.words.groupBy(bucket.alias("b")).agg(
         F.min("c").alias("least"), F.max("c").alias("most"), F.count(F.lit(1)).alias("n")).collect()), reverse=True)
@@ -342,15 +357,17 @@ def _frequent(model: Model) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
         least = low
     if least is None:
         least = sizes[0][2] + 1 if sizes else 1
-    rows = model.words.where(F.col("c") >= least).toArrow().combine_chunks().sort_by("word")
-    if not len(rows):
-        return least, np.empty(0, np.int64), np.empty(0, np.int64), np.empty((0, CLASSES), np.float32)
-    one = rows.to_batches()[0]
-    root = one.column("root").flatten().to_numpy().reshape(-1, SAMPLES)
-    p = root @ model.back.T / SAMPLES
-    contexts = one.column("contexts")
-    p[np.repeat(np.arange(len(one)), np.diff(contexts.offsets.to_numpy())), contexts.flatten().to_numpy()] = one.column("seen").flatten().to_numpy()
-    return least, one.column("word").to_numpy(), one.column("c").to_numpy(), np.log10(p).astype(np.float32)
+    rows = model.words.where(F.col("c") >= least).mapInArrow(_logs(model.back), "word long, c long, logs array<float>").toArrow()
+    word = rows.column("word").to_numpy()
+    order = np.argsort(word)
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    logs = np.empty((len(order), CLASSES), np.float32)
+    at = 0
+    for part in rows.column("logs").chunks:
+        logs[place[at:at + len(part)]] = part.flatten().to_numpy().reshape(-1, CLASSES)
+        at += len(part)
+    return least, word[order], rows.column("c").to_numpy()[order], logs
 
 
 SCORED = "doc_id long, n_tokens long, n_known long, base double, score double, rest array<struct<key: long, n: int>>"

@@ -1,4 +1,5 @@
 import math
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -144,6 +145,23 @@ def test_entries_of_one_word_follow_their_joint_posterior():
         assert abs(seating.tables[k::2].mean() - mean) < 0.06
 
 
+def test_the_driver_holds_little_more_than_the_frequent_words(spark):
+    texts = [(i, " ".join(f"w{(i * 400 + k) % 20_000} {chr(97 + k % 26)}" for k in range(400)), 1, "") for i in range(100)]
+    model = lm.fit(spark.createDataFrame(texts, SCHEMA))
+    tracemalloc.start()
+    _, known, counts, logs = lm._frequent(model)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(known) == model.totals.v > 20_000 and (np.diff(known) > 0).all()
+    assert peak < logs.nbytes * 3
+    words = {r.word: r for r in model.words.collect()}
+    for at in range(0, len(known), 997):
+        r = words[known[at]]
+        p = model.back @ np.array(r.root) / lm.SAMPLES
+        p[r.contexts] = r.seen
+        assert counts[at] == r.c and np.allclose(logs[at], np.log10(p))
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], SCHEMA)
     model = lm.fit(none)
