@@ -175,3 +175,65 @@ def test_word_hashes_tell_words_apart():
     text = " ".join(f"{a}{b}" for a in "abcdefghij" for b in range(5000))
     hashes = np.concatenate([w.hashes for w in words(pa.array([text, None, text]), CLASS)])
     assert len(np.unique(hashes & np.uint64(2**64 - 32))) == 50_000 and len(hashes) == 100_000
+
+
+def test_every_word_before_has_a_restaurant_of_its_own(spark):
+    """Words that end alike share a class, not what follows them."""
+    texts = [(i, "xab cd " * 20 + "yab gh " * 20, 1, "") for i in range(40)] + [(99, "xab cd", 1, ""), (98, "xab gh", 1, "")]
+    rows = spark.createDataFrame(texts, SCHEMA)
+    got = {r.doc_id: r.score for r in lm.score(rows, lm.fit(rows)).collect()}
+    assert got[99] > got[98] + 0.5
+
+
+def tokens_of(texts, short):
+    import pyarrow as pa
+    for w in words(pa.array(texts, pa.string()), CLASS):
+        word, first = lm._tokens(w)
+        word = short.short(word)
+        before = lm._before(word, first)
+        for i, j in zip(first[:-1], first[1:]):
+            yield list(zip(before[i:j].tolist(), word[i:j].tolist()))
+
+
+@pytest.mark.parametrize("fitted, scored", [(1 << 18, 1 << 18), (300, 20), (0, 50)])
+def test_pairs_and_scores_equal_a_plain_version(spark, docs, monkeypatch, fitted, scored):
+    monkeypatch.setattr(lm, "FREQUENT", fitted)
+    monkeypatch.setattr(lm, "PAIRS", 5_000)
+    rows = spark.createDataFrame(docs, SCHEMA)
+    model = lm.fit(rows.where("doc_id % 7 <> 2"))
+    assert len(model.short.words) <= fitted
+    trained = Counter(x for t in tokens_of([t for d, t, *_ in docs if d is not None and d % 7 != 2], model.short) for x in t)
+    value = {(b, r.word): 1 - model.discount for r in model.dishes.collect() for b in r.singles}
+    more = [(b, r.word, n, t) for r in model.settled.collect() for b, n, t in zip(r.befores, r.ns, r.tables)]
+    assert len({x[:2] for x in more}) == len(more)
+    value |= {(b, w): n - model.discount * t for b, w, n, t in more}
+    assert set(value) == set(trained) and all(trained[b, w] == n for b, w, n, _ in more)
+    customers, left = Counter(), Counter()
+    for (before, word), n in trained.items():
+        assert n == 1 or 1 - 1e-3 <= (n - value[before, word]) / model.discount <= n + 1e-3
+        customers[before] += n
+        left[before] += value[before, word]
+    for b, c in customers.items():  # what pairs leave goes to the class
+        if b < len(model.tables) and b >= 0:
+            assert model.short.customers[b] == c
+            assert math.isclose(left[b], c - model.discount * model.tables[b], rel_tol=1e-4, abs_tol=1e-4)
+    classes = {r.word: r for r in model.words.collect()}
+    unseen = model.back @ model.unknown / lm.SAMPLES
+
+    def p(before, word):
+        kind = int(model.short.of(np.array([before]))[0])
+        r, parent = classes.get(word), unseen[kind]
+        if r is not None:
+            parent = r.seen[r.contexts.index(kind)] if kind in r.contexts else model.back[kind] @ np.array(r.root) / lm.SAMPLES
+        own = value.get((before, word), 0)
+        return (own + (lm.CONCENTRATION + customers[before] - left[before]) * parent) / (lm.CONCENTRATION + customers[before])
+
+    monkeypatch.setattr(lm, "FREQUENT", scored)
+    want = sorted(sum(math.log10(p(*x)) for x in t) for t in tokens_of([t for _, t, *_ in docs], model.short))
+    assert np.allclose(sorted(r.score for r in lm.score(rows, model).collect()), want, rtol=1e-5)
+
+
+def test_packed_numbers_come_back():
+    for kind in (np.int64, np.uint32, np.float32):
+        x = np.array([0, 1, 7, 2**31 - 1, 5], kind)
+        assert (lm._unpacked(lm._packed(x), 5, kind) == x).all()
