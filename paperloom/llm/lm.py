@@ -26,8 +26,9 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paperloom.llm.staging import staged
+from paperloom.llm.staging import dropped, shuffles_freed, staged, staged_at
 from paperloom.llm.words import BASE, SPACED, U, Words, mix, words
+from paperloom.plans.staging import scratch_path
 
 #: Classes of contexts: of the last two bytes of the word before. The first one is the start of a text.
 CLASSES = 32
@@ -613,9 +614,11 @@ def _least(counts: DataFrame) -> int:
 
 def _shortened(texts: DataFrame) -> Short:
     """Short numbers of frequent words, the most frequent ones first."""
-    counts = staged(texts.mapInArrow(_count, "word long, n long").groupBy("word").agg(F.sum("n").alias("c")), "vocabulary")
+    place = scratch_path(texts.sparkSession, "vocabulary")
+    counts = staged_at(texts.mapInArrow(_count, "word long, n long").groupBy("word").agg(F.sum("n").alias("c")), place)
     ends = counts.where(F.col("word") == END).first()
     rows = counts.where(F.col("c") >= _least(counts)).toArrow()
+    dropped(place)
     word, c = rows.column("word").to_numpy(), rows.column("c").to_numpy()
     numbers = np.empty(len(word), np.int64)
     numbers[np.lexsort((word, -c))] = np.arange(1, len(word) + 1)
@@ -640,20 +643,26 @@ def _settle(texts: DataFrame) -> tuple[DataFrame, DataFrame, np.ndarray, Short,
     buckets = 16 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     counted = texts.mapInArrow(_count_pairs(shared, buckets), COUNTED)
     dishes = staged(counted.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_dishes(shared), DISHES), "dishes")
+    shared.destroy()
     guests = F.size("singles") + F.size("befores")
     seen = dishes.agg(F.sum(F.size("singles")), F.sum(F.size(F.filter("ns", lambda n: n == 2))), F.count_if(guests == 1), F.count_if(guests == 2)).first()
     discount, above = _discount(seen[0] or 0, seen[1] or 0), _discount(seen[2], seen[3])
     totals = dishes.mapInArrow(_rare_tables, "before long, tables long").groupBy("before").agg(F.sum("tables").alias("tables"))
     several = dishes.mapInArrow(_rare_entries, "word long, class int, before long, n long, guests long").join(totals, "before")
-    rare = staged(several.select("word", "class", "before", "n", "guests", "tables").repartition("word", "class").mapInArrow(_rare_dishes, RARE), "rare")
+    place = scratch_path(spark, "rare")
+    rare = staged_at(several.select("word", "class", "before", "n", "guests", "tables").repartition("word", "class").mapInArrow(_rare_dishes, RARE), place)
 
-    def run(frequent: np.ndarray, customers: np.ndarray, samples: int) -> DataFrame:
-        state = spark.sparkContext.broadcast((frequent, customers, discount, above))
+    def run(state: Broadcast, samples: int) -> DataFrame:
         return dishes.mapInArrow(_settled(state, samples, False), SETTLED).unionAll(rare.mapInArrow(_settled(state, samples, True), SETTLED))
 
     of_dishes, customers = _totals(dishes, len(short.classes))
-    more, customers = _totals(run(of_dishes, customers, 1), len(short.classes))
-    settled = staged(run(of_dishes + more, customers, SAMPLES), "settled")
+    state = spark.sparkContext.broadcast((of_dishes, customers, discount, above))
+    more, customers = _totals(run(state, 1), len(short.classes))
+    state.destroy()
+    state = spark.sparkContext.broadcast((of_dishes + more, customers, discount, above))
+    settled = staged(run(state, SAMPLES), "settled")
+    state.destroy()
+    dropped(place)
     return dishes, settled, of_dishes + _totals(settled, len(short.classes))[0], short, discount
 
 
@@ -663,11 +672,18 @@ def fit(texts: DataFrame, text_col: str = "text") -> Model:
     Tokens are words (split at ASCII white space, A-Z count as a-z) and one end per text.
     Null and empty texts are an end alone. No rows give a model where every word is unknown.
     Counts and seatings cover every token; the driver holds the totals of CLASSES classes and
-    of FREQUENT words.
+    of FREQUENT words. Shuffle files and tables that only a step needs go with the step.
     """
-    context = texts.sparkSession.sparkContext
-    dishes_of, settled, tables, short, discount = _settle(texts.select(text_col))
-    gathered = staged(settled.select("word", "class", "c", "customers").repartition("word").mapInArrow(_gather, WORDS), "words")
+    with shuffles_freed(texts.sparkSession):
+        return _fit(texts.select(text_col))
+
+
+def _fit(texts: DataFrame) -> Model:
+    spark = texts.sparkSession
+    context = spark.sparkContext
+    dishes_of, settled, tables, short, discount = _settle(texts)
+    places = [scratch_path(spark, x) for x in ("words", "seated")]
+    gathered = staged_at(settled.select("word", "class", "c", "customers").repartition("word").mapInArrow(_gather, WORDS), places[0])
     entry = gathered.select("c", F.inline(F.arrays_zip("contexts", "counts")))
     rows = entry.groupBy("contexts").agg(
         F.sum("counts").alias("n"), F.count(F.lit(1)).alias("dishes"), F.count_if(F.col("counts") == 1).alias("once"),
@@ -683,7 +699,7 @@ def fit(texts: DataFrame, text_col: str = "text") -> Model:
     schema = WORDS + ", tables array<long>, served array<long>"
     first = gathered.mapInArrow(_seated(context.broadcast(astuple(totals))), schema)
     totals.tables = _tables(first)[:, -1]
-    seated = staged(gathered.mapInArrow(_seated(context.broadcast(astuple(totals))), schema), "seated")
+    seated = staged_at(gathered.mapInArrow(_seated(context.broadcast(astuple(totals))), schema), places[1])
     totals.tables = _tables(seated)
     n = totals.customers[:, None] + CONCENTRATION
     back = (CONCENTRATION + totals.discount * totals.tables) / n
@@ -691,7 +707,9 @@ def fit(texts: DataFrame, text_col: str = "text") -> Model:
     unknown = (CONCENTRATION + totals.root_discount * totals.v) / root_n
     shared = context.broadcast(astuple(totals))
     table = seated.mapInArrow(_probabilities(shared, back), "word long, c long, contexts array<int>, seen array<double>, root array<double>")
-    return Model(totals, staged(table, "model"), back, unknown, discount, short, tables, dishes_of, settled)
+    words_of = staged(table, "model")
+    dropped(*places)
+    return Model(totals, words_of, back, unknown, discount, short, tables, dishes_of, settled)
 
 
 def _logs(back: np.ndarray):
@@ -726,11 +744,10 @@ def _frequent(model: Model) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
     return least, word[order], rows.column("c").to_numpy()[order], logs
 
 
-SCORED = ("row long, doc_id long, n_tokens long, n_known long, base double, rest array<struct<before: long, word: long, class: int>>, "
-          "bucket int, size int, rows binary, befores binary, words binary")
+SCORED = ("row long, doc_id long, n_tokens long, n_known long, base double, "
+          "size int, texts int, ids binary, lengths binary, words binary, hits binary, classes binary")
 _SCORED = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()),
-                     ("rest", pa.list_(pa.struct([("before", pa.int64()), ("word", pa.int64()), ("class", pa.int32())]))),
-                     ("bucket", pa.int32()), ("size", pa.int32()), ("rows", pa.binary()), ("befores", pa.binary()), ("words", pa.binary())])
+                     ("size", pa.int32()), ("texts", pa.int32()), *[(x, pa.binary()) for x in ("ids", "lengths", "words", "hits", "classes")]])
 #: Tokens to be scored, by bucket; for rare words with their counts and probabilities in the class.
 ASKED = "bucket int, size int, rows binary, befores binary, words binary, cs binary, ps binary"
 
@@ -744,39 +761,34 @@ def _batch_of(schema: pa.Schema, columns: dict, n: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([columns[f.name] if f.name in columns else pa.nulls(n, f.type) for f in schema], schema=schema)
 
 
-def _scorer(shared: Broadcast, buckets: int):
-    """Per text the counts and base score of frequent words, and its other tokens; and packed
-    by bucket the frequent words in their contexts."""
+def _scorer(shared: Broadcast):
+    """Per text the counts and base score of frequent words; and packed in the order of the
+    texts all their tokens, which of them are frequent words, and the classes of contexts of the others."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers, known, base = shared.value
         short, held, size = Short(*numbers), [], 0
 
         def flush():
-            row, before, word = (np.concatenate(x) for x in zip(*held))
-            pieces = list(zip(*_pieces(_bucket(before, word, buckets), row, before, word)))
-            named = dict(zip(("bucket", "size", "rows", "befores", "words"), pieces))
-            return _batch_of(_SCORED, {k: pa.array(v, _SCORED.field(k).type) for k, v in named.items()}, len(pieces[0]) if pieces else 0)
+            ids, lengths, word, hit, kind = (np.concatenate(x) for x in zip(*held))
+            packed = dict(zip(("ids", "lengths", "words", "hits", "classes"), map(_packed, (ids, lengths.astype(np.uint32), word, hit, kind.astype(np.uint8)))))
+            named = {"size": len(word), "texts": len(ids)} | packed
+            return _batch_of(_SCORED, {k: pa.array([v], _SCORED.field(k).type) for k, v in named.items()}, 1)
 
         for batch in batches:
             ids = batch.column("row").to_numpy()
             for w in words(batch.column("text"), SPACED):
                 word, first = _tokens(w)
                 word = short.short(word)
-                before = _before(word, first)
                 text = np.repeat(np.arange(len(w.rows)), np.diff(first))
                 at = np.minimum(np.searchsorted(known, word), max(len(known) - 1, 0))
                 hit = known[at] == word if len(known) else np.zeros(len(word), bool)
                 sums = [np.bincount(text[hit], x, len(w.rows)) for x in (np.ones(hit.sum()), base[at[hit]])]
-                offsets = np.searchsorted(text[~hit], np.arange(len(w.rows) + 1)).astype(np.int32)
-                structs = pa.StructArray.from_arrays([pa.array(before[~hit]), pa.array(word[~hit]), pa.array(short.of(before[~hit]).astype(np.int32))],
-                                                     fields=list(_SCORED.field("rest").type.value_type))
                 own = slice(w.rows.start, w.rows.stop)
                 yield _batch_of(_SCORED, {
                     "row": pa.array(ids[own]), "doc_id": batch.column("doc_id").slice(w.rows.start, len(w.rows)), "n_tokens": pa.array(np.diff(first)),
-                    "n_known": pa.array(sums[0].astype(np.int64)), "base": pa.array(sums[1].astype(np.float64)),
-                    "rest": pa.ListArray.from_arrays(pa.array(offsets), structs).cast(_SCORED.field("rest").type)}, len(w.rows))
-                held.append((ids[own][text[hit]], before[hit], word[hit]))
-                size += len(held[-1][0])
+                    "n_known": pa.array(sums[0].astype(np.int64)), "base": pa.array(sums[1].astype(np.float64))}, len(w.rows))
+                held.append((ids[own], np.diff(first), word, hit, short.of(_before(word, first)[~hit])))
+                size += len(word)
                 if size > PAIRS:
                     yield flush()
                     held, size = [], 0
@@ -785,6 +797,34 @@ def _scorer(shared: Broadcast, buckets: int):
     return run
 
 
+def _unrolled(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """(row, before, word, hit) of the tokens of every row of packed texts."""
+    for size, texts, ids, lengths, word, hit in zip(*(batch.column(x).to_pylist() for x in ("size", "texts", "ids", "lengths", "words", "hits"))):
+        lengths, word = _unpacked(lengths, texts, np.uint32).astype(np.int64), _unpacked(word, size, np.int64)
+        yield np.repeat(_unpacked(ids, texts, np.int64), lengths), _before(word, np.append(0, np.cumsum(lengths))), word, _unpacked(hit, size, np.bool_)
+
+
+def _others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Tokens of words that are not frequent."""
+    for batch in batches:
+        for (row, before, word, hit), kind in zip(_unrolled(batch), batch.column("classes").to_pylist()):
+            kind = _unpacked(kind, int((~hit).sum()), np.uint8)
+            yield pa.record_batch([pa.array(x[~hit]) for x in (row, before, word)] + [pa.array(kind.astype(np.int32))], ["row", "before", "word", "class"])
+
+
+def _hits(buckets: int):
+    """Tokens of frequent words, packed by bucket."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, before, word, hit in _unrolled(batch):
+                row, before, word = row[hit], before[hit], word[hit]
+                if len(row):
+                    pieces = zip(*_pieces(_bucket(before, word, buckets), row, before, word))
+                    yield pa.record_batch([pa.array(x, pa.int32() if k < 2 else pa.binary()) for k, x in enumerate(pieces)],
+                                          ["bucket", "size", "rows", "befores", "words"])
+    return run
+
+
 def _ask(buckets: int):
     """Tokens of rare words, packed as the others are."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -891,16 +931,19 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     numbers = astuple(model.short)
     named = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     shared = context.broadcast((numbers, known, np.log10(counts + 1.0) - scale))
-    parts = staged(named.mapInArrow(_scorer(shared, buckets), SCORED), "scored")
-    texts = parts.where("bucket is null")
-    tokens = texts.select("row", F.inline("rest"))
+    with shuffles_freed(spark):
+        parts = staged(named.mapInArrow(_scorer(shared), SCORED), "scored")
+    shared.destroy()
+    texts, packed = parts.where("size is null"), parts.where("size is not null").select("size", "texts", "ids", "lengths", "words", "hits", "classes")
+    tokens = packed.mapInArrow(_others, "row long, before long, word long, class int")
     joined = tokens.join(model.words.where(F.col("c") < least), "word", "left")
     root = sum(_of(model.back[:, s], F.col("class")) * F.get("root", F.lit(s)) for s in range(SAMPLES)) / SAMPLES
     unseen = _of(model.back @ model.unknown / SAMPLES, F.col("class"))
     place = F.array_position("contexts", F.col("class"))
     p = F.when(F.col("c").isNull(), unseen).when(place > 0, F.get("seen", (place - 1).cast("int"))).otherwise(root)
     rare = joined.select("row", "before", "word", F.coalesce("c", F.lit(0)).cast("long").alias("c"), p.alias("p")).mapInArrow(_ask(buckets), ASKED)
-    asked = parts.where("bucket is not null").select(
+    hits = packed.drop("classes").mapInArrow(_hits(buckets), "bucket int, size int, rows binary, befores binary, words binary")
+    asked = hits.select(
         "bucket", "size", "rows", "befores", "words", *[F.lit(None).cast("binary").alias(x) for x in ("cs", "ps")]).unionByName(rare)
     kind = "bucket int, size int, befores binary, words binary, ns binary, values binary"
     told = model.dishes.select("word", "singles").mapInArrow(_told(buckets, model.discount), kind).unionAll(

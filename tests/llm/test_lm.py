@@ -237,3 +237,48 @@ def test_packed_numbers_come_back():
     for kind in (np.int64, np.uint32, np.float32):
         x = np.array([0, 1, 7, 2**31 - 1, 5], kind)
         assert (lm._unpacked(lm._packed(x), 5, kind) == x).all()
+
+
+def test_a_fit_leaves_no_shuffle_files_and_only_the_tables_of_the_model(spark, docs):
+    """Disk holds what the job still reads: the shared folder, and shuffle files of all
+    that ended."""
+    from pathlib import Path
+
+    from paperloom.llm.staging import FREED
+    from paperloom.plans.staging import shared_dir
+    rows = spark.createDataFrame(docs, SCHEMA)
+    shared, local = Path(shared_dir(spark).removeprefix("file:")), Path(spark.sparkContext._temp_dir).parent
+    shuffles = lambda: {p for d in (local, *local.parent.glob("blockmgr-*")) for p in d.rglob("shuffle_*")}
+    tables, files, setting = set(shared.iterdir()), shuffles(), spark.conf.get(FREED, None)
+    model = lm.fit(rows)
+    assert sorted(p.name.split("-")[0] for p in set(shared.iterdir()) - tables) == ["dishes", "model", "settled"]
+    assert not shuffles() - files and spark.conf.get(FREED, None) == setting
+    lm.score(rows, model).collect()
+    assert shuffles() - files  # they would have been found
+    assert sorted(p.name.split("-")[0] for p in set(shared.iterdir()) - tables) == ["dishes", "model", "scored", "settled"]
+
+
+def test_only_tables_that_can_be_deleted_are(tmp_path):
+    from paperloom.llm.staging import dropped
+    for name in ("a", "b"):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "part").write_text("x")
+    dropped("nosuchstore://x/y", f"file://{tmp_path}/missing", f"file://{tmp_path}/a")
+    assert [p.name for p in tmp_path.iterdir()] == ["b"]
+
+
+def test_tokens_are_staged_once(spark, docs):
+    """The word before is the one in front of it, so it is not kept beside each word."""
+    import pyarrow as pa
+    text = pa.array([t for _, t, *_ in docs], pa.string())
+    numbers = (np.empty(0, np.int64), np.empty(0, np.int64), np.zeros(1, np.int64), np.zeros(1))
+    batch = pa.record_batch([pa.array(range(len(text)), pa.int64()), pa.array([d for d, *_ in docs], pa.int64()), text], ["row", "doc_id", "text"])
+
+    class Shared:
+        value = numbers, np.array([lm.END]), np.zeros(1)
+
+    out = pa.Table.from_batches(lm._scorer(Shared)([batch])).to_pylist()
+    packed = [r for r in out if r["size"] is not None]
+    want = [(i, *x, x[1] == lm.END) for i, t in enumerate(tokens_of(text.to_pylist(), lm.Short(*numbers))) for x in t]
+    got = [x for b in pa.Table.from_pylist(packed).to_batches() for part in lm._unrolled(b) for x in zip(*(y.tolist() for y in part))]
+    assert got == want and sum(r["n_tokens"] for r in out if r["size"] is None) == len(want)
